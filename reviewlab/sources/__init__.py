@@ -1,0 +1 @@
+"""Readers: stage tables, raw JSON landing, reports, and the test tables."""
