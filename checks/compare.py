@@ -44,15 +44,20 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(canonical(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, connection, folder: str, name: str) -> str:
-    """An empty string if both engines agree, else what differs."""
+def compare(spark, connection, folder: str, name: str) -> tuple[float, str]:
+    """Seconds Spark took, and an empty string if both engines agree, else what differs."""
+    start = time.time()
     result = QUERIES[name](spark, folder)
     mine = rows_of(result.columns, [tuple(row) for row in result.collect()])
+    return time.time() - start, difference(connection, name, result.columns, mine)
+
+
+def difference(connection, name: str, columns: list[str], mine: Counter) -> str:
     if name not in ORACLE:
         return "" if mine else "no rows"
     relation = connection.sql(ORACLE[name])
-    if sorted(result.columns) != sorted(relation.columns):
-        return f"columns {sorted(result.columns)} != {sorted(relation.columns)}"
+    if sorted(columns) != sorted(relation.columns):
+        return f"columns {sorted(columns)} != {sorted(relation.columns)}"
     theirs = rows_of(relation.columns, relation.fetchall())
     if mine == theirs:
         return ""
@@ -72,10 +77,11 @@ def main(scale: str, names: list[str]) -> int:
     failures = 0
     for name in names or QUERIES:
         start = time.time()
-        difference = compare(spark, connection, folder, name)
-        failures += bool(difference)
+        seconds, message = compare(spark, connection, folder, name)
+        failures += bool(message)
         kind = "sql " if name in ORACLE else "rows"
-        print(f"{time.time() - start:7.2f} {kind} {name}: {difference or 'ok'}", flush=True)
+        other = time.time() - start - seconds
+        print(f"{seconds:7.2f} {other:7.2f} {kind} {name}: {message or 'ok'}", flush=True)
     return failures
 
 

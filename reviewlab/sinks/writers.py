@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from reviewlab.sources.tables import predictions_path
+from reviewlab.sources.tables import CSV_OPTIONS, predictions_path
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -29,7 +29,7 @@ def write_csv_report(df: DataFrame, path: str, single_file: bool = False) -> Non
     sort order.
     """
     out = _one_partition(df) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_text_report(df: DataFrame, path: str) -> None:

@@ -7,6 +7,9 @@ from pyspark.sql import types as T
 
 from reviewlab import schemas
 
+# Header line, quotes doubled inside quotes, and a null that differs from "".
+CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
+
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW).parquet(path)
@@ -39,13 +42,8 @@ def predictions_path(base: str, model: str) -> str:
 
 def read_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A folder of CSV files with a header line; lines that do not fit the schema are skipped."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("escape", '"')
-        .csv(path)
-    )
+    options = {**CSV_OPTIONS, "mode": "DROPMALFORMED"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_json_blobs(spark: SparkSession, paths: list[str]) -> DataFrame:
