@@ -34,7 +34,8 @@ def rounded(column: str, digits: int = 6) -> Column:
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
-    return testtables.raw_reviews(testtables.table(spark, sf, "documents"))
+    documents = tables.spread(testtables.table(spark, sf, "documents"), "doc_id")
+    return testtables.raw_reviews(documents)
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:

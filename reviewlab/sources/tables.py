@@ -11,6 +11,19 @@ from reviewlab import schemas
 CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """The rows of a scan over all cores, where the files give fewer partitions than that.
+
+    One file with one row group is one task, however many cores wait. A large table has far
+    more partitions than there are cores and is returned as it is, without a shuffle. ``key``
+    must have many values; rows go by its hash, so a lost task is repeated identically.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW).parquet(path)
 
