@@ -12,11 +12,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reviewlab.functions.stopwords import STOP_WORDS
 from reviewlab.operators.sampling import hash_split
 from reviewlab.operators.words import VOCABULARY_SIZE, vocabulary, with_tokens
-from reviewlab.session import materialize
+from reviewlab.session import materialize, scratch_path
 
 # Fixed value: buckets of the hashed term counts (2^18).
 NUM_FEATURES = 1 << 18
@@ -77,19 +78,33 @@ def count_features(
 ) -> tuple[DataFrame, DataFrame]:
     """TF-IDF over counted words: the reviews with ``features``, and the vocabulary table.
 
-    The vocabulary is ordered by count and word, so term numbers are the same in every run. It
-    is the model itself (at most ``vocabulary_size`` words), so the driver holds it.
+    The vocabulary is ordered by count and word, so term numbers are the same in every run.
     """
     terms = materialize(vocabulary(cleaned, vocabulary_size), "vocabulary")
-    words = [row["word"] for row in terms.orderBy("term").select("word").collect()]
-    counter = CountVectorizerModel.from_vocabulary(
-        words, inputCol="filtered", outputCol="rawFeatures"
-    )
+    counter = count_vectorizer(terms, "filtered", "rawFeatures")
     counted = counter.transform(with_tokens(cleaned)).drop("words", "filtered")
     idf = IDF(inputCol="rawFeatures", outputCol="features").fit(counted)
     return idf.transform(counted).drop("rawFeatures"), terms
 
 
+def count_vectorizer(terms: DataFrame, input_col: str, output_col: str) -> CountVectorizerModel:
+    """The model that counts the words of a vocabulary table ``term, word``.
+
+    ``CountVectorizer.fit`` numbers equally frequent words by chance, and ``from_vocabulary``
+    sends the words from Python one by one (a minute and a half for 234,000). So a model is
+    saved, its vocabulary file replaced by the table, and loaded again. The file is one row of
+    at most as many words as the vocabulary's size limit allows.
+    """
+    path = scratch_path(terms.sparkSession, "count-vectorizer")
+    CountVectorizerModel.from_vocabulary(
+        ["placeholder"], inputCol=input_col, outputCol=output_col
+    ).save(path)
+    in_order = F.array_sort(F.collect_list(F.struct("term", "word")))
+    vocabulary_row = terms.agg(F.transform(in_order, lambda e: e["word"]).alias("vocabulary"))
+    vocabulary_row.write.mode("overwrite").parquet(f"{path}/data")
+    return CountVectorizerModel.load(path)
+
+
 def assemble(df: DataFrame, columns: list[str], output: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol=output).transform(df)
 
