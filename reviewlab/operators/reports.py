@@ -83,20 +83,22 @@ def histogram(
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    bounds = counts.select(
-        F.struct(
-            F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("n")
-        )
-    ).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    # numpy's rule for a single value: a range of one around it.
+    lowest, highest = F.min("value").alias("lo"), F.max("value").alias("hi")
+    bounds = counts.select(F.struct(lowest, highest, F.sum("n").alias("n"))).scalar()
+    # A single value gets a range of one around it.
+    lo, hi = F.col("bounds.lo"), F.col("bounds.hi")
     start = F.when(lo == hi, lo - 0.5).otherwise(lo)
     width = F.when(lo == hi, F.lit(1.0)).otherwise(hi - lo) / bins
     bin_of = F.least(F.lit(bins - 1), F.floor((F.col("value") - start) / width))
-    filled = counts.groupBy(bin_of.cast("bigint").alias("id")).agg(F.sum("n").alias("filled"))
+    filled = (
+        counts.withColumn("bounds", bounds)
+        .groupBy(bin_of.cast("bigint").alias("id"))
+        .agg(F.sum("n").alias("filled"))
+    )
     return (
         reviews.sparkSession.range(bins)
         .join(filled, "id", "left")
+        .withColumn("bounds", bounds)
         .select(
             F.col("id").cast("int").alias("bin"),
             (start + F.col("id") * width).alias("bin_start"),
