@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions import text
 from reviewlab.functions.lexicon import LEXICON
+from reviewlab.operators.words import document_frequencies, join_by_word, term_frequencies
+from reviewlab.session import materialize
 
 # Lexicons up to this many words are written into the plan; larger ones are joined.
 MAX_INLINE_WORDS = 5_000
@@ -41,21 +43,17 @@ def with_sentiment(
 def _sentiment_by_join(cleaned: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Score by joining counted words with the lexicon, for lexicons of any size.
 
-    Words are counted per review before the shuffle. The hash of the text is part of the key,
-    so two texts that share an id keep their own scores.
+    The hash of the text is part of the key, so two texts that share an id keep their own
+    scores. ``cleaned`` is read several times, so it should be a stored table.
     """
-    keyed = cleaned.withColumn("text_hash", F.xxhash64("cleaned_review"))
     key = ["review_id", "text_hash"]
-    words = text.tokens(F.col("cleaned_review"), separator=" ")
-    counted = (
-        keyed.select(*key, F.explode(words).alias("word"))
-        .groupBy(*key, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    keyed = cleaned.withColumn("text_hash", F.xxhash64("cleaned_review"))
+    terms = term_frequencies(keyed.select(*key, "cleaned_review"), drop_stop_words=False)
+    used = lexicon.join(document_frequencies(cleaned, drop_stop_words=False), "word")
     scores = (
-        counted.join(lexicon, "word")
+        join_by_word(terms, materialize(used, "lexicon"), cleaned.count())
         .groupBy(*key)
-        .agg((F.sum(F.col("n") * F.col("polarity")) / F.sum("n")).alias("mean"))
+        .agg((F.sum(F.col("tf") * F.col("polarity")) / F.sum("tf")).alias("mean"))
         .select(
             F.col("review_id").alias("scored_id"), F.col("text_hash").alias("scored_hash"), "mean"
         )

@@ -12,6 +12,10 @@ from reviewlab.session import materialize
 TOP_WORDS = 20
 VOCABULARY_SIZE = 1 << 18
 
+# Bounds of a word table that may be broadcast.
+MAX_BROADCAST_WORDS = 500_000
+MAX_BROADCAST_CHARS = 16_000_000
+
 
 def with_tokens(cleaned: DataFrame, drop_empty_tokens: bool = False) -> DataFrame:
     """Add ``words`` (all tokens) and ``filtered`` (without stop words)."""
@@ -59,7 +63,8 @@ def vocabulary(cleaned: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
 
     ``orderBy().limit()`` sends up to ``size`` rows of every partition to one task. Where the
     word table is much larger than the vocabulary, an approximate quantile first cuts it to
-    little more than ``size`` rows; the cut is kept only if it leaves at least ``size``.
+    little more than ``size`` rows; the cut is kept only if it leaves at least ``size``. The
+    window that numbers the words has no partition key, as it sees at most ``size`` rows.
     """
     counts = materialize(word_counts(cleaned), "word-counts")
     total = counts.count()
@@ -75,15 +80,18 @@ def vocabulary(cleaned: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     return top.select(index.alias("term"), "word", "count")
 
 
-def term_frequencies(cleaned: DataFrame) -> DataFrame:
-    """``review_id, word, tf``, counted inside each row.
+def term_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFrame:
+    """``word, tf`` of each review next to its other columns, counted inside each row.
 
     All words of a review sit in one row, so sorting them there and measuring the runs of
     equal words gives the counts without shuffling a row per (review, word).
     """
+    words = text.tokens(F.col("cleaned_review"), separator=" ")
+    if drop_stop_words:
+        words = text.content_words(words)
+    others = [F.col(name) for name in cleaned.columns if name != "cleaned_review"]
     runs = (
-        with_tokens(cleaned.select("review_id", "cleaned_review"))
-        .select("review_id", F.array_sort("filtered").alias("words"))
+        cleaned.select(*others, F.array_sort(words).alias("words"))
         .where(F.size("words") > 0)
         .withColumn(
             "heads",
@@ -101,33 +109,51 @@ def term_frequencies(cleaned: DataFrame) -> DataFrame:
             (F.coalesce(F.get(F.col("heads"), k + 1), F.size("words")) - head).alias("tf"),
         ),
     )
-    return runs.select("review_id", F.inline(counted))
+    return runs.select(*others, F.inline(counted))
 
 
-def document_frequencies(cleaned: DataFrame) -> DataFrame:
-    """``word, df``: in how many reviews each content word occurs."""
+def document_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFrame:
+    """``word, df``: in how many reviews each word occurs."""
     words = F.array_distinct(text.tokens(F.col("cleaned_review"), separator=" "))
-    return (
-        cleaned.select(F.explode(words).alias("word"))
-        .where(text.is_content_word(F.col("word")))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    exploded = cleaned.select(F.explode(words).alias("word"))
+    if drop_stop_words:
+        exploded = exploded.where(text.is_content_word(F.col("word")))
+    return exploded.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+
+def join_by_word(terms: DataFrame, table: DataFrame, reviews: int) -> DataFrame:
+    """Join ``terms`` (many rows per word) with a stored ``table`` of one row per word and df.
+
+    A table within MAX_BROADCAST_WORDS and MAX_BROADCAST_CHARS is broadcast whole. Beyond that
+    the words found in at least one of a thousand reviews are: they make up most rows of
+    ``terms`` and would be the heavy keys of a shuffle. ``terms`` is shuffled for the rare
+    words only. Where too many words are that frequent, the bar is raised until they fit.
+    """
+    if _fits_broadcast(table):
+        return terms.join(F.broadcast(table), "word")
+    least = max(1, reviews // 1000)
+    while not _fits_broadcast(table.where(F.col("df") >= least)):
+        least *= 2
+    is_frequent = F.col("df") >= least
+    frequent, rare = table.where(is_frequent), table.where(~is_frequent)
+    rare_terms = terms.join(F.broadcast(frequent.select("word")), "word", "left_anti")
+    return terms.join(F.broadcast(frequent), "word").unionByName(rare_terms.join(rare, "word"))
+
+
+def _fits_broadcast(table: DataFrame) -> bool:
+    words, characters = table.agg(F.count("word"), F.sum(F.length("word"))).first()
+    return words <= MAX_BROADCAST_WORDS and (characters or 0) <= MAX_BROADCAST_CHARS
 
 
 def tfidf_terms(cleaned: DataFrame) -> DataFrame:
     """``review_id, word, tf, df, tfidf`` with idf ln((N+1)/(df+1)).
 
-    ``cleaned`` is read three times (terms, document frequencies, N), so it should be a stored
-    table. The join on the word carries no hint: adaptive execution broadcasts a vocabulary
-    that turns out small and splits the partition of a word that is in most reviews.
+    ``cleaned`` is read several times, so it should be a stored table.
     """
-    reviews = cleaned.select(F.count(F.lit(1))).scalar()
-    weights = document_frequencies(cleaned).withColumn(
-        "idf", F.log((reviews + 1) / (F.col("df") + 1))
-    )
-    return (
-        term_frequencies(cleaned)
-        .join(weights, "word")
-        .select("review_id", "word", "tf", "df", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    reviews = cleaned.count()
+    weights = materialize(document_frequencies(cleaned), "document-frequencies")
+    idf = F.log(F.lit(reviews + 1) / (F.col("df") + 1))
+    terms = term_frequencies(cleaned.select("review_id", "cleaned_review"))
+    return join_by_word(terms, weights, reviews).select(
+        "review_id", "word", "tf", "df", (F.col("tf") * idf).alias("tfidf")
     )

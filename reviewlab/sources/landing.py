@@ -95,9 +95,11 @@ def land_raw(
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write left its success marker in the folder."""
-    try:
-        marker = spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
-        return not marker.select("path").isEmpty()
-    except AnalysisException:
-        return False
+    """Whether a finished write left its success marker in the folder.
+
+    Spark's readers hide files whose names begin with an underscore, so the file system is
+    asked directly.
+    """
+    context = spark.sparkContext
+    marker = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(context._jsc.hadoopConfiguration()).exists(marker)

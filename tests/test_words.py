@@ -104,6 +104,31 @@ def test_term_and_document_frequencies_by_brute_force(spark):
         assert r["tfidf"] == pytest.approx(r["tf"] * idf, abs=1e-12)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 4, 10_000])
+def test_frequent_and_rare_words_together_are_all_words(spark, monkeypatch, limit):
+    """However many words may be broadcast, the joined rows are the same."""
+    monkeypatch.setattr(words, "MAX_BROADCAST_WORDS", limit)
+    df = table(spark, TEXTS + random_texts())
+    terms = words.term_frequencies(df)
+    weights = words.document_frequencies(df).cache()
+    joined = words.join_by_word(terms, weights, df.count())
+    expected = terms.join(weights, "word")
+    assert sorted(joined.select(expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_long_words_count_against_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(words, "MAX_BROADCAST_CHARS", 40)
+    df = table(spark, ["x" * 50 + " y", "y z"])
+    weights = words.document_frequencies(df).cache()
+    joined = words.join_by_word(words.term_frequencies(df), weights, 2)
+    assert sorted((r["word"][0], r["df"]) for r in joined.collect()) == [
+        ("x", 1),
+        ("y", 2),
+        ("y", 2),
+        ("z", 1),
+    ]
+
+
 @pytest.mark.parametrize("size", [3, 10, 100, 5000])
 def test_vocabulary_equals_a_full_sort(spark, size):
     """Sizes below a quarter of the words go through the approximate cut first."""
