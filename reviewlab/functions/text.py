@@ -52,22 +52,33 @@ def rating_category(rating: Column) -> Column:
     return category.cast("float")
 
 
-def tokens(text: Column, separator: str = r"\s") -> Column:
+def tokens(text: Column) -> Column:
     """Lower-cased text split at each single whitespace character.
 
     Runs of whitespace give empty tokens, trailing ones give none, empty text gives one empty
-    token and blank text gives no token. For cleaned text pass ``separator=" "``: it holds no
-    other whitespace, and a one-character separator avoids the regular-expression engine.
+    token and blank text gives no token.
     """
     trimmed = F.rtrim(text, F.lit(WHITESPACE))
-    only_blanks = (trimmed == "") & (text != "")
-    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(
-        F.split(F.lower(trimmed), separator)
-    )
+    return _tokens(text, trimmed, F.split(F.lower(trimmed), r"\s"))
+
+
+def cleaned_tokens(text: Column) -> Column:
+    """The same for cleaned text, which is lower-case and has no whitespace but blanks.
+
+    Splitting at one plain character needs no regular expression.
+    """
+    trimmed = F.rtrim(text)
+    return _tokens(text, trimmed, F.split(trimmed, " "))
+
+
+def _tokens(text: Column, trimmed: Column, parts: Column) -> Column:
+    only_blanks = (text != "") & (trimmed == "")
+    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(parts)
 
 
 def is_content_word(word: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    return ~F.lower(word).isin(list(stop_words))
+    """Whether a lower-case word is no stop word."""
+    return ~word.isin(list(stop_words))
 
 
 def content_words(words: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -81,12 +92,13 @@ def flesch_reading_ease(text: Column) -> Column:
     words = F.regexp_count(lowered, F.lit(WORD_PATTERN))
     sentences = F.greatest(F.regexp_count(lowered, F.lit(SENTENCE_PATTERN)), F.lit(1))
     syllables = F.greatest(F.regexp_count(lowered, F.lit(SYLLABLE_PATTERN)), words)
+    # Not inside a condition: there Spark would not share the repeated counts.
     score = (
         F.lit(FLESCH_BASE)
         - F.lit(FLESCH_PER_SENTENCE) * words / sentences
         - F.lit(FLESCH_PER_WORD) * syllables / F.nullif(words, F.lit(0))
     )
-    return F.when(text.isNotNull(), score).cast("float")
+    return score.cast("float")
 
 
 def mean_polarity(words: Column, lexicon: Mapping[str, float]) -> Column:
@@ -107,9 +119,15 @@ def mean_polarity(words: Column, lexicon: Mapping[str, float]) -> Column:
         return chosen
 
     found = F.filter(words, lambda word: word.isin(list(lexicon)))
-    total = F.aggregate(found, F.lit(0.0), lambda acc, word: acc + polarity_of(word))
-    mean = total / F.nullif(F.size(found), F.lit(0))
-    return F.when(words.isNotNull(), F.coalesce(mean, F.lit(0.0))).cast("float")
+    mean = F.aggregate(
+        found,
+        F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
+        lambda acc, word: F.struct(
+            (acc["total"] + polarity_of(word)).alias("total"), (acc["n"] + 1).alias("n")
+        ),
+        lambda acc: F.when(acc["n"] == 0, 0.0).otherwise(acc["total"] / acc["n"]),
+    )
+    return mean.cast("float")
 
 
 def split_bucket(key: Column) -> Column:

@@ -37,7 +37,7 @@ def tokenizer_stage(drop_empty_tokens: bool = False) -> SQLTransformer:
         FROM (SELECT *,
                      CASE WHEN rtrim(cleaned_review) = '' AND cleaned_review <> ''
                           THEN CAST(array() AS array<string>)
-                          ELSE split(lower(rtrim(cleaned_review)), ' ') END AS words
+                          ELSE split(rtrim(cleaned_review), ' ') END AS words
               FROM __THIS__)
         """
     )

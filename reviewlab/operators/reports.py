@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import product
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,16 +50,17 @@ def correlation_matrix(
     reviews: DataFrame, columns: tuple[str, ...] = CORRELATED
 ) -> DataFrame:
     """Pearson correlation of every pair of columns as rows ``x, y, r``, from one pass."""
-    pairs = list(product(columns, columns))
+    pairs = list(combinations_with_replacement(columns, 2))
     row = reviews.agg(
         *[
-            F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{i}")
-            for i, (x, y) in enumerate(pairs)
+            F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}/{y}")
+            for x, y in pairs
         ]
     )
     cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"))
-        for i, (x, y) in enumerate(pairs)
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{a}/{b}`").alias("r"))
+        for a, b in pairs
+        for x, y in dict.fromkeys([(a, b), (b, a)])
     ]
     return row.select(F.inline(F.array(*cells)))
 

@@ -36,7 +36,7 @@ def with_sentiment(
         if len(head) > max_inline_words:
             return _sentiment_by_join(cleaned, table)
         lexicon = {row["word"]: row["polarity"] for row in head}
-    words = text.tokens(F.col("cleaned_review"), separator=" ")
+    words = text.cleaned_tokens(F.col("cleaned_review"))
     return cleaned.withColumn("sentiment_score", text.mean_polarity(words, lexicon))
 
 

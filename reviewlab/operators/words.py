@@ -19,7 +19,7 @@ MAX_BROADCAST_CHARS = 16_000_000
 
 def with_tokens(cleaned: DataFrame, drop_empty_tokens: bool = False) -> DataFrame:
     """Add ``words`` (all tokens) and ``filtered`` (without stop words)."""
-    words = text.tokens(F.col("cleaned_review"), separator=" ")
+    words = text.cleaned_tokens(F.col("cleaned_review"))
     out = cleaned.withColumn("words", words)
     filtered = text.content_words(F.col("words"))
     if drop_empty_tokens:
@@ -34,7 +34,7 @@ def word_counts(cleaned: DataFrame, drop_empty_tokens: bool = False) -> DataFram
     before the shuffle, so a word that makes up a third of the text travels as one row per task.
     """
     exploded = cleaned.select(
-        F.explode(text.tokens(F.col("cleaned_review"), separator=" ")).alias("word")
+        F.explode(text.cleaned_tokens(F.col("cleaned_review"))).alias("word")
     ).where(text.is_content_word(F.col("word")))
     if drop_empty_tokens:
         exploded = exploded.where(F.col("word") != "")
@@ -86,7 +86,7 @@ def term_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFr
     All words of a review sit in one row, so sorting them there and measuring the runs of
     equal words gives the counts without shuffling a row per (review, word).
     """
-    words = text.tokens(F.col("cleaned_review"), separator=" ")
+    words = text.cleaned_tokens(F.col("cleaned_review"))
     if drop_stop_words:
         words = text.content_words(words)
     others = [F.col(name) for name in cleaned.columns if name != "cleaned_review"]
@@ -114,7 +114,7 @@ def term_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFr
 
 def document_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFrame:
     """``word, df``: in how many reviews each word occurs."""
-    words = F.array_distinct(text.tokens(F.col("cleaned_review"), separator=" "))
+    words = F.array_distinct(text.cleaned_tokens(F.col("cleaned_review")))
     exploded = cleaned.select(F.explode(words).alias("word"))
     if drop_stop_words:
         exploded = exploded.where(text.is_content_word(F.col("word")))

@@ -50,26 +50,30 @@ def test_stop_words_are_the_default_list(spark):
     assert STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
 
 
-@pytest.mark.parametrize("separator, texts", [
-    (" ", TEXTS),
-    (r"\s", TEXTS + ["Tab\tand\nline", "\t\n ", "MiXed Case\r\n", "a\u000bb\f"]),
-])
-def test_tokens_equal_the_ml_stages(spark, separator, texts):
+@pytest.mark.parametrize(
+    "split, texts",
+    [
+        (text.cleaned_tokens, TEXTS),
+        (text.tokens, TEXTS + ["Tab\tand\nline", "\t\n ", "MiXed Case\r\n", "The a\u000bb\f"]),
+    ],
+)
+def test_tokens_equal_the_ml_stages(spark, split, texts):
     df = table(spark, texts)
     ml = StopWordsRemover(inputCol="words", outputCol="filtered").transform(
         Tokenizer(inputCol="cleaned_review", outputCol="words").transform(df)
     )
-    own = df.withColumn("words", text.tokens(F.col("cleaned_review"), separator)).withColumn(
+    own = df.withColumn("words", split(F.col("cleaned_review"))).withColumn(
         "filtered", text.content_words(F.col("words"))
     )
     assert sorted(own.collect()) == sorted(ml.collect())
-    if separator == " ":
+    if split is text.cleaned_tokens:
         assert sorted(tokenizer_stage().transform(df).collect()) == sorted(ml.collect())
 
 
 def test_null_text_has_null_tokens(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(text.tokens(F.col("t"))).first()[0] is None
+    assert df.select(text.cleaned_tokens(F.col("t"))).first()[0] is None
 
 
 def test_word_counts_and_top_words(spark):
