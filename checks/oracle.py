@@ -283,6 +283,11 @@ ORACLE: dict[str, str] = {
       SELECT review_id, split, rating_category, round(prediction, 6) AS prediction
       FROM fitted""",
     "land_json": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "json_blobs": f"""WITH {RECORDS}
+      SELECT cast(to_json(records) AS varchar) AS json_blob FROM records
+      UNION ALL
+      SELECT cast(to_json({{'conv_id': conv_id, 'turn': turn, 'role': role}}) AS varchar)
+      FROM conversations""",
     "json_blob_columns": f"WITH {RECORDS} SELECT * FROM records",
     "rejected_blobs": "SELECT source AS json_blob FROM documents",
     "split_tracks": f"""WITH {RECORDS}
