@@ -208,8 +208,10 @@ ORACLE: dict[str, str] = {
                    quantile_cont(v, 0.75) AS q3 FROM s)
       SELECT count(*) AS n, round(any_value(q1), 4) AS q1,
              round(any_value(median), 4) AS median, round(any_value(q3), 4) AS q3,
-             round(min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1)), 4) AS whisker_low,
-             round(max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1)), 4) AS whisker_high,
+             round(least(any_value(q1), min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1))), 4)
+               AS whisker_low,
+             round(greatest(any_value(q3), max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1))), 4)
+               AS whisker_high,
              count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))
                AS outliers
       FROM s, q""",

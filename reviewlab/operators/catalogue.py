@@ -33,12 +33,14 @@ def concat_tables(spark: SparkSession, tables: Sequence[DataFrame]) -> DataFrame
 def parse_blobs(
     blobs: DataFrame, schema: T.StructType = schemas.TRACK_RECORD
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed columns of the well-formed blobs, and the blobs that are not well-formed."""
+    """Typed columns of the well-formed blobs, and the blobs that are not well-formed.
+
+    ``explode`` of one element keeps the test for broken records above the parsed column, so
+    that a blob is parsed once.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = blobs.withColumn(
-        "record",
-        F.from_json("json_blob", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}),
-    )
+    record = F.from_json("json_blob", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = blobs.select("json_blob", F.explode(F.array(record)).alias("record"))
     bad = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
     good = parsed.where(~bad).select([f"record.{name}" for name in schema.names])
     return good, parsed.where(bad).select("json_blob")

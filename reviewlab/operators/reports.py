@@ -114,17 +114,19 @@ def box_summary(values: DataFrame, column: str = "flesch_score") -> DataFrame:
 
     ``values`` is read several times, so it should be a stored table.
     """
-    q1, median, q3 = exact_quantiles(values, column, (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(values, column, (0.25, 0.5, 0.75))
+    q1, median, q3 = (float("nan") if q is None else q for q in quartiles)
     value = F.col(column).cast("double")
     low_fence, high_fence = q1 - WHISKER * (q3 - q1), q3 + WHISKER * (q3 - q1)
     inside = value.between(low_fence, high_fence)
+    # A quartile lies between two values, so the box may reach beyond the last value inside.
     return values.where(value.isNotNull()).agg(
         F.count(F.lit(1)).alias("n"),
         F.lit(q1).alias("q1"),
         F.lit(median).alias("median"),
         F.lit(q3).alias("q3"),
-        F.min(F.when(inside, value)).alias("whisker_low"),
-        F.max(F.when(inside, value)).alias("whisker_high"),
+        F.least(F.min(F.when(inside, value)), F.lit(q1)).alias("whisker_low"),
+        F.greatest(F.max(F.when(inside, value)), F.lit(q3)).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
     )
 

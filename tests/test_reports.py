@@ -50,6 +50,16 @@ def test_box_summary(spark):
     assert (row["whisker_low"], row["whisker_high"], row["outliers"]) == (1.0, 5.0, 2)
 
 
+def test_whiskers_reach_at_least_the_box(spark):
+    row = reports.box_summary(column(spark, [0.0, 0.0, 0.0, 100.0]), "v").first()
+    assert (row["q3"], row["whisker_high"], row["outliers"]) == (25.0, 25.0, 1)
+
+
+def test_box_of_nothing(spark):
+    row = reports.box_summary(column(spark, [None]), "v").first()
+    assert row["n"] == 0 and row["outliers"] == 0
+
+
 @pytest.mark.parametrize("values", [[1.0, 2.0, 10.0, 5.5, 5.5], [4.0, 4.0], [0.0, 0.1, 0.2, 1.0]])
 def test_histogram_equals_numpy(spark, values):
     rows = reports.histogram(column(spark, values + [None, float("nan")]), "v", 20).collect()
