@@ -1,0 +1,8 @@
+"""Operators for building training corpora; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
