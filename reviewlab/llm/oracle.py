@@ -14,9 +14,9 @@ RULE_SCORES = {
 OP5 = f"""
 WITH split AS (
   SELECT doc_id, lang, coalesce(text, '') AS body,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS words,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
     list_filter(string_split(coalesce(text, ''), chr(10)),
-      l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+      lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS w
@@ -52,7 +52,7 @@ WITH split AS (
     CAST(sum(good) OVER up AS BIGINT) AS k, CAST(sum(bad) OVER up AS BIGINT) AS caught
   FROM counts WINDOW up AS (PARTITION BY stratum, rule ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
 ), bounded AS (
-  SELECT *, list_sum(list_transform(range(0, k + 1), i ->
+  SELECT *, list_sum(list_transform(range(0, k + 1), lambda i:
       exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END
         - lgamma(n - i + 1) + i * ln({quality.RISK / 4}) + (n - i) * ln(1 - {quality.RISK / 4})))) AS cdf
   FROM tried WHERE cutoff > 0 AND n > 0 AND k <= {quality.RISK / 4} * n
