@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlab.llm import quality
+from reviewlab.llm import chunks, credentials, quality, urls
 
 RULE_SCORES = {
     "symbols": "least(100 * n_symbols // greatest(n_words, 1), 100)",
@@ -72,4 +72,171 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_line
 FROM features f LEFT JOIN rejected r USING (doc_id)
 """
 
-ORACLE = {"op5_risk_thresholds": OP5}
+
+def tree_levels() -> str:
+    """One pair of tables per level of the path tree, and the finished tree."""
+    parts = []
+    for level in range(urls.DEPTH):
+        here = f"t{level}"
+        parts.append(f"""
+b{level} AS (
+  SELECT host, template, segment,
+    n >= {urls.MIN_URLS} AND n * 100 >= sum(n) OVER p * {urls.MIN_PERCENT}
+    AND (bad * (sum(labelled) OVER p - labelled) - (sum(bad) OVER p - bad) * labelled)
+      * (bad * (sum(labelled) OVER p - labelled) - (sum(bad) OVER p - bad) * labelled)
+      * sum(labelled) OVER p
+      > {urls.Z_SQUARE}::DOUBLE * labelled * (sum(labelled) OVER p - labelled) * sum(bad) OVER p
+        * (sum(labelled) OVER p - sum(bad) OVER p) AS literal
+  FROM (SELECT host, template, segments[{level + 1}] AS segment, sum(n)::DOUBLE AS n,
+      sum(labelled)::DOUBLE AS labelled, sum(bad)::DOUBLE AS bad
+    FROM {here} WHERE len(segments) > {level} GROUP BY ALL)
+  WINDOW p AS (PARTITION BY host, template)
+), t{level + 1} AS (
+  SELECT a.host, shape, segments, n, labelled, bad, CASE WHEN len(segments) > {level}
+    THEN a.template || '/' || CASE WHEN literal THEN segment ELSE '*' END
+    ELSE a.template END AS template
+  FROM {here} a LEFT JOIN b{level} b
+    ON a.host = b.host AND a.template = b.template AND segments[{level + 1}] = segment
+)""")
+    return ",".join(parts)
+
+
+def rule_cases(result: str) -> str:
+    """The longest fitting rule: 'name' or 'verdict'."""
+    ordered = sorted(urls.RULES, key=lambda r: (len(r[1] + r[2]), r), reverse=True)
+    cases = " ".join(
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+        f"THEN '{host + path if result == 'name' else said}'"
+        for said, host, path in ordered
+    )
+    return f"CASE {cases} END"
+
+
+OP1 = f"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{urls.PARTS}', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '{urls.PARTS}', 2) AS path
+  FROM pages
+), shaped AS (
+  SELECT *, regexp_replace(array_to_string(list_filter(string_split(path, '/'),
+      lambda s: s <> ''), '/'), '[0-9]+', '#', 'g') AS shape,
+    try_cast(regexp_extract(path, '([0-9]{{1,18}})(?:\.[a-z]+)?/?$', 1) AS BIGINT) AS doc_id,
+    {rule_cases("name")} AS rule, {rule_cases("verdict")} AS said
+  FROM parts
+), known AS (
+  SELECT page_id, max(quality = 0 OR toxic = 1) AS bad
+  FROM shaped JOIN labels USING (doc_id) WHERE page_id IS NOT NULL GROUP BY page_id
+), t0 AS (
+  SELECT host, shape, list_filter(string_split(shape, '/'), lambda s: s <> '') AS segments,
+    count(*) AS n, count(bad) AS labelled, count(*) FILTER (bad) AS bad, '' AS template
+  FROM shaped LEFT JOIN known USING (page_id) GROUP BY host, shape
+),{tree_levels()}, tree AS (
+  SELECT * REPLACE (template || CASE WHEN len(segments) > {urls.DEPTH} THEN '/**' ELSE '' END
+    AS template) FROM t{urls.DEPTH}
+), overall AS (
+  SELECT sum(bad)::DOUBLE / greatest(sum(labelled)::DOUBLE, 1) AS share FROM tree
+), hosts AS (
+  SELECT host, sum(labelled)::DOUBLE AS labelled, sum(bad)::DOUBLE AS bad FROM tree GROUP BY host
+), templates AS (
+  SELECT host, template, sum(labelled)::DOUBLE AS labelled, sum(bad)::DOUBLE AS bad
+  FROM tree GROUP BY host, template
+), judged AS (
+  SELECT t.host, template, t.labelled::BIGINT AS n_labels, round((t.bad + {urls.SMOOTHING}::DOUBLE *
+      ((h.bad + {urls.SMOOTHING}::DOUBLE * share) / (h.labelled + {urls.SMOOTHING}::DOUBLE)))
+      / (t.labelled + {urls.SMOOTHING}::DOUBLE), 6) AS purity
+  FROM templates t JOIN hosts h USING (host), overall
+)
+SELECT page_id, s.host, path, rule,
+  coalesce(said, CASE WHEN n_labels >= {urls.MIN_LABELS}
+    AND purity >= {urls.MIN_PURITY} THEN 'block' ELSE 'allow' END) AS verdict,
+  t.template, n_labels, purity
+FROM shaped s JOIN tree t ON s.host = t.host AND s.shape = t.shape
+JOIN judged j ON t.host = j.host AND t.template = j.template
+"""
+
+OP3 = f"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents
+), hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines
+), cut AS (
+  SELECT *, (h + {chunks.WEIGHT} * coalesce(lag(h) OVER d, 0)) % {chunks.MEAN_LINES} = 0 AS ends
+  FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cut
+), bodies AS (
+  SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
+  FROM numbered GROUP BY doc_id, chunk
+), judged AS (
+  SELECT *, n = 1 OR NOT regexp_matches(body, '[^\x20\x09-\x0D]') OR
+    row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) = 1 AS stays FROM bodies
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN
+    coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (stays), '') END AS text,
+  coalesce(sum(n), 0)::BIGINT AS n_lines,
+  coalesce(sum(n) FILTER (NOT stays), 0)::BIGINT AS n_removed_lines,
+  count(j.chunk) AS n_chunks, count(*) FILTER (NOT stays) AS n_removed_chunks
+FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id, d.text
+"""
+
+
+def matches_of(kind: str, pattern: str) -> str:
+    """Rows (doc_id, kind, start, finish, match) of one pattern."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, match,
+    sum(length(piece) + length(match)) OVER d - length(match) AS start,
+    sum(length(piece) + length(match)) OVER d AS finish
+  FROM (SELECT doc_id, unnest(m) AS match, unnest(p[1:len(m)]) AS piece,
+      generate_subscripts(m, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(body, '{quoted}') AS m,
+        regexp_split_to_array(body, '{quoted}') AS p FROM bodies))
+  WINDOW d AS (PARTITION BY doc_id ORDER BY i)"""
+
+
+ASSIGNED = credentials.ASSIGN.replace("'", "''")
+
+OP4 = f"""
+WITH bodies AS (
+  SELECT doc_id, coalesce(text, '') AS body, coalesce(source, '') AS owner FROM documents
+), base AS (
+  SELECT * FROM ({matches_of("assign", credentials.ASSIGN)})
+  WHERE length(regexp_extract(match, '{ASSIGNED}', 2)) >= {credentials.MIN_ASSIGNED}
+  UNION ALL {matches_of("access", credentials.ACCESS)}
+  UNION ALL {matches_of("hex", credentials.HEX)}
+), opaque AS (
+  SELECT * FROM ({matches_of("opaque", credentials.OPAQUE)}) o
+  WHERE regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Za-z]') AND NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.start < o.finish AND o.start < b.finish)
+), candidates AS (
+  SELECT f.*, owner, CASE WHEN kind = 'assign' THEN regexp_extract(match, '{ASSIGNED}', 2)
+    ELSE match END AS value
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM opaque) f JOIN bodies USING (doc_id)
+), spread AS (
+  SELECT value, count(DISTINCT owner) <= {credentials.MAX_OWNERS} AS live
+  FROM candidates GROUP BY value
+), judged AS (
+  SELECT c.*, live, kind || ':' || start::BIGINT || ':' || finish::BIGINT AS name,
+    CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 WHEN 'hex' THEN 2 ELSE 3 END AS place
+  FROM candidates c JOIN spread USING (value)
+)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+  count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(name, ',' ORDER BY start, place) FILTER (kind <> 'opaque'), ''))
+    AS base_sha256,
+  coalesce(string_agg(name, ',' ORDER BY start, place) FILTER (kind <> 'opaque' OR live), '')
+    AS spans,
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
+FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id
+"""
+
+ORACLE = {
+    "op1_path_templates": OP1,
+    "op3_line_chunks": OP3,
+    "op4_secret_owners": OP4,
+    "op5_risk_thresholds": OP5,
+}

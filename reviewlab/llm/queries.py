@@ -3,14 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlab.llm import quality
+from reviewlab.llm import chunks, credentials, quality, urls
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_path_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of a page are those of the document whose number its path ends in."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    number = F.regexp_extract(
+        urls.url_parts(F.col("url"))["path"], r"([0-9]{1,18})(?:\.[a-z]+)?/?$", 1
+    )
+    shown = (
+        pages.select("page_id", number.alias("number"))
+        .where("number <> ''")
+        .select("page_id", F.col("number").cast("long").alias("doc_id"))
+    )
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf, "labels").select("doc_id", bad.alias("bad"))
+    return urls.judge_urls(pages, shown.join(labels, "doc_id").select("page_id", "bad"))
+
+
+def op3_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = chunks.drop_repeated(docs, carry=["doc_id"])
+    return done.select(
+        "row.doc_id", "text", "n_lines", "n_removed_lines", "n_chunks", "n_removed_chunks"
+    )
+
+
+def op4_secret_owners(spark: SparkSession, sf: str) -> DataFrame:
+    """A document's source is its owner; its source and language name the repository."""
+    return credentials.find_secrets(table(spark, sf, "documents"))
+
+
 def op5_risk_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     judged = quality.verdicts(docs, table(spark, sf, "labels"), carry=["doc_id", "lang"])
@@ -18,5 +48,8 @@ def op5_risk_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_path_templates": op1_path_templates,
+    "op3_line_chunks": op3_line_chunks,
+    "op4_secret_owners": op4_secret_owners,
     "op5_risk_thresholds": op5_risk_thresholds,
 }
