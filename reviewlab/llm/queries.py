@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import chunks, credentials, quality, urls
+from reviewlab.llm import chunks, credentials, quality, repair, separators, urls
+
+#: The end-of-document id of the flat files.
+FLAT_END = 49_407
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +31,18 @@ def op1_path_templates(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(pages, shown.join(labels, "doc_id").select("page_id", "bad"))
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file, where the environment has them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_repair_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return repair.stored_tokens(docs, tokenizer("word_bpe_49k.json"))
+
+
 def op3_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     done = chunks.drop_repeated(docs, carry=["doc_id"])
@@ -47,9 +62,18 @@ def op5_risk_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("row.doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat files of all documents, in ascending doc_id order, scanned without an index."""
+    docs = table(spark, sf, "documents")
+    files = separators.flat_files(docs, tokenizer("word_bpe_49k.json"), FLAT_END)
+    return separators.count_tokens(files, FLAT_END)
+
+
 QUERIES = {
     "op1_path_templates": op1_path_templates,
+    "op2_repair_tokens": op2_repair_tokens,
     "op3_line_chunks": op3_line_chunks,
     "op4_secret_owners": op4_secret_owners,
     "op5_risk_thresholds": op5_risk_thresholds,
+    "op7_separator_scan": op7_separator_scan,
 }
