@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from reviewlab.llm.tokens import encode_texts, text_blocks
 from reviewlab.session import scratch_path
 
-#: The id behind every document; no rule contains it.
+#: The id behind every document; no rule contains it, so rules never span two documents.
 END = 1
 #: New symbols start here; symbols are written as 16 bits.
 FIRST_SYMBOL = 49_408
@@ -107,15 +107,19 @@ def compress(ids: np.ndarray, doc_ids: np.ndarray) -> Grammar:
         rounds.append(first)
         first += len(chosen)
     none = np.zeros(0, np.uint16)
-    doc_symbols = np.diff(np.flatnonzero(symbols == END), prepend=-1)
-    return Grammar(
+    grammar = Grammar(
         symbols,
         np.concatenate(left or [none]),
         np.concatenate(right or [none]),
         rounds,
-        doc_symbols,
+        none,
         doc_ids,
     )
+    # A document ends with a symbol of its own, as END is in no rule (but may be in a text).
+    widths = np.concatenate((np.ones(FIRST_SYMBOL, np.uint32), expansion_lengths(grammar)))
+    ends = np.searchsorted(np.cumsum(widths[symbols], dtype=np.int64), np.cumsum(doc_ids))
+    grammar.doc_symbols = np.diff(ends, prepend=-1)
+    return grammar
 
 
 def expand(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
