@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import chunks, credentials, quality, repair, separators, urls
+from reviewlab.llm import bpe, chunks, credentials, quality, repair, separators, urls
 
 #: The end-of-document id of the flat files.
 FLAT_END = 49_407
@@ -69,6 +69,13 @@ def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return separators.count_tokens(files, FLAT_END)
 
 
+def op9_distinct_words(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer("byte_bpe_50k.tiktoken")
+    return bpe.encode_and_decode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_path_templates": op1_path_templates,
     "op2_repair_tokens": op2_repair_tokens,
@@ -76,4 +83,5 @@ QUERIES = {
     "op4_secret_owners": op4_secret_owners,
     "op5_risk_thresholds": op5_risk_thresholds,
     "op7_separator_scan": op7_separator_scan,
+    "op9_distinct_words": op9_distinct_words,
 }
