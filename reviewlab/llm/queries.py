@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlab.llm import bpe, chunks, credentials, quality, repair, separators, urls
+from reviewlab.llm import (
+    bpe,
+    chunks,
+    credentials,
+    decontaminate,
+    quality,
+    repair,
+    separators,
+    urls,
+)
 
 #: The end-of-document id of the flat files.
 FLAT_END = 49_407
@@ -76,6 +85,12 @@ def op9_distinct_words(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_bm25_wand(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_path_templates": op1_path_templates,
     "op2_repair_tokens": op2_repair_tokens,
@@ -84,4 +99,5 @@ QUERIES = {
     "op5_risk_thresholds": op5_risk_thresholds,
     "op7_separator_scan": op7_separator_scan,
     "op9_distinct_words": op9_distinct_words,
+    "op10_bm25_wand": op10_bm25_wand,
 }
