@@ -10,6 +10,7 @@ from reviewlab.llm import (
     chunks,
     credentials,
     decontaminate,
+    neardup,
     quality,
     repair,
     separators,
@@ -71,6 +72,10 @@ def op5_risk_thresholds(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("row.doc_id", *quality.FEATURES, "base_failed", "kept")
 
 
+def op6_setsketch(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Flat files of all documents, in ascending doc_id order, scanned without an index."""
     docs = table(spark, sf, "documents")
@@ -97,6 +102,7 @@ QUERIES = {
     "op3_line_chunks": op3_line_chunks,
     "op4_secret_owners": op4_secret_owners,
     "op5_risk_thresholds": op5_risk_thresholds,
+    "op6_setsketch": op6_setsketch,
     "op7_separator_scan": op7_separator_scan,
     "op9_distinct_words": op9_distinct_words,
     "op10_bm25_wand": op10_bm25_wand,
