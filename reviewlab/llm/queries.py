@@ -15,6 +15,7 @@ from reviewlab.llm import (
     repair,
     separators,
     urls,
+    wrappers,
 )
 
 #: The end-of-document id of the flat files.
@@ -83,6 +84,10 @@ def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return separators.count_tokens(files, FLAT_END)
 
 
+def op8_wrapper_induction(spark: SparkSession, sf: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf, "pages"))
+
+
 def op9_distinct_words(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -104,6 +109,7 @@ QUERIES = {
     "op5_risk_thresholds": op5_risk_thresholds,
     "op6_setsketch": op6_setsketch,
     "op7_separator_scan": op7_separator_scan,
+    "op8_wrapper_induction": op8_wrapper_induction,
     "op9_distinct_words": op9_distinct_words,
     "op10_bm25_wand": op10_bm25_wand,
 }
