@@ -1,13 +1,14 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, tokens.
 
-Each stage takes what the stage before kept; all but the last return the columns of documents.
+Each stage takes what the stage before kept, stored and read again; all but the last return the
+columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import quality
+from reviewlab.llm import bpe, chunks, decontaminate, neardup, quality
 from reviewlab.session import materialize
 
 
@@ -16,16 +17,43 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Chunks of lines that an earlier document has are cut out of the texts."""
+    return chunks.without_repeated(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return neardup.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document the number of byte-level BPE tokens and digests of ids and decoded bytes."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("byte-level BPE", tokens),
 ]
 
-#: Rows of the last stage come from a tokenizer, which SQL cannot express.
+#: The rows of the last stage come from a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table, each stored before the next one reads it."""
+    """All stages over the whole documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
