@@ -23,17 +23,18 @@ from reviewlab.llm.components import components
 from reviewlab.llm.tokens import split_words, text_blocks
 from reviewlab.session import materialize, scratch_path
 
-#: Per cent of the union that linked documents share, and words in a shingle.
-PERCENT = 85
-SHINGLE = 3
-#: Registers in bands of a few: two sets at the threshold share no band once in a million times.
-BANDS = 24
-BAND = 5
+#: Words in a shingle, and per cent of the union that linked documents share.
+SHINGLE = 5
+PERCENT = 80
+#: Registers in bands of a few: two sets that share 80 % of their union have no band in common
+#: once in seven million times.
+BANDS = 30
+BAND = 4
 REGISTERS = BANDS * BAND
 #: Parameters of the registers: base, rate, and the largest value.
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 1
 #: A pair is verified if the estimate is at most so far below the threshold: five deviations.
-SLACK = 0.16
+SLACK = 0.18
 #: How many pivots of a group each further round has, as a multiple of the round before.
 MORE_PIVOTS = 4
 
@@ -151,7 +152,9 @@ def likely_similarity(
 SKETCH = "n_shingles long, digest binary, bands array<long>, sketch binary"
 
 
-def sketches(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def sketches(
+    docs: DataFrame, text: str = "text", carry: list[str] | None = None, shingle: int = SHINGLE
+) -> DataFrame:
     """Per row rid, row (the columns ``carry``, or all but the text, and doc_id), doc_id, text,
     n_shingles, digest (of the set), bands and sketch; stored.
 
@@ -168,7 +171,7 @@ def sketches(docs: DataFrame, text: str = "text", carry: list[str] | None = None
         import xxhash
 
         for block in text_blocks(batches, "text"):
-            sets = shingle_sets(block.column("text"))
+            sets = shingle_sets(block.column("text"), shingle)
             own = [registers(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -194,7 +197,7 @@ def sketches(docs: DataFrame, text: str = "text", carry: list[str] | None = None
     return spark.read.parquet(path)
 
 
-def plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes allow a link and whose estimate is not far below it."""
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +212,7 @@ def plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
                 batch.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b")
             )
             found = likely_similarity(one, other, n_one, n_other)
-            yield batch.select(["a", "b"]).filter(pa.array(found >= PERCENT / 100 - SLACK))
+            yield batch.select(["a", "b"]).filter(pa.array(found >= percent / 100 - SLACK))
 
     sides = [
         reps.select(
@@ -220,16 +223,16 @@ def plausible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         for side in ("a", "b")
     ]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    sized = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     return both.where(sized).mapInArrow(estimate, "a long, b long")
 
 
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets share enough. Each text is cut into shingles once."""
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
-            sets = shingle_sets(block.column("text"))
+            sets = shingle_sets(block.column("text"), shingle)
             yield pa.RecordBatch.from_arrays(
                 [block.column("rid"), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["rid", "shingles"],
@@ -241,7 +244,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             for one, other in zip(batch.column("set_a"), batch.column("set_b")):
                 a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, other))
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
+                keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
@@ -258,7 +261,9 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(compare, "a long, b long")
 
 
-def linked_components(rows: DataFrame, reps: DataFrame) -> DataFrame:
+def linked_components(
+    rows: DataFrame, reps: DataFrame, shingle: int, percent: int
+) -> DataFrame:
     """(node, component) of the representatives that are linked to others.
 
     Representatives that share a band are a group. Each round takes the first few members of a
@@ -299,9 +304,8 @@ def linked_components(rows: DataFrame, reps: DataFrame) -> DataFrame:
         )
         pairs = materialize(pairs, "band-pairs")
         tested = tested.unionByName(pairs)
-        new = materialize(
-            verified(materialize(plausible(pairs, reps), "likely-pairs"), rows), "new-links"
-        )
+        likely = materialize(plausible(pairs, reps, percent), "likely-pairs")
+        new = materialize(verified(likely, rows, shingle, percent), "new-links")
         links = links.unionByName(new)
         found = materialize(components(links), "components")
         left = first.select("band", F.col("pivot").alias("rid"))
@@ -322,7 +326,9 @@ def group_pivots(members: DataFrame, n: int) -> DataFrame:
     )
 
 
-def component_ids(rows: DataFrame) -> DataFrame:
+def component_ids(
+    rows: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """Per row of ``sketches``: rid, doc_id, n_shingles, component, component_id, kept."""
     classes = rows.where("digest is not null").groupBy("digest").agg(
         F.min("rid").alias("rep"), F.min("doc_id").alias("least")
@@ -332,7 +338,7 @@ def component_ids(rows: DataFrame) -> DataFrame:
         "rid", "n_shingles", "bands", "sketch"
     )
     reps = materialize(reps, "representatives")
-    found = linked_components(rows, reps)
+    found = linked_components(rows, reps, shingle, percent)
     joined = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", "least", F.coalesce("component", "rep").alias("component")
     )
@@ -356,7 +362,9 @@ def component_ids(rows: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept.
 
     component_id is the smallest doc_id that links reach, kept says that it is the row's own. A
@@ -364,15 +372,17 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     of their own; a null doc_id is no smallest one unless the whole component has none. Equal
     sets are merged before anything is compared.
     """
-    found = component_ids(sketches(docs, text, carry=[]))
+    found = component_ids(sketches(docs, text, [], shingle), shingle, percent)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """One row of every component, that with the smallest doc_id (of equal ids any one row);
     columns as in ``docs``. Rows without words all stay."""
-    rows = sketches(docs, text)
-    kept = component_ids(rows).where("kept").groupBy("component").agg(F.min("rid").alias("rid"))
+    rows = sketches(docs, text, None, shingle)
+    kept = component_ids(rows, shingle, percent).where("kept").groupBy("component").agg(F.min("rid").alias("rid"))
     columns = [
         F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c)
         for c in docs.columns

@@ -74,7 +74,7 @@ def op5_risk_thresholds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_setsketch(spark: SparkSession, sf: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf, "documents"))
+    return neardup.near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
 
 
 def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
