@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.common import SPACE, once, packed
 
-#: A chunk ends where the rolling hash is divisible by this: chunks of four lines on average.
-MEAN_LINES = 4
-#: Weight of the line before in the rolling hash over two lines.
+#: A chunk ends where the rolling hash is divisible by this and was not one line before, so only
+#: the ends of a text make chunks of one line.
+DIVISOR = 2
+#: (Chunks have four lines on average.) Weight of the line before in the rolling hash over two lines.
 WEIGHT = 31
 #: Stands for a null doc_id, which sorts last.
 NO_ID = 2**63 - 1
@@ -36,11 +37,15 @@ def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     n = F.size("lines")
     before = F.concat(F.array(F.lit(0).cast("long")), F.col("hashes"))
     rolled = F.zip_with(
-        "hashes", F.slice(before, 1, n), lambda here, above: (here + WEIGHT * above) % MEAN_LINES
+        "hashes", F.slice(before, 1, n), lambda here, above: (here + WEIGHT * above) % DIVISOR
     )
     df = once(df, "rolled", rolled)
+    above = lambda i: F.coalesce(F.get("rolled", i - 1), F.lit(1))
     last = F.filter(
-        F.transform("rolled", lambda r, i: F.when((r == 0) | (i == n - 1), i + 1)),
+        F.transform(
+            "rolled",
+            lambda r, i: F.when(((r == 0) & (above(i) != 0)) | (i == n - 1), i + 1),
+        ),
         lambda i: i.isNotNull(),
     )
     df = once(df, "ends", last)

@@ -162,9 +162,12 @@ WITH lines AS (
   FROM documents
 ), hashed AS (
   SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines
-), cut AS (
-  SELECT *, (h + {chunks.WEIGHT} * coalesce(lag(h) OVER d, 0)) % {chunks.MEAN_LINES} = 0 AS ends
+), rolled AS (
+  SELECT *, (h + {chunks.WEIGHT} * coalesce(lag(h) OVER d, 0)) % {chunks.DIVISOR} AS r
   FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), cut AS (
+  SELECT *, r = 0 AND coalesce(lag(r) OVER (PARTITION BY doc_id ORDER BY i), 1) <> 0 AS ends
+  FROM rolled
 ), numbered AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cut
