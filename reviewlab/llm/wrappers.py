@@ -178,8 +178,8 @@ def templates(stored: DataFrame) -> DataFrame:
                 page, reference = from_row(row), from_row(row, "ref_")
                 for a, b in align(page, reference):
                     count = counts.setdefault((row["of"], b), Counter())
-                    same = page.texts[a] == reference.texts[b]
-                    count.update(aligned=1, same=same, varied=0 if same else page.chars[a])
+                    same = int(page.texts[a] == reference.texts[b])
+                    count.update(aligned=1, same=same, varied=(1 - same) * page.chars[a])
             rows = [
                 {"of": host, "node": node, **{c: count[c] for c in ("aligned", "same", "varied")}}
                 for (host, node), count in counts.items()
