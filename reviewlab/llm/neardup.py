@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from reviewlab.llm.common import packed
 from reviewlab.llm.components import components
@@ -26,17 +27,13 @@ from reviewlab.session import materialize, scratch_path
 #: Words in a shingle, and per cent of the union that linked documents share.
 SHINGLE = 5
 PERCENT = 80
-#: Registers in bands of a few: two sets that share 80 % of their union have no band in common
-#: once in seven million times.
-BANDS = 30
-BAND = 4
-REGISTERS = BANDS * BAND
+#: Registers of a sketch, and how often two sets at the threshold may have no band in common.
+REGISTERS = 120
+MISSED = 1e-6
 #: Parameters of the registers: base, rate, and the largest value.
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 1
 #: A pair is verified if the estimate is at most so far below the threshold: five deviations.
 SLACK = 0.18
-#: How many pivots of a group each further round has, as a multiple of the round before.
-MORE_PIVOTS = 4
 
 MULTIPLY = np.random.default_rng(20240601).integers(0, 2**63, REGISTERS, np.uint64) * 2 + 1
 STIR = np.uint64(0xD6E8FEB86659FD93)
@@ -103,11 +100,21 @@ def merge(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.maximum(one, other)
 
 
-def band_keys(sketch: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of registers, different in every band."""
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for place in range(BAND):
-        keys = stir(keys + sketch.reshape(BANDS, BAND)[:, place].astype(np.uint64))
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, registers in a band): the longest bands that miss a link at most MISSED times."""
+    for length in range(12, 0, -1):
+        bands = REGISTERS // length
+        if (1 - (percent / 100) ** length) ** bands <= MISSED:
+            return bands, length
+    return REGISTERS, 1
+
+
+def band_keys(sketches: np.ndarray, bands: int, length: int) -> np.ndarray:
+    """One 64-bit key per band of each sketch (rows), different in every band."""
+    cut = sketches[:, : bands * length].reshape(len(sketches), bands, length).astype(np.uint64)
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sketches), 1))
+    for place in range(length):
+        keys = stir(keys + cut[:, :, place])
     return keys.view(np.int64)
 
 
@@ -149,16 +156,16 @@ def likely_similarity(
     return (low + high) / 2
 
 
-SKETCH = "n_shingles long, digest binary, bands array<long>, sketch binary"
+SKETCH = "n_shingles long, digest binary, sketch binary"
 
 
 def sketches(
     docs: DataFrame, text: str = "text", carry: list[str] | None = None, shingle: int = SHINGLE
 ) -> DataFrame:
     """Per row rid, row (the columns ``carry``, or all but the text, and doc_id), doc_id, text,
-    n_shingles, digest (of the set), bands and sketch; stored.
+    n_shingles, digest (of the set) and sketch; stored.
 
-    The last three are null for an empty set.
+    The last two are null for an empty set.
     """
     columns = [c for c in docs.columns if c != text] if carry is None else carry
     rows = packed(
@@ -181,12 +188,9 @@ def sketches(
                         [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets],
                         pa.binary(),
                     ),
-                    pa.array(
-                        [None if r is None else band_keys(r) for r in own], pa.list_(pa.int64())
-                    ),
                     pa.array([None if r is None else r.tobytes() for r in own], pa.binary()),
                 ],
-                names=[*block.schema.names, "n_shingles", "digest", "bands", "sketch"],
+                names=[*block.schema.names, "n_shingles", "digest", "sketch"],
             )
 
     spark = docs.sparkSession
@@ -261,69 +265,152 @@ def verified(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> D
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(compare, "a long, b long")
 
 
-def linked_components(
-    rows: DataFrame, reps: DataFrame, shingle: int, percent: int
-) -> DataFrame:
-    """(node, component) of the representatives that are linked to others.
+def band_members(reps: DataFrame, percent: int) -> DataFrame:
+    """(rid, band): the representatives in each of their bands."""
+    bands, length = banding(percent)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join(batch.column("sketch").to_pylist())
+            keys = band_keys(np.frombuffer(raw, "<u2").reshape(-1, REGISTERS), bands, length)
+            rids = np.repeat(batch.column("rid").to_numpy(), bands)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rids), pa.array(keys.ravel())], names=["rid", "band"]
+            )
+
+    return reps.select("rid", "sketch").mapInArrow(cut, "rid long, band long")
+
 
-    Representatives that share a band are a group. Each round takes the first few members of a
-    group that still spans several components as pivots, and compares them with the members that
-    are in other components; then they leave the group. A group is finished when all that is left
-    of it is in one component, so no link between components is lost, and a group of near copies
-    costs one comparison per member, not per pair.
+def star_pairs(groups: DataFrame) -> DataFrame:
+    """Each member of a group with the group's pivot, as distinct pairs (a, b).
+
+    The pivot is the member whose groups are the largest together: in a family of near copies
+    that is the text the others were made from, or one close to it.
     """
-    spark = rows.sparkSession
-    members = reps.select("rid", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    groups = materialize(members.join(shared, "band"), "band-groups")
-    links = spark.createDataFrame([], "a long, b long")
-    found = spark.createDataFrame([], "node long, component long")
-    tested = links
-    pivots = 1
-    while True:
-        labelled = materialize(
-            groups.join(found, F.col("rid") == F.col("node"), "left").select(
-                "band", "rid", F.coalesce("component", "rid").alias("component")
-            ),
-            "labelled-groups",
-        )
-        spans = labelled.groupBy("band").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        live = spans.where("low < high").select("band")
-        if live.isEmpty():
-            return found
-        labelled = materialize(labelled.join(live, "band"), "live-groups")
-        first = materialize(group_pivots(labelled, pivots), "pivots")
-        pairs = (
-            labelled.join(first, "band")
-            .where("component <> pivot_component")
-            .select(F.greatest("rid", "pivot").alias("a"), F.least("rid", "pivot").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = materialize(pairs, "band-pairs")
-        tested = tested.unionByName(pairs)
-        likely = materialize(plausible(pairs, reps, percent), "likely-pairs")
-        new = materialize(verified(likely, rows, shingle, percent), "new-links")
-        links = links.unionByName(new)
-        found = materialize(components(links), "components")
-        left = first.select("band", F.col("pivot").alias("rid"))
-        groups = labelled.select("band", "rid").join(left, ["band", "rid"], "left_anti")
-        pivots *= MORE_PIVOTS
+    weights = groups.groupBy("rid").agg(F.sum("n").alias("weight"))
+    weighted = groups.join(weights, "rid")
+    pivots = weighted.groupBy("band").agg(F.max_by("rid", "weight").alias("pivot"))
+    return (
+        groups.join(pivots, "band")
+        .where("rid <> pivot")
+        .select(F.greatest("rid", "pivot").alias("a"), F.least("rid", "pivot").alias("b"))
+        .distinct()
+    )
+
+
+def open_members(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """(rid, component) of the members of groups that still span several components."""
+    labelled = groups.join(found, F.col("rid") == F.col("node"), "left").select(
+        "band", "rid", F.coalesce("component", "rid").alias("component")
+    )
+    labelled = materialize(labelled, "labelled-groups")
+    spans = labelled.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    live = spans.where("low < high").select("band")
+    return labelled.join(live, "band", "left_semi").select("rid", "component").distinct()
 
 
-def group_pivots(members: DataFrame, n: int) -> DataFrame:
-    """(band, pivot, pivot_component): up to n members of each group, by plain minima.
+def prefix_pairs(
+    members: DataFrame, rows: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """All pairs (a, b) of members in different components that could be linked, by exact rules.
 
-    Members are dealt to n parts by a hash and each part gives its least, so no list is gathered.
+    Two sets that share c elements have one in common among the first n - c + 1 of each, in any
+    order; taking the rarest first makes those lists short of partners. Elements of one member
+    only take up their places but join nothing. A pair needs a side outside of the element's
+    commonest component, so the members of a large component are not paired with each other.
     """
-    least = members.groupBy("band", F.pmod(F.xxhash64("rid"), F.lit(n)).alias("part")).agg(
-        F.min("rid").alias("rid")
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, "text"):
+            sets = shingle_sets(block.column("text"), shingle)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            both = pa.RecordBatch.from_arrays(
+                [block.column("rid"), block.column("component"), pa.array(sizes)],
+                names=["rid", "component", "n"],
+            ).take(pa.array(np.repeat(np.arange(len(sets)), sizes)))
+            found = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [*both.columns, pa.array(found.view(np.int64))], names=[*both.schema.names, "e"]
+            )
+
+    texts = rows.select("rid", "text").join(members, "rid")
+    exploded = materialize(
+        texts.mapInArrow(elements, "rid long, component long, n long, e long"), "elements"
+    )
+    shared = exploded.groupBy("e").agg(F.count("*").alias("df")).where("df > 1")
+    common = exploded.join(shared, "e")
+    inside = Window.partitionBy("rid")
+    place = (
+        F.col("n")
+        - F.count("*").over(inside)
+        + F.row_number().over(inside.orderBy("df", "e"))
+    )
+    longest = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
+    prefix = materialize(
+        common.select("rid", "component", "n", "e", place.alias("place")).where(
+            F.col("place") <= longest
+        ),
+        "prefixes",
+    )
+    sizes = prefix.groupBy("e", "component").agg(F.count("*").alias("size"))
+    spans = sizes.groupBy("e").agg(
+        F.max_by("component", "size").alias("major"), F.count("*").alias("components")
     )
-    return members.join(least, ["band", "rid"], "left_semi").select(
-        "band", F.col("rid").alias("pivot"), F.col("component").alias("pivot_component")
+    spans = spans.where("components > 1").select("e", "major")
+    held = prefix.join(spans, "e")
+    left, right = (
+        held.select("e", "major", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "component", "n", "place")])
+        for side in ("x", "y")
     )
+    least = F.expr(f"({percent} * (n_x + n_y) + {99 + percent}) div {100 + percent}")
+    fits = (
+        (F.col("component_x") != F.col("component_y"))
+        & (F.col("place_x") <= F.col("n_x") - least + 1)
+        & (F.col("place_y") <= F.col("n_y") - least + 1)
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    )
+    return (
+        left.where("component_x <> major")
+        .join(right.drop("major"), "e")
+        .where(fits)
+        .select(F.greatest("rid_x", "rid_y").alias("a"), F.least("rid_x", "rid_y").alias("b"))
+        .distinct()
+    )
+
+
+def linked_components(
+    rows: DataFrame, reps: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """(node, component) of the representatives that are linked to others.
+
+    Representatives with a band in common are a group. First every member is compared with the
+    pivot of its groups, one comparison per member. A group that is in one component then has no
+    link left that matters. The members of the others are paired by exact rules, so no link
+    between two components is lost, however large a group is.
+    """
+    members = band_members(reps, percent)
+    sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    groups = materialize(members.join(sizes, "band"), "band-groups")
+    links = checked(star_pairs(groups), rows, reps, shingle, percent)
+    found = materialize(components(links), "components")
+    members = materialize(open_members(groups, found), "open-members")
+    if members.isEmpty():
+        return found
+    pairs = prefix_pairs(members, rows, shingle, percent)
+    more = checked(pairs, rows, reps, shingle, percent)
+    if more.isEmpty():
+        return found
+    return materialize(components(links.unionByName(more)), "components")
+
+
+def checked(
+    pairs: DataFrame, rows: DataFrame, reps: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """The pairs that are links: first by the estimate, then on the full sets; stored."""
+    likely = materialize(plausible(materialize(pairs, "pairs"), reps, percent), "likely-pairs")
+    return materialize(verified(likely, rows, shingle, percent), "links")
 
 
 def component_ids(
@@ -335,7 +422,7 @@ def component_ids(
     )
     classes = materialize(classes, "classes")
     reps = rows.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select(
-        "rid", "n_shingles", "bands", "sketch"
+        "rid", "n_shingles", "sketch"
     )
     reps = materialize(reps, "representatives")
     found = linked_components(rows, reps, shingle, percent)

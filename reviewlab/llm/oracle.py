@@ -121,7 +121,7 @@ WITH parts AS (
 ), shaped AS (
   SELECT *, regexp_replace(array_to_string(list_filter(string_split(path, '/'),
       lambda s: s <> ''), '/'), '[0-9]+', '#', 'g') AS shape,
-    try_cast(regexp_extract(path, '([0-9]{{1,18}})(?:\.[a-z]+)?/?$', 1) AS BIGINT) AS doc_id,
+    try_cast(regexp_extract(path, '([0-9]{{1,18}})(?:\\.[a-z]+)?/?$', 1) AS BIGINT) AS doc_id,
     {rule_cases("name")} AS rule, {rule_cases("verdict")} AS said
   FROM parts
 ), known AS (
