@@ -151,6 +151,14 @@ records AS (
          user_id AS artist_id, 'artist ' || cast(user_id AS varchar) AS artist_name
   FROM events)"""
 
+CONFLICTS = f"""
+{RECORDS},
+conflicts AS (
+  SELECT * FROM records
+  UNION ALL
+  SELECT * REPLACE ('a ' || track_name AS track_name, 'a ' || collection_name AS collection_name,
+    'a ' || artist_name AS artist_name) FROM records WHERE track_id % 2 = 0)"""
+
 FLAT_COLUMNS = """review_id, reviewer, movie, rating, review_summary, review_date,
   spoiler_tag, review_detail, helpful"""
 
@@ -177,14 +185,14 @@ ORACLE: dict[str, str] = {
              round(avg(sentiment_score::double), 6) AS avg_sentiment
       FROM felt GROUP BY reviewer""",
     "reviewer_head": f"""WITH {CLEANED}
-      SELECT reviewer, round(avg(rating::double), 6) AS avg_rating
-      FROM cleaned GROUP BY reviewer ORDER BY reviewer LIMIT 20""",
+      SELECT movie, round(avg(rating::double), 6) AS avg_rating
+      FROM cleaned GROUP BY movie ORDER BY movie LIMIT 20""",
     "length_rating_corr": f"""WITH {CLEANED}
       SELECT round(corr(length(cleaned_review)::double, rating::double), 6) AS correlation
       FROM cleaned""",
-    "long_review_count": f"""WITH {CLEANED}
-      SELECT count(*) FILTER (WHERE length(cleaned_review) >= 1000) AS long_reviews
-      FROM cleaned""",
+    "long_review_count": f"""WITH {FLAT}
+      SELECT count(*) FILTER (WHERE length(review_detail) >= 1000) AS long_reviews
+      FROM flat WHERE rating IS NOT NULL""",
     "score_corr_matrix": f"""WITH {ANALYSED},
       long AS (
         SELECT review_id, 'rating' AS name, rating::double AS v FROM analysed
@@ -226,12 +234,17 @@ ORACLE: dict[str, str] = {
       FROM split LEFT JOIN kept USING (review_id) GROUP BY split.review_id""",
     "word_counts": f"WITH {TOKENS} SELECT word, count FROM counts",
     "top_words": f"WITH {TOP} SELECT word, count FROM top",
-    "word_share": f"""WITH {TOP}
-      SELECT word, count, round(count / sum(count) OVER (), 6) AS share
-      FROM top WHERE word NOT IN ('', 'nan')""",
+    "word_share": f"""WITH {TOKENS},
+      real AS (SELECT word, count FROM counts WHERE word NOT IN ('', 'nan')
+               ORDER BY count DESC, word LIMIT 20)
+      SELECT word, count, round(count / sum(count) OVER (), 6) AS share FROM real""",
     "vocabulary": f"""WITH {TOKENS}
-      SELECT (row_number() OVER (ORDER BY count DESC, word) - 1)::int AS term, word, count
-      FROM counts ORDER BY term LIMIT 262144""",
+      SELECT row_number() OVER (ORDER BY count DESC, word) - 1 AS term, word, count
+      FROM counts""",
+    "vocabulary_left_out": f"""WITH {TOKENS},
+      terms AS (SELECT count, row_number() OVER (ORDER BY count DESC, word) AS place FROM counts)
+      SELECT count(*) AS words, coalesce(sum(count), 0)::bigint AS occurrences
+      FROM terms WHERE place > 1000""",
     "tfidf_terms": f"""WITH {TFIDF}
       SELECT review_id, word, tf::int AS tf, df, round(tfidf, 6) AS tfidf FROM tfidf""",
     "flesch_scores": f"""WITH {CLEANED}, {flesch_counts("cleaned")}
@@ -268,8 +281,14 @@ ORACLE: dict[str, str] = {
              round(rating::double / stddev_samp(rating::double) OVER (), 6) AS scaled_rating
       FROM cleaned""",
     "hash_split": f"WITH {CLEANED} SELECT review_id, {SPLIT} AS split FROM cleaned",
-    "row_cap": f"""WITH {FLAT}
-      SELECT review_id, reviewer, movie FROM flat ORDER BY md5(review_id), review_id LIMIT 250""",
+    "row_cap": f"""WITH {FLAT},
+      odd AS (SELECT CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'same'
+                ELSE cast(doc_id AS varchar) END AS review_id, source AS reviewer,
+                lang || '-' || cast(doc_id % 25 AS varchar) AS movie FROM documents)
+      SELECT * FROM odd ORDER BY md5(coalesce(review_id, '')), review_id NULLS FIRST,
+        reviewer NULLS FIRST, movie NULLS FIRST LIMIT 250""",
+    "decision_tree_scored_rows": f"""WITH {CLEANED}
+      SELECT {SPLIT} AS split, count(*) AS rows FROM cleaned GROUP BY 1""",
     "naive_bayes_words": f"""WITH {BAYES}
       SELECT split, rating_category, prediction, count(*) AS rows FROM outcome GROUP BY ALL""",
     "naive_bayes_words_accuracy": f"""WITH {BAYES}
@@ -288,17 +307,82 @@ ORACLE: dict[str, str] = {
     "json_blobs": f"""WITH {RECORDS}
       SELECT cast(to_json(records) AS varchar) AS json_blob FROM records
       UNION ALL
-      SELECT cast(to_json({{'conv_id': conv_id, 'turn': turn, 'role': role}}) AS varchar)
-      FROM conversations""",
+      SELECT cast(to_json(conversations) AS varchar) FROM conversations""",
     "json_blob_columns": f"WITH {RECORDS} SELECT * FROM records",
-    "rejected_blobs": "SELECT source AS json_blob FROM documents",
-    "split_tracks": f"""WITH {RECORDS}
-      SELECT track_id, track_name, track_price, collection_id, artist_id FROM records""",
-    "split_collections": f"""WITH {RECORDS}
-      SELECT DISTINCT collection_id, collection_name FROM records""",
-    "split_artists": f"WITH {RECORDS} SELECT DISTINCT artist_id, artist_name FROM records",
+    "rejected_blobs": "SELECT text AS json_blob FROM documents",
+    "split_tracks": f"""WITH {CONFLICTS}
+      SELECT track_id, min(track_name) AS track_name, min(track_price) AS track_price,
+        min(collection_id) AS collection_id, min(artist_id) AS artist_id
+      FROM conflicts GROUP BY track_id""",
+    "split_collections": f"""WITH {CONFLICTS}
+      SELECT collection_id, min(collection_name) AS collection_name
+      FROM conflicts WHERE collection_id IS NOT NULL GROUP BY 1""",
+    "split_artists": f"""WITH {CONFLICTS}
+      SELECT artist_id, min(artist_name) AS artist_name
+      FROM conflicts WHERE artist_id IS NOT NULL GROUP BY 1""",
     "csv_word_report": f"WITH {TOP} SELECT word, count FROM top",
     "csv_reviewer_report": f"""WITH {CLEANED}
       SELECT reviewer, round(avg(rating::double), 6) AS avg_rating
       FROM cleaned GROUP BY reviewer""",
+    "csv_broken_names": """SELECT text AS reviewer, length(text)::double AS avg_rating
+      FROM documents""",
+    "land_nested": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "land_json_array": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "land_select": f"""WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat
+      WHERE cast(review_id AS bigint) % 3 <> 1""",
+    "land_reuse": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat WHERE spoiler_tag = 0",
+    "stage_chain": f"""WITH {CLEANED}
+      SELECT 'raw' AS stage, count(*) AS rows FROM flat
+      UNION ALL SELECT 'flat', count(*) FROM flat
+      UNION ALL SELECT 'cleaned', count(*) FROM cleaned
+      UNION ALL SELECT 'features', count(*) FROM cleaned
+      UNION ALL SELECT 'predictions', count(*) FROM cleaned
+      UNION ALL SELECT 'metrics', count(DISTINCT {SPLIT}) FROM cleaned""",
+}
+
+GROUPED = f"""
+rows AS (
+  SELECT cast(doc_id AS varchar) AS review_id, quality + 1 AS target,
+         CASE WHEN contains(text, '!!') THEN 'bangs' WHEN contains(text, '%%%') THEN 'marks'
+              WHEN contains(text, ' | ') THEN 'pipes' ELSE 'plain' END AS grp
+  FROM documents JOIN labels USING (doc_id)),
+placed AS (SELECT *, {SPLIT} AS split FROM rows),
+means AS (SELECT grp, avg(target) AS mean FROM placed WHERE split = 'train' GROUP BY grp)"""
+
+SIDE = "CASE WHEN mean > 1.5 THEN 2.0::double ELSE 1.0::double END"
+
+ORACLE |= {
+    f"group_{name}": f"""WITH {GROUPED}
+      SELECT split, grp, {value} AS predicted, count(*) AS rows
+      FROM placed JOIN means USING (grp) GROUP BY ALL"""
+    for name, value in {
+        "LogisticRegression": SIDE,
+        "DecisionTree": SIDE,
+        "RandomForest": SIDE,
+        "RandomForestRegressor": SIDE,
+        "LinearRegression": "round(mean, 6)",
+        "DecisionTreeRegressor": "round(mean, 6)",
+        "GBTRegressor": "round(mean, 6)",
+    }.items()
+}
+
+ORACLE |= {
+    "hashed_counts": f"""WITH {TOKENS}
+      SELECT cleaned.review_id, count(kept.word) AS tokens,
+             (SELECT count(*) FROM cleaned) AS documents
+      FROM cleaned LEFT JOIN kept USING (review_id) GROUP BY cleaned.review_id""",
+    "kmeans_facts": f"""WITH {CLEANED}
+      SELECT 5::bigint AS clusters, 5::bigint AS used, count(*) AS reviews,
+             0::bigint AS misplaced FROM cleaned""",
+    "lda_facts": """SELECT i::int AS topic, 10::bigint AS terms, 10::bigint AS known_terms,
+             10::bigint AS falling FROM range(10) AS r(i)""",
+    "topic_line_format": f"""WITH {TOKENS},
+      placed AS (
+        SELECT word, (count % 8) / 8.0::double AS weight,
+               row_number() OVER (ORDER BY count DESC, word) - 1 AS place
+        FROM counts ORDER BY place LIMIT 30)
+      SELECT 'Topic ' || (place % 3) || ': ' ||
+             string_agg(word || '(' || weight::varchar || ')', ' ' ORDER BY place)
+               AS TopicDetails
+      FROM placed GROUP BY place % 3""",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reviewlab import schemas
 from reviewlab.operators import (
@@ -21,6 +22,8 @@ from reviewlab.operators import (
     topics,
     words,
 )
+from reviewlab.plans.modeling import evaluate_model, train_model
+from reviewlab.plans.preprocess import preprocess
 from reviewlab.session import materialize, scratch_path
 from reviewlab.sinks import writers
 from reviewlab.sources import landing, tables, testtables
@@ -28,6 +31,10 @@ from reviewlab.sources import landing, tables, testtables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Words that models over counted words are built from.
+VOCABULARY_SIZE = 1 << 18
+
+
 def rounded(column: str, digits: int = 6) -> Column:
     """The column as a rounded double: engines add floats in another order."""
     return F.round(F.col(column).cast("double"), digits).alias(column)
@@ -96,7 +103,8 @@ def reviewer_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reviewer_head(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.head_by_key(avg_rating_per_reviewer(spark, sf), "reviewer")
+    """The first 20 of many keys: movies stand in for reviewers, of whom there are only 20."""
+    return reports.head_by_key(avg_rating_per_movie(spark, sf), "movie")
 
 
 def length_rating_corr(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +113,11 @@ def length_rating_corr(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def long_review_count(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.long_review_count(analysed(spark, sf))
+    """Over all rated reviews, short ones too."""
+    flat = clean.flatten_reviews(raw(spark, sf)).where("rating is not null")
+    return reports.long_review_count(
+        scores.with_length(flat.withColumn("cleaned_review", F.col("review_detail")))
+    )
 
 
 def score_corr_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +164,7 @@ def top_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_share(spark: SparkSession, sf: str) -> DataFrame:
-    share = words.word_share(words.top_words(cleaned(spark, sf)))
+    share = words.word_share(words.top_words(cleaned(spark, sf), without=words.NO_WORDS))
     return share.select("word", "count", rounded("share"))
 
 
@@ -160,6 +172,11 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return words.vocabulary(cleaned(spark, sf))
 
 
+def vocabulary_left_out(spark: SparkSession, sf: str) -> DataFrame:
+    """What a vocabulary of 1,000 words would lose."""
+    return words.left_out(words.vocabulary(cleaned(spark, sf)), 1000)
+
+
 def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
     terms = words.tfidf_terms(stored(spark, sf, "review_id", "cleaned_review"))
     return terms.select("review_id", "word", "tf", "df", rounded("tfidf"))
@@ -217,7 +234,7 @@ def tfidf_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def count_features(spark: SparkSession, sf: str) -> DataFrame:
     reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
-    vectors, _ = features.count_features(reviews)
+    vectors, _ = features.count_features(reviews, VOCABULARY_SIZE)
     return vector_measures(vectors.select("review_id", "rating_category", "features"))
 
 
@@ -266,7 +283,7 @@ def kmeans_centers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
-    found, terms = topics.fit_topics(stored(spark, sf, "cleaned_review"))
+    found, terms = topics.fit_topics(stored(spark, sf, "cleaned_review"), VOCABULARY_SIZE)
     return topics.topic_terms(found, terms)
 
 
@@ -282,9 +299,26 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def row_cap(spark: SparkSession, sf: str) -> DataFrame:
-    """The sampling operator itself: 250 rows chosen by the hash of their id."""
+    """The sampling operator itself: 250 rows chosen by the hash of their id.
+
+    A third of the ids is missing and a third is one and the same.
+    """
     flat = clean.flatten_reviews(raw(spark, sf)).select("review_id", "reviewer", "movie")
-    return sampling.cap_rows(flat, 250)
+    number = F.col("review_id").cast("bigint")
+    odd = F.when(number % 3 == 0, F.lit(None)).when(number % 3 == 1, "same")
+    return sampling.cap_rows(flat.withColumn("review_id", odd.otherwise(F.col("review_id"))), 250)
+
+
+def decision_tree_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per split that a tree fitted on 50 rows scores: all of them."""
+    reviews = scores.with_length(cleaned(spark, sf))
+    vectors = features.assemble(reviews, ["review_length"]).select(
+        "review_id", "features", "rating_category"
+    )
+    predictions, _ = models.train_and_score(
+        materialize(vectors, "features"), "DecisionTree", max_fit_rows=50
+    )
+    return predictions.groupBy("split").agg(F.count("prediction").alias("rows"))
 
 
 def model_query(name: str) -> Query:
@@ -304,7 +338,7 @@ def naive_bayes_words(spark: SparkSession, sf: str) -> DataFrame:
     Rows per split, true class and predicted class, and the accuracy of the split.
     """
     reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
-    vectors, _ = features.count_features(reviews)
+    vectors, _ = features.count_features(reviews, VOCABULARY_SIZE)
     vectors = vectors.select("review_id", "features", "rating_category")
     predictions, _ = models.train_and_score(materialize(vectors, "features"), "NaiveBayes")
     return predictions.groupBy("split", "rating_category", "prediction").agg(
@@ -314,7 +348,7 @@ def naive_bayes_words(spark: SparkSession, sf: str) -> DataFrame:
 
 def naive_bayes_words_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
-    vectors, _ = features.count_features(reviews)
+    vectors, _ = features.count_features(reviews, VOCABULARY_SIZE)
     vectors = vectors.select("review_id", "features", "rating_category")
     predictions, _ = models.train_and_score(materialize(vectors, "features"), "NaiveBayes")
     return models.evaluate(predictions, "NaiveBayes").select(
@@ -348,6 +382,113 @@ def stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Estimators on groups, where SQL knows what they must predict
+
+#: What a text holds, and the group that makes it; texts with none of them are plain.
+GROUPS = (("!!", "bangs"), ("%%%", "marks"), (" | ", "pipes"))
+
+
+def grouped_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents with their group as indicators, and their quality (1 or 2) to learn."""
+    labels = testtables.table(spark, sf, "labels").select("doc_id", "quality")
+    text = F.col("text")
+    group = F.lit("plain")
+    for mark, name in reversed(GROUPS):
+        group = F.when(text.contains(mark), F.lit(name)).otherwise(group)
+    rows = testtables.table(spark, sf, "documents").join(labels, "doc_id").select(
+        F.col("doc_id").cast("string").alias("review_id"),
+        group.alias("grp"),
+        (F.col("quality") + 1).cast("float").alias("target_class"),
+    )
+    names = [name for _, name in GROUPS]
+    flags = rows.select("*", *[(F.col("grp") == n).cast("double").alias(n) for n in names])
+    return features.assemble(flags, names).drop(*names)
+
+
+def group_query(name: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        rows = materialize(grouped_documents(spark, sf), "features")
+        predictions, _ = models.train_and_score(rows, name, label="target_class")
+        if name == "RandomForestRegressor":
+            # Trees see samples, so only the side of the middle is certain.
+            value = F.when(F.col("prediction") > 1.5, 2.0).otherwise(1.0)
+        else:
+            value = F.round("prediction", 6)
+        return predictions.groupBy("split", "grp", value.alias("predicted")).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+
+    query.__doc__ = f"What {name} predicts for each group of documents."
+    return query
+
+
+def hashed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per review the sum of its hashed term counts, and the reviews that the IDF has seen."""
+    reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
+    _, model = features.tfidf_features(reviews)
+    counts = F.unwrap_udt("rawFeatures")["values"]
+    total = F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x)
+    return model.transform(reviews).select(
+        "review_id",
+        total.cast("bigint").alias("tokens"),
+        F.lit(model.stages[-1].numDocs).cast("bigint").alias("documents"),
+    )
+
+
+def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters, clustered reviews, and reviews that are nearer to another cluster's center."""
+    predictions, model = clustered(spark, sf)
+    centers = clusters.cluster_centers(predictions, model).collect()
+    point = vector_to_array("scaledFeatures")
+    distance = [
+        F.struct(
+            sum((point[i] - F.lit(x)) ** 2 for i, x in enumerate(row["cluster_center"])).alias("d"),
+            F.lit(row["cluster"]).alias("cluster"),
+        )
+        for row in centers
+    ]
+    nearest = F.array_min(F.array(*distance))["cluster"]
+    return predictions.agg(
+        F.lit(len(centers)).cast("bigint").alias("clusters"),
+        F.count_distinct("prediction").alias("used"),
+        F.count(F.lit(1)).alias("reviews"),
+        F.count_if(F.col("prediction") != nearest).alias("misplaced"),
+    )
+
+
+def lda_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per topic: terms, terms that are words of the texts, and neighbours in falling order."""
+    reviews = stored(spark, sf, "cleaned_review")
+    found, terms = topics.fit_topics(reviews, VOCABULARY_SIZE)
+    spelled = topics.topic_terms(found, terms)
+    known = words.word_counts(reviews).select("word", F.lit(1).alias("known"))
+    below = F.lead("weight").over(Window.partitionBy("topic").orderBy("rank"))
+    return (
+        spelled.withColumn("falls", F.coalesce(F.col("weight") >= below, F.lit(True)))
+        .join(known, "word", "left")
+        .groupBy("topic")
+        .agg(
+            F.count(F.lit(1)).alias("terms"),
+            F.count("known").alias("known_terms"),
+            F.count_if("falls").alias("falling"),
+        )
+    )
+
+
+def topic_line_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a given topic table: the 30 most frequent words in three topics."""
+    top = words.top_words(cleaned(spark, sf), 30).select(
+        (F.row_number().over(Window.orderBy(F.desc("count"), "word")) - 1).alias("place"),
+        "word",
+        (F.col("count") % 8 / 8).alias("weight"),
+    )
+    spelled = top.select(
+        (F.col("place") % 3).alias("topic"), (F.col("place") / 3).cast("int").alias("rank"),
+        "word", "weight",
+    )
+    return topics.topic_lines(spelled)
+
+
 # Landing and catalogue
 
 
@@ -368,7 +509,7 @@ def track_blobs(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_blobs(spark: SparkSession, sf: str) -> DataFrame:
     """Blob tables of two sources, the events and the conversation turns, one after the other."""
-    turns = testtables.table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    turns = testtables.table(spark, sf, "conversations")
     return catalogue.concat_tables(
         spark, [track_blobs(spark, sf), catalogue.to_json_blobs(turns)]
     )
@@ -380,21 +521,30 @@ def json_blob_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def rejected_blobs(spark: SparkSession, sf: str) -> DataFrame:
     """Blobs that are no JSON object: here the document texts among the records."""
-    texts = testtables.table(spark, sf, "documents").select(F.col("source").alias("json_blob"))
+    texts = testtables.table(spark, sf, "documents").select(F.col("text").alias("json_blob"))
     blobs = catalogue.concat_tables(spark, [track_blobs(spark, sf), texts])
     return catalogue.parse_blobs(blobs)[1]
 
 
+def conflicting_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The records twice, and once more with other names: rows of a key repeat and disagree."""
+    records = json_blob_columns(spark, sf)
+    other = records.withColumns(
+        {c: F.concat(F.lit("a "), c) for c in ("track_name", "collection_name", "artist_name")}
+    )
+    return records.unionByName(records).unionByName(other.where("track_id % 2 = 0"))
+
+
 def split_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    return catalogue.split_tracks(json_blob_columns(spark, sf))
+    return catalogue.split_tracks(conflicting_records(spark, sf))
 
 
 def split_collections(spark: SparkSession, sf: str) -> DataFrame:
-    return catalogue.split_collections(json_blob_columns(spark, sf))
+    return catalogue.split_collections(conflicting_records(spark, sf))
 
 
 def split_artists(spark: SparkSession, sf: str) -> DataFrame:
-    return catalogue.split_artists(json_blob_columns(spark, sf))
+    return catalogue.split_artists(conflicting_records(spark, sf))
 
 
 # Report files
@@ -413,6 +563,105 @@ def csv_reviewer_report(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_csv_report(spark, path, schemas.REVIEWER_RATINGS)
 
 
+def csv_broken_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A report whose names are the raw texts: line breaks, quotes, commas, empty strings."""
+    path = scratch_path(spark, "names")
+    flat = clean.flatten_reviews(raw(spark, sf))
+    named = flat.select(
+        F.col("review_detail").alias("reviewer"), F.length("review_detail").cast("double").alias("avg_rating")
+    )
+    writers.write_csv_report(named, path)
+    return tables.read_csv_report(spark, path, schemas.REVIEWER_RATINGS)
+
+
+# Landing of nested folders, arrays, selections, and the chain of stages
+
+
+def json_folder(spark: SparkSession, sf: str, part: str = "review_id is not null") -> str:
+    folder = scratch_path(spark, "json")
+    raw(spark, sf).select("review_json.*").where(part).write.json(folder)
+    return folder
+
+
+def landed_reviews(landed: DataFrame) -> DataFrame:
+    return clean.flatten_reviews(landed).withColumn("helpful", F.array_join("helpful", ","))
+
+
+def land_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder with files and a folder of files in it."""
+    folder = json_folder(spark, sf, "spoiler_tag = 0")
+    rest = raw(spark, sf).select("review_json.*").where("spoiler_tag = 1")
+    rest.write.json(f"{folder}/inner")
+    return landed_reviews(
+        landing.land_raw(spark, folder, scratch_path(spark, "landed"), layout=landing.LINES)
+    )
+
+
+def land_json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """One JSON array per file, as many files as there are languages and sources."""
+    folder = scratch_path(spark, "arrays")
+    rows = raw(spark, sf).select("review_json.*")
+    arrays = rows.groupBy("review_summary").agg(
+        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
+    )
+    # The folder names keep the groups in files of their own.
+    arrays.withColumn("part", F.md5("review_summary")).select("value", "part").write.partitionBy(
+        "part"
+    ).text(folder)
+    landed = landing.land_raw(spark, folder, scratch_path(spark, "landed"))
+    return landed_reviews(landed)
+
+
+def land_select(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of three folders' files, by name."""
+    folder = scratch_path(spark, "json")
+    rows = raw(spark, sf).select("review_json.*")
+    names = []
+    for tag in (0, 1, 2):
+        part = rows.where(F.col("review_id").cast("bigint") % 3 == tag).coalesce(1)
+        part.write.json(f"{folder}/part{tag}")
+        files = spark.read.format("binaryFile").load(f"{folder}/part{tag}").select("path")
+        names += [f"part{tag}/" + row["path"].rsplit("/", 1)[1] for row in files.collect()]
+    wanted = [n for n in names if not n.startswith("part1/")]
+    landed = landing.land_raw(
+        spark, folder, scratch_path(spark, "landed"), landing.SELECT, wanted, landing.LINES
+    )
+    return landed_reviews(landed)
+
+
+def land_reuse(spark: SparkSession, sf: str) -> DataFrame:
+    """The second landing of a folder that has grown meanwhile gives the first one again."""
+    folder = json_folder(spark, sf, "spoiler_tag = 0")
+    base = scratch_path(spark, "landed")
+    landing.land_raw(spark, folder, base, layout=landing.LINES)
+    raw(spark, sf).select("review_json.*").where("spoiler_tag = 1").write.json(f"{folder}/later")
+    landed = landing.land_raw(spark, folder, base, layout=landing.LINES, if_exists="reuse")
+    return landed_reviews(landed)
+
+
+def stage_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw JSON to metrics through the stored tables of every job: rows of each stage."""
+    base = scratch_path(spark, "stages")
+    preprocess(
+        spark, json_folder(spark, sf), base, layout=landing.LINES, num_features=1024
+    )
+    train_model(spark, base, "NaiveBayes")
+    metrics = evaluate_model(spark, base, "NaiveBayes")
+    stages = {
+        "raw": tables.read_raw(spark, landing.raw_path(base, landing.FULL)),
+        "flat": tables.read_flat(spark, f"{base}/flat"),
+        "cleaned": tables.read_cleaned(spark, f"{base}/cleaned"),
+        "features": tables.read_features(spark, f"{base}/features"),
+        "predictions": tables.read_predictions(spark, base, "NaiveBayes"),
+        "metrics": metrics,
+    }
+    counted = [
+        table.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows"))
+        for name, table in stages.items()
+    ]
+    return catalogue.concat_tables(spark, counted)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -436,6 +685,7 @@ QUERIES: dict[str, Query] = {
         top_words,
         word_share,
         vocabulary,
+        vocabulary_left_out,
         tfidf_terms,
         flesch_scores,
         flesch_scores_raw_text,
@@ -451,6 +701,7 @@ QUERIES: dict[str, Query] = {
         lda_topic_lines,
         hash_split,
         row_cap,
+        decision_tree_scored_rows,
         naive_bayes_words,
         naive_bayes_words_accuracy,
         linear_regression_on_length,
@@ -464,5 +715,17 @@ QUERIES: dict[str, Query] = {
         split_artists,
         csv_word_report,
         csv_reviewer_report,
+        csv_broken_names,
+        land_nested,
+        land_json_array,
+        land_select,
+        land_reuse,
+        stage_chain,
+        hashed_counts,
+        kmeans_facts,
+        lda_facts,
+        topic_line_format,
     )
-} | {f"model_{name}": model_query(name) for name in models.MODELS}
+}
+QUERIES |= {f"group_{name}": group_query(name) for name in models.MODELS if name != "NaiveBayes"}
+QUERIES |= {f"model_{name}": model_query(name) for name in models.MODELS}

@@ -49,11 +49,13 @@ def parse_blobs(
 def split_entity(records: DataFrame, key: str, others: Sequence[str]) -> DataFrame:
     """One row per key. Of rows that disagree the least is kept, so runs agree.
 
-    ``min`` of the whole struct keeps the values of one row together and shrinks the many
-    copies of a frequent key before the shuffle.
+    Equal rows are merged first, by hashing and before the shuffle, so the many copies of a
+    frequent key are few rows when the least of a struct is taken, which sorts.
     """
     return (
         records.where(F.col(key).isNotNull())
+        .select(key, *others)
+        .distinct()
         .groupBy(key)
         .agg(F.min(F.struct(*others)).alias("row"))
         .select(key, "row.*")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions.stopwords import STOP_WORDS
 from reviewlab.operators.sampling import hash_split
-from reviewlab.operators.words import VOCABULARY_SIZE, vocabulary, with_tokens
+from reviewlab.operators.words import vocabulary, with_tokens
 from reviewlab.session import materialize, scratch_path
 
 # Fixed value: buckets of the hashed term counts (2^18).
@@ -73,16 +73,18 @@ def tfidf_features(
     return features, model
 
 
-def count_features(
-    cleaned: DataFrame, vocabulary_size: int = VOCABULARY_SIZE
-) -> tuple[DataFrame, DataFrame]:
+def count_features(cleaned: DataFrame, vocabulary_size: int) -> tuple[DataFrame, DataFrame]:
     """TF-IDF over counted words: the reviews with ``features``, and the vocabulary table.
 
-    The vocabulary is ordered by count and word, so term numbers are the same in every run.
+    MLlib keeps the vocabulary in memory, so the caller bounds it; ``words.left_out`` tells what
+    is lost, and the table has all words. It is ordered by count and word, so term numbers are
+    the same in every run. The texts are split once: the counts are stored.
     """
-    terms = materialize(vocabulary(cleaned, vocabulary_size), "vocabulary")
-    counter = count_vectorizer(terms, "filtered", "rawFeatures")
+    terms = materialize(vocabulary(cleaned), "vocabulary")
+    kept = terms.where(F.col("term") < vocabulary_size)
+    counter = count_vectorizer(kept, "filtered", "rawFeatures")
     counted = counter.transform(with_tokens(cleaned)).drop("words", "filtered")
+    counted = materialize(counted, "counted-words")
     idf = IDF(inputCol="rawFeatures", outputCol="features").fit(counted)
     return idf.transform(counted).drop("rawFeatures"), terms
 
@@ -102,7 +104,10 @@ def count_vectorizer(terms: DataFrame, input_col: str, output_col: str) -> Count
     in_order = F.array_sort(F.collect_list(F.struct("term", "word")))
     vocabulary_row = terms.agg(F.transform(in_order, lambda e: e["word"]).alias("vocabulary"))
     vocabulary_row.write.mode("overwrite").parquet(f"{path}/data")
-    return CountVectorizerModel.load(path)
+    model = CountVectorizerModel.load(path)
+    if len(model.vocabulary) != terms.count():
+        raise RuntimeError("this version of Spark stores vocabularies in another form")
+    return model
 
 
 def assemble(df: DataFrame, columns: list[str], output: str = "features") -> DataFrame:

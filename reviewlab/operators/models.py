@@ -26,18 +26,26 @@ from reviewlab.operators.sampling import cap_rows, hash_split
 SEED = 42
 CLASSIFIER, REGRESSOR = "classifier", "regressor"
 
+# Memory for the statistics of tree nodes, of which one pass over the data handles as many as
+# fit. With the default, 256 MB, wide vectors would need a pass for each node.
+TREE_MEMORY_MB = 1024
+
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """How to build an estimator, how it is scored, and how many rows it may see."""
+    """How to build an estimator and how it is scored."""
 
     kind: str
     build: Callable[..., Estimator]
-    row_cap: int | None = None
     seeded: bool = True
+    tree: bool = False
 
-    def estimator(self, label: str, seed: int = SEED) -> Estimator:
+    def estimator(
+        self, label: str, seed: int = SEED, tree_memory_mb: int = TREE_MEMORY_MB
+    ) -> Estimator:
         options = {"seed": seed} if self.seeded else {}
+        if self.tree:
+            options["maxMemoryInMB"] = tree_memory_mb
         return self.build(featuresCol="features", labelCol=label, **options)
 
 
@@ -48,15 +56,15 @@ MODELS = {
         CLASSIFIER, lambda **o: LogisticRegression(family="multinomial", **o), seeded=False
     ),
     "DecisionTree": ModelSpec(
-        CLASSIFIER, lambda **o: DecisionTreeClassifier(maxDepth=5, **o), row_cap=500_000
+        CLASSIFIER, lambda **o: DecisionTreeClassifier(maxDepth=5, **o), tree=True
     ),
     "RandomForest": ModelSpec(
-        CLASSIFIER, lambda **o: RandomForestClassifier(numTrees=50, maxDepth=10, **o)
+        CLASSIFIER, lambda **o: RandomForestClassifier(numTrees=50, maxDepth=10, **o), tree=True
     ),
     "LinearRegression": ModelSpec(REGRESSOR, LinearRegression, seeded=False),
-    "DecisionTreeRegressor": ModelSpec(REGRESSOR, DecisionTreeRegressor),
-    "RandomForestRegressor": ModelSpec(REGRESSOR, RandomForestRegressor),
-    "GBTRegressor": ModelSpec(REGRESSOR, lambda **o: GBTRegressor(maxIter=10, **o)),
+    "DecisionTreeRegressor": ModelSpec(REGRESSOR, DecisionTreeRegressor, tree=True),
+    "RandomForestRegressor": ModelSpec(REGRESSOR, RandomForestRegressor, tree=True),
+    "GBTRegressor": ModelSpec(REGRESSOR, lambda **o: GBTRegressor(maxIter=10, **o), tree=True),
 }
 
 
@@ -67,21 +75,30 @@ def model_spec(name: str) -> ModelSpec:
 
 
 def train_and_score(
-    features: DataFrame, name: str, label: str = "rating_category", seed: int = SEED
+    features: DataFrame,
+    name: str,
+    label: str = "rating_category",
+    seed: int = SEED,
+    max_fit_rows: int | None = None,
+    tree_memory_mb: int = TREE_MEMORY_MB,
 ) -> tuple[DataFrame, Model]:
     """Predictions for both splits in one pass, and the model fitted on the training split.
 
+    ``max_fit_rows`` bounds the training rows the model is fitted on (a sample by the hash of
+    the id); without it all are used. Every row is scored in either case.
+
     ``features`` is read for the fit and for scoring, so it should be a stored table.
     Classifiers number classes from 0, so they see the category minus one; their predictions
     are moved back to the scale of the label.
     """
     spec = model_spec(name)
-    if spec.row_cap is not None:
-        features = cap_rows(features, spec.row_cap)
     offset = 1.0 if spec.kind == CLASSIFIER else 0.0
     rows = hash_split(features).withColumn("target", F.col(label).cast("double") - offset)
-    model = spec.estimator("target", seed).fit(
-        rows.where("split = 'train'").select("features", "target")
+    training = rows.where("split = 'train'")
+    if max_fit_rows is not None:
+        training = cap_rows(training, max_fit_rows)
+    model = spec.estimator("target", seed, tree_memory_mb).fit(
+        training.select("features", "target")
     )
     scored = model.transform(rows).withColumn("prediction", F.col("prediction") + offset)
     return scored.drop("target"), model

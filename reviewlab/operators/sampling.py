@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlab.functions.text import split_bucket
 
@@ -14,34 +15,54 @@ TRAIN_PERCENT = 80
 def hash_split(
     df: DataFrame, key: str = "review_id", train_percent: int = TRAIN_PERCENT
 ) -> DataFrame:
-    """Add ``split``, ``train`` or ``test``; equal keys always get the same one."""
-    is_train = split_bucket(F.col(key)) < train_percent
+    """Add ``split``, ``train`` or ``test``; equal keys always get the same one.
+
+    Rows without a key are split by the hash of their other plain columns.
+    """
+    spare = F.xxhash64(*[F.col(c) for c in _plain_columns(df, key)]).cast("string")
+    is_train = split_bucket(F.coalesce(F.col(key), spare)) < train_percent
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
 
 def cap_rows(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
-    """A reproducible sample of ``n`` rows: those whose key hashes lowest (all if fewer).
+    """A reproducible sample of ``n`` rows (all if fewer): the first by the hash of their key,
+    then the key, then the other plain columns from left to right.
 
-    ``orderBy().limit(n)`` over the whole table would send up to ``n`` rows of every partition
-    to one task. The hash is uniform, so a threshold on it leaves little more than ``n`` rows;
-    the cut-off is taken from these, keys only, and then filters the table in place.
+    A null key hashes like an empty one. Rows that are equal in all these columns cannot be told
+    apart, so any of them fill up the number. ``orderBy().limit(n)`` over the whole table would
+    send up to ``n`` rows of every partition to one task. The hash is uniform, so a threshold on
+    it leaves little more than ``n`` rows; the cut-off is taken from these and then filters the
+    table in place.
     """
-    order = F.struct(F.md5(F.col(key)).alias("h"), F.col(key).alias("k"))
-    keys = df.select(order.alias("o"))
+    if n <= 0:
+        return df.limit(0)
     total = df.count()
     if total <= n:
         return df
+    hashed = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     # Five standard deviations and a few rows more than the n wanted.
     share = min(1.0, (n + 5.0 * n**0.5 + 25.0) / total)
     while True:
-        few = keys if share >= 1.0 else keys.where(F.col("o.h") < _hash_below(share))
+        few = df if share >= 1.0 else df.where(hashed < _hash_below(share))
         if share >= 1.0 or few.count() >= n:
             break
         share = min(1.0, share * 2)
-    last = few.orderBy("o.h", "o.k").offset(n - 1).limit(1).first()["o"]
-    hashed = F.md5(F.col(key))
-    below = hashed < last["h"]
-    return df.where(below | ((hashed == last["h"]) & (F.col(key) <= last["k"])))
+    columns = [key, *_plain_columns(df, key)]
+    place = F.struct(hashed.alias("hash"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    last = few.select(place.alias("place")).orderBy("place").offset(n - 1).limit(1)
+    last = last.select(F.to_json("place", {"ignoreNullFields": "false"}).alias("json")).first()
+    at = F.from_json(F.lit(last["json"]), few.select(place.alias("place")).schema["place"].dataType)
+    before, ties = df.where(place < at), df.where(place == at)
+    wanted = n - before.count()
+    if ties.count() == wanted:
+        return df.where(place <= at)
+    return before.unionByName(ties.limit(wanted))
+
+
+def _plain_columns(df: DataFrame, key: str) -> list[str]:
+    """The columns besides the key that hold text, whole numbers or booleans."""
+    plain = (T.StringType, T.IntegralType, T.BooleanType)
+    return [f.name for f in df.schema.fields if f.name != key and isinstance(f.dataType, plain)]
 
 
 def _hash_below(share: float) -> Column:

@@ -12,8 +12,10 @@ from reviewlab.functions.lexicon import LEXICON
 from reviewlab.operators.words import document_frequencies, join_by_word, term_frequencies
 from reviewlab.session import materialize
 
-# Lexicons up to this many words are written into the plan; larger ones are joined.
+# Lexicons up to this many words, and this many polarities (one condition each), are written
+# into the plan; larger ones are joined.
 MAX_INLINE_WORDS = 5_000
+MAX_INLINE_POLARITIES = 50
 
 
 def with_flesch(cleaned: DataFrame, column: str = "review_detail") -> DataFrame:
@@ -28,18 +30,30 @@ def with_sentiment(
     """Add ``sentiment_score``, the mean polarity of the review's lexicon words.
 
     ``lexicon`` is a mapping or a table ``word, polarity`` (the mean counts where a word is
-    listed twice). Only its size decides how it is applied; the score is the same.
+    listed twice; words without a polarity are in no lexicon). Only its size decides how it is
+    applied; the score is the same.
     """
-    if isinstance(lexicon, DataFrame):
-        table = lexicon.groupBy("word").agg(F.avg("polarity").alias("polarity"))
+    if not isinstance(lexicon, DataFrame):
+        entries = [(w, float(p)) for w, p in lexicon.items() if w is not None and p is not None]
+        lexicon = dict(entries)
+        if not _fits_inline(lexicon, max_inline_words):
+            schema = "word string, polarity double"
+            return _sentiment_by_join(cleaned, cleaned.sparkSession.createDataFrame(entries, schema))
+    else:
+        table = lexicon.where(F.col("word").isNotNull() & F.col("polarity").isNotNull())
+        table = table.groupBy("word").agg(F.avg("polarity").alias("polarity"))
         head = table.limit(max_inline_words + 1).collect()
-        if len(head) > max_inline_words:
-            return _sentiment_by_join(cleaned, table)
         lexicon = {row["word"]: row["polarity"] for row in head}
+        if not _fits_inline(lexicon, max_inline_words):
+            return _sentiment_by_join(cleaned, table)
     words = text.cleaned_tokens(F.col("cleaned_review"))
     return cleaned.withColumn("sentiment_score", text.mean_polarity(words, lexicon))
 
 
+def _fits_inline(lexicon: Mapping[str, float], max_words: int) -> bool:
+    return len(lexicon) <= max_words and len(set(lexicon.values())) <= MAX_INLINE_POLARITIES
+
+
 def _sentiment_by_join(cleaned: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Score by joining counted words with the lexicon, for lexicons of any size.
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions import text
 from reviewlab.session import materialize
 
-# Rows of the frequent-word report; size limit of a vocabulary (2^18).
+# Rows of the frequent-word report, and words that its shares leave out.
 TOP_WORDS = 20
-VOCABULARY_SIZE = 1 << 18
+NO_WORDS = ("", "nan")
 
 # Bounds of a word table that may be broadcast.
 MAX_BROADCAST_WORDS = 500_000
@@ -42,42 +44,54 @@ def word_counts(cleaned: DataFrame, drop_empty_tokens: bool = False) -> DataFram
 
 
 def top_words(
-    cleaned: DataFrame, n: int = TOP_WORDS, drop_empty_tokens: bool = False
+    cleaned: DataFrame, n: int = TOP_WORDS, without: Sequence[str] = ()
 ) -> DataFrame:
-    """The ``n`` most frequent words; ties go to the word that sorts first."""
-    return word_counts(cleaned, drop_empty_tokens).orderBy(F.desc("count"), "word").limit(n)
+    """The ``n`` most frequent words besides ``without``; ties go to the word that sorts first."""
+    counts = word_counts(cleaned, "" in without)
+    if without:
+        counts = counts.where(~F.col("word").isin(list(without)))
+    return counts.orderBy(F.desc("count"), "word").limit(n)
 
 
 def word_share(top: DataFrame) -> DataFrame:
     """Share of each word in a top-words report, leaving out the empty word and ``nan``.
 
-    The window has no partition key: its input is the report, a fixed number of rows.
+    A report made ``without`` NO_WORDS keeps its length. The window has no partition key: its
+    input is the report, a fixed number of rows.
     """
-    kept = top.where(F.col("word").isNotNull() & ~F.col("word").isin("", "nan"))
+    kept = top.where(F.col("word").isNotNull() & ~F.col("word").isin(list(NO_WORDS)))
     total = F.sum("count").over(Window.partitionBy())
     return kept.withColumn("share", F.col("count") / total).orderBy(F.desc("count"), "word")
 
 
-def vocabulary(cleaned: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The ``size`` most frequent words with their index 0, 1, ... by falling count.
+def vocabulary(cleaned: DataFrame, size: int | None = None) -> DataFrame:
+    """All words with their index 0, 1, ... by falling count, then by the word itself.
 
-    ``orderBy().limit()`` sends up to ``size`` rows of every partition to one task. Where the
-    word table is much larger than the vocabulary, an approximate quantile first cuts it to
-    little more than ``size`` rows; the cut is kept only if it leaves at least ``size``. The
-    window that numbers the words has no partition key, as it sees at most ``size`` rows.
+    ``size`` keeps the first so many; ``left_out`` says what that drops. Words are sorted in
+    ranges; each range numbers its own and adds the sizes of the ranges before it, so no task
+    sees the whole table.
     """
-    counts = materialize(word_counts(cleaned), "word-counts")
-    total = counts.count()
-    if total > 4 * size:
-        accuracy = 10_000
-        rank = max(0.0, 1.0 - size / total - 2.0 / accuracy)
-        cut = counts.agg(F.percentile_approx("count", rank, accuracy)).first()[0]
-        candidates = counts.where(F.col("count") >= cut)
-        if candidates.count() >= size:
-            counts = candidates
-    top = counts.orderBy(F.desc("count"), "word").limit(size)
-    index = F.row_number().over(Window.orderBy(F.desc("count"), "word")) - 1
-    return top.select(index.alias("term"), "word", "count")
+    counts = word_counts(cleaned).select("word", "count", (-F.col("count")).alias("rank"))
+    ordered = counts.repartitionByRange("rank", "word")
+    ordered = materialize(ordered.withColumn("part", F.spark_partition_id()), "word-counts")
+    inside = Window.partitionBy("part").orderBy("rank", "word")
+    numbered = ordered.withColumn("place", F.row_number().over(inside) - 1)
+    # One row per range.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    terms = numbered.join(sizes, "part").select(
+        (F.col("offset") + F.col("place")).alias("term"), "word", "count"
+    )
+    return terms if size is None else terms.where(F.col("term") < size)
+
+
+def left_out(terms: DataFrame, size: int) -> DataFrame:
+    """What a vocabulary of ``size`` words leaves out of all ``terms``: words and occurrences."""
+    return terms.where(F.col("term") >= size).agg(
+        F.count(F.lit(1)).alias("words"),
+        F.coalesce(F.sum("count"), F.lit(0)).alias("occurrences"),
+    )
 
 
 def term_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFrame:
@@ -91,7 +105,7 @@ def term_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> DataFr
         words = text.content_words(words)
     others = [F.col(name) for name in cleaned.columns if name != "cleaned_review"]
     runs = (
-        cleaned.select(*others, F.array_sort(words).alias("words"))
+        cleaned.select(*others, F.sort_array(words).alias("words"))
         .where(F.size("words") > 0)
         .withColumn(
             "heads",

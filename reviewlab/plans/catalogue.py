@@ -11,8 +11,7 @@ from reviewlab.sources.tables import read_json_blobs
 
 def build_catalogue(spark: SparkSession, sources: list[str], base: str) -> None:
     """Land the blobs of all sources, then write the track, collection and artist tables."""
-    blobs = [read_json_blobs(spark, [source]) for source in sources]
-    write_parquet(catalogue.concat_tables(spark, blobs), f"{base}/blobs")
+    write_parquet(read_json_blobs(spark, sources), f"{base}/blobs")
     records, rejected = catalogue.parse_blobs(spark.read.parquet(f"{base}/blobs"))
     write_parquet(records, f"{base}/records")
     write_parquet(rejected, f"{base}/rejected_blobs")

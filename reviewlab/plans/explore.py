@@ -18,20 +18,29 @@ from reviewlab.sinks.writers import (
 )
 from reviewlab.sources import tables
 
+# Words that the topics are built from, unless the caller bounds them otherwise (2^18).
+VOCABULARY_SIZE = 1 << 18
+
 
 def explore(
-    spark: SparkSession, base: str, lexicon: Mapping[str, float] | DataFrame = LEXICON
+    spark: SparkSession,
+    base: str,
+    lexicon: Mapping[str, float] | DataFrame = LEXICON,
+    vocabulary_size: int = VOCABULARY_SIZE,
 ) -> None:
     """All exploratory results below ``base``/reports, from ``base``/cleaned."""
-    topic_report(spark, base)
+    topic_report(spark, base, vocabulary_size)
     cluster_report(spark, base)
     ad_hoc_reports(spark, base, lexicon)
 
 
-def topic_report(spark: SparkSession, base: str) -> None:
+def topic_report(spark: SparkSession, base: str, vocabulary_size: int = VOCABULARY_SIZE) -> None:
+    """Topics over the most frequent words; what the bound leaves out is written beside them."""
     cleaned = tables.read_cleaned(spark, f"{base}/cleaned")
-    found, terms = topics.fit_topics(cleaned)
+    found, terms = topics.fit_topics(cleaned, vocabulary_size)
     write_small_parquet(found, f"{base}/reports/topics")
+    missing = words.left_out(terms, vocabulary_size)
+    write_csv_report(missing, f"{base}/reports/topic_words_left_out", single_file=True)
     lines = topics.topic_lines(topics.topic_terms(found, terms))
     write_text_report(lines, f"{base}/reports/topic_lines")
 
@@ -57,8 +66,8 @@ def ad_hoc_reports(
 
     top = words.top_words(cleaned)
     write_csv_report(top, f"{out}/top_words", single_file=True)
-    top = tables.read_csv_report(spark, f"{out}/top_words", top.schema)
-    write_csv_report(words.word_share(top), f"{out}/word_share", single_file=True)
+    real = words.top_words(cleaned, without=words.NO_WORDS)
+    write_csv_report(words.word_share(real), f"{out}/word_share", single_file=True)
 
     write_csv_report(reports.avg_rating_per_movie(analysed), f"{out}/avg_rating_per_movie")
     write_parquet(reports.reviewer_stats(analysed), f"{out}/reviewer_stats")

@@ -15,11 +15,15 @@ def train_model(
     name: str,
     label: str = "rating_category",
     seed: int = SEED,
+    max_fit_rows: int | None = None,
 ) -> None:
-    """Write the predictions and the model of ``name`` below ``base``, from ``base``/features."""
+    """Write the predictions and the model of ``name`` below ``base``, from ``base``/features.
+
+    ``max_fit_rows`` bounds the rows the model is fitted on, not those that are scored.
+    """
     model_spec(name)
     features = tables.read_features(spark, f"{base}/features")
-    predictions, model = train_and_score(features, name, label, seed)
+    predictions, model = train_and_score(features, name, label, seed, max_fit_rows)
     write_predictions(predictions, base, name)
     model.write().overwrite().save(f"{base}/models/{name}")
 

@@ -23,6 +23,7 @@ def preprocess(
     min_chars: int = MIN_CHARS,
     num_features: int = NUM_FEATURES,
     fit_on: str = "all",
+    drop_empty_tokens: bool = False,
 ) -> None:
     """Write ``flat``, ``cleaned``, ``features`` and ``tfidf_model`` below ``base``."""
     raw = landing.land_raw(spark, folder, base, mode, files, layout, if_exists)
@@ -30,6 +31,6 @@ def preprocess(
     flat = tables.read_flat(spark, f"{base}/flat")
     write_parquet(clean_reviews(flat, min_chars), f"{base}/cleaned")
     cleaned = tables.read_cleaned(spark, f"{base}/cleaned")
-    features, model = tfidf_features(cleaned, num_features, fit_on=fit_on)
+    features, model = tfidf_features(cleaned, num_features, drop_empty_tokens, fit_on)
     write_parquet(features, f"{base}/features")
     model.write().overwrite().save(f"{base}/tfidf_model")

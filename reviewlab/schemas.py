@@ -46,6 +46,11 @@ FEATURES = T.StructType(
     ]
 )
 
+PREDICTIONS = T.StructType(
+    FEATURES.fields
+    + [T.StructField("prediction", T.DoubleType()), T.StructField("split", T.StringType())]
+)
+
 BLOB = T.StructType([T.StructField("json_blob", T.StringType())])
 
 TRACK_RECORD = T.StructType(

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths given out inside the innermost scratch_scope.
+_given: ContextVar[list[str] | None] = ContextVar("given", default=None)
+
 
 def local_session(cores: str | int = "*", **conf: str) -> SparkSession:
     """A session for tests and benchmarks; on a cluster use the one spark-submit gives."""
@@ -39,7 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; every call gives another one."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (given := _given.get()) is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, when the block ends, what ``scratch_path`` and ``materialize`` wrote inside it.
+
+    Results must be written out before, as they still read those tables. PySpark has no call for
+    files, so Hadoop's file system is asked through the gateway.
+    """
+    given: list[str] = []
+    token = _given.set(given)
+    try:
+        yield
+    finally:
+        _given.reset(token)
+        context = spark.sparkContext
+        for name in given:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -26,24 +26,27 @@ def source_paths(
 ) -> list[str]:
     """The paths to read: the folder itself, or the selected files, all of which must exist.
 
-    The listing reads file names only, not their contents.
+    Folders inside the folder count, in FULL mode with all their files, in SELECT mode by names
+    like ``sub/b.json``. The listing reads file names only, not their contents.
     """
     if mode not in (FULL, SELECT):
         raise ValueError(f"unknown mode {mode!r}")
     try:
-        listing = spark.read.format("binaryFile").load(folder)
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     except AnalysisException as error:
         raise FileNotFoundError(f"no files in {folder}") from error
-    names = listing.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    paths = listing.select("path")
     if mode == FULL:
-        if names.isEmpty():
+        if paths.isEmpty():
             raise FileNotFoundError(f"no files in {folder}")
         return [folder]
     wanted = list(dict.fromkeys(files))
     if not wanted:
         raise FileNotFoundError("no files selected")
-    found = {row["name"] for row in names.where(F.col("name").isin(wanted)).collect()}
-    missing = [name for name in wanted if name not in found]
+    inside = folder.rstrip("/").rsplit("/", 1)[-1]
+    missing = [
+        name for name in wanted if paths.where(F.col("path").endswith(f"/{inside}/{name}")).isEmpty()
+    ]
     if missing:
         raise FileNotFoundError(f"not in {folder}: {', '.join(missing)}")
     return [f"{folder}/{name}" for name in wanted]
@@ -57,9 +60,10 @@ def read_json_reviews(
     ``array``: each file is one JSON array. Spark cannot split such a file, so one task reads
     it whole; keep these files small (up to some hundred MB) and numerous. ``lines``: one
     object, or one array, per line; such files are split and may have any size. Broken JSON
-    fails the read in both layouts.
+    fails the read in both layouts. Files in folders below the paths are read too.
     """
     reader = spark.read.schema(schemas.REVIEW).option("mode", "FAILFAST")
+    reader = reader.option("recursiveFileLookup", True)
     if layout == ARRAY:
         reader = reader.option("multiLine", True)
     elif layout != LINES:

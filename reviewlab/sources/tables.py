@@ -10,6 +10,9 @@ from reviewlab import schemas
 # Header line, quotes doubled inside quotes, and a null that differs from "".
 CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
 
+# Reports may hold line breaks inside quotes.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "DROPMALFORMED"}
+
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """The rows of a scan over all cores, where the files give fewer partitions than that.
@@ -45,8 +48,11 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictions(spark: SparkSession, base: str, model: str) -> DataFrame:
-    """Both splits of one model's predictions; ``split`` comes from the folder names."""
-    return spark.read.parquet(predictions_path(base, model))
+    """Both splits of one model's predictions; ``split`` comes from the folder names.
+
+    The columns of PREDICTIONS are read; what a classifier adds to them is left in the files.
+    """
+    return spark.read.schema(schemas.PREDICTIONS).parquet(predictions_path(base, model))
 
 
 def predictions_path(base: str, model: str) -> str:
@@ -54,9 +60,12 @@ def predictions_path(base: str, model: str) -> str:
 
 
 def read_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A folder of CSV files with a header line; lines that do not fit the schema are skipped."""
-    options = {**CSV_OPTIONS, "mode": "DROPMALFORMED"}
-    return spark.read.schema(schema).options(**options).csv(path)
+    """A folder of CSV files with a header line; lines that do not fit the schema are skipped.
+
+    A file with line breaks inside its texts cannot be split, so each is one task; reports are
+    written in as many files as they have partitions.
+    """
+    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
 
 
 def read_json_blobs(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -75,7 +75,7 @@ WORDS = [("", 5), (None, 4), ("a,b", 3), ('q"uote', 2), ("back\\", 1), ("\\N?",
 
 
 def test_csv_keeps_every_row_and_value(spark, tmp_path):
-    rows = [w for w in WORDS if "\n" not in (w[0] or "")]
+    rows = [*WORDS, ("bo\nb", 2), ("\r\n,\"", 3), ("\n", 4)]
     path = str(tmp_path / "csv")
     writers.write_csv_report(spark.createDataFrame(rows, schemas.WORD_COUNTS), path, True)
     files = list((tmp_path / "csv").glob("part-*.csv"))

@@ -1,8 +1,11 @@
 """The jobs from raw JSON to metrics, on the smallest test tables."""
 
+from pathlib import Path
+
 import pytest
 
 from reviewlab import jobs, schemas
+from reviewlab.session import shared_dir
 from reviewlab.sources import tables, testtables
 
 
@@ -18,6 +21,12 @@ def base(spark, small, tmp_path_factory):
     return base
 
 
+def test_nothing_is_left_in_the_shared_folder(spark, base, tmp_path):
+    before = set(Path(shared_dir(spark).removeprefix("file:")).iterdir())
+    jobs.run(spark, ["explore", "--base", base, "--vocabulary-size", "500"])
+    assert set(Path(shared_dir(spark).removeprefix("file:")).iterdir()) == before
+
+
 def test_stage_tables(spark, base):
     assert spark.read.parquet(f"{base}/raw_full").schema == schemas.RAW
     flat = tables.read_flat(spark, f"{base}/flat")

@@ -32,6 +32,17 @@ def folder(tmp_path):
     return str(path)
 
 
+def test_folders_inside_the_folder_count(spark, folder, tmp_path):
+    inner = tmp_path / "in" / "sub"
+    inner.mkdir()
+    (inner / "b.json").write_text(json.dumps([record(8), record(9)]))
+    assert len(review_ids(land(spark, folder, tmp_path))) == 7
+    chosen = land(spark, folder, tmp_path, mode="select", files=["sub/b.json"])
+    assert review_ids(chosen) == ["r8", "r9"]
+    chosen = land(spark, folder, tmp_path, mode="select", files=["b.json"])
+    assert review_ids(chosen) == ["r3", "r4"]
+
+
 def land(spark, folder, tmp_path, **options):
     return landing.land_raw(spark, folder, str(tmp_path / "out"), **options)
 

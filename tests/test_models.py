@@ -90,6 +90,33 @@ def test_cap_rows_equals_sort_and_limit(spark, n):
     assert sorted(sampling.cap_rows(table, n).collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("n", [0, 1, 10, 50, 99])
+def test_cap_rows_with_missing_and_repeated_ids(spark, n):
+    missing = spark.createDataFrame(
+        [(None if i < 60 else str(i), i) for i in range(100)], "review_id string, x int"
+    )
+    assert sampling.cap_rows(missing, n).count() == n
+    same = spark.createDataFrame([("same", None) for _ in range(100)], missing.schema)
+    assert sampling.cap_rows(same, n).count() == n
+
+
+def test_rows_without_an_id_are_split_too(spark):
+    rows = spark.createDataFrame([(None, i) for i in range(1000)], "review_id string, x int")
+    train = sampling.hash_split(rows).where("split = 'train'").count()
+    assert 700 < train < 900
+
+
+def test_a_bound_on_the_fit_does_not_bound_the_scores(spark):
+    rows = spark.createDataFrame(
+        [(str(i), float(i % 2 + 1), float(i % 2)) for i in range(300)],
+        "review_id string, rating_category double, x double",
+    )
+    vectors = features.assemble(rows, ["x"])
+    scored, _ = models.train_and_score(vectors, "DecisionTree", max_fit_rows=20)
+    assert scored.count() == 300
+    assert scored.where("prediction = rating_category").count() == 300
+
+
 def test_capping_does_not_shuffle_the_rows(spark):
     plan = sampling.cap_rows(ids(spark, 3000), 100)
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
@@ -148,7 +175,7 @@ def test_fit_on_train_ignores_test_rows(spark):
 
 
 def test_count_vectorizer_numbers_words_as_the_vocabulary(spark):
-    vectors, terms = features.count_features(reviews(spark))
+    vectors, terms = features.count_features(reviews(spark), 1000)
     order = [r["word"] for r in sorted(terms.collect(), key=lambda r: r["term"])]
     assert order == ["film", "good", "", "bad", "plot", "twist"]
     model = features.count_vectorizer(terms, "words", "v")

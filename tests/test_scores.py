@@ -70,6 +70,16 @@ def test_inline_and_joined_lexicons_agree(spark):
     assert found["a", "good bad excellent plot"] == pytest.approx(0.375)
 
 
+@pytest.mark.parametrize("size", [3, 40, 1000])
+def test_any_number_of_polarities(spark, size):
+    lexicon = {f"w{i}": i / size for i in range(size)} | {"unrated": None}
+    df = reviews(spark, [("a", "w0 w1 w2 unrated"), ("b", "unrated")])
+    table = spark.createDataFrame(list(lexicon.items()), "word string, polarity double")
+    for given in (lexicon, table):
+        found = {r[0]: r[2] for r in scores.with_sentiment(df, given).collect()}
+        assert found["a"] == pytest.approx(1 / size) and found["b"] == 0
+
+
 def test_inline_scoring_needs_no_shuffle(spark):
     plan = scores.with_sentiment(reviews(spark, [("a", "good")]))
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()

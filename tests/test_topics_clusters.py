@@ -25,7 +25,7 @@ def corpus(spark):
 
 
 def test_topics(spark, corpus):
-    found, terms = topics.fit_topics(corpus, k=4, iterations=5)
+    found, terms = topics.fit_topics(corpus, 1000, k=4, iterations=5)
     rows = found.collect()
     assert [f.simpleString() for f in found.schema] == [
         "topic:int",
@@ -48,5 +48,5 @@ def test_topics(spark, corpus):
 
 
 def test_topics_are_repeatable(spark, corpus):
-    runs = [topics.fit_topics(corpus, k=3, iterations=3)[0].collect() for _ in range(2)]
+    runs = [topics.fit_topics(corpus, 1000, k=3, iterations=3)[0].collect() for _ in range(2)]
     assert runs[0] == runs[1]

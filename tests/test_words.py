@@ -87,6 +87,12 @@ def test_word_counts_and_top_words(spark):
     assert without == set(expected) - {""}
 
 
+def test_shares_of_as_many_words_as_asked_for(spark):
+    df = table(spark, ["a a a  b b nan nan nan c", "  d"])
+    top = words.top_words(df, 3, without=words.NO_WORDS)
+    assert [r["word"] for r in words.word_share(top).collect()] == ["a", "b", "c"]
+
+
 def test_word_share_leaves_out_empty_and_nan(spark):
     top = spark.createDataFrame(
         [("a", 6), ("", 100), ("nan", 9), (None, 5), ("b", 2)], "word string, count long"
@@ -133,9 +139,8 @@ def test_long_words_count_against_the_broadcast(spark, monkeypatch):
     ]
 
 
-@pytest.mark.parametrize("size", [3, 10, 100, 5000])
+@pytest.mark.parametrize("size", [3, 10, 100, 5000, None])
 def test_vocabulary_equals_a_full_sort(spark, size):
-    """Sizes below a quarter of the words go through the approximate cut first."""
     rng = random.Random(3)
     texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(60)) for _ in range(40)]
     counts = Counter(w for t in texts for w in t.split(" "))
@@ -145,6 +150,12 @@ def test_vocabulary_equals_a_full_sort(spark, size):
     assert sorted(r["term"] for r in rows) == list(range(len(expected)))
 
 
+def test_what_a_vocabulary_leaves_out(spark):
+    terms = words.vocabulary(table(spark, ["a a a b b c d"]))
+    assert tuple(words.left_out(terms, 2).first()) == (2, 2)
+    assert tuple(words.left_out(terms, 9).first()) == (0, 0)
+
+
 def test_term_frequencies_need_no_shuffle(spark):
     plan = words.term_frequencies(table(spark, TEXTS))
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
