@@ -78,7 +78,7 @@ def op6_setsketch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Flat files of all documents, in ascending doc_id order, scanned without an index."""
+    """Flat files of all documents, scanned without an index."""
     docs = table(spark, sf, "documents")
     files = separators.flat_files(docs, tokenizer("word_bpe_49k.json"), FLAT_END)
     return separators.count_tokens(files, FLAT_END)
