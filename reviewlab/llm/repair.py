@@ -35,7 +35,7 @@ MIN_COUNT = 16
 MAGIC = b"RPG1"
 HEADER = "<4sIIIQ"
 BUCKET_BITS = 20
-MIX = np.uint64(0x9E3779B97F4A7C15)
+MIX = np.uint32(0x9E3779B1)
 
 
 @dataclass
@@ -61,11 +61,15 @@ def frequent_pairs(keys: np.ndarray, most: int) -> np.ndarray:
     return ordered[edges[best]]
 
 
-def replace_pairs(symbols: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
-    """Replace every chosen pair, from the left and without overlap, by its new symbol."""
-    keys = pair_keys(symbols)
+def replace_pairs(
+    symbols: np.ndarray, keys: np.ndarray, chosen: np.ndarray, first: int
+) -> np.ndarray:
+    """Replace every chosen pair, from the left and without overlap, by its new symbol.
+
+    ``keys`` are the symbols' own pairs.
+    """
     bucket = np.zeros(1 << BUCKET_BITS, np.int32)
-    place = lambda k: (k * MIX) >> np.uint64(64 - BUCKET_BITS)
+    place = lambda k: (k * MIX) >> np.uint32(32 - BUCKET_BITS)
     # Of two pairs in one bucket the more frequent one is written last and stays.
     bucket[place(chosen[::-1])] = np.arange(len(chosen), dtype=np.int32)[::-1]
     candidate = bucket[place(keys)]
@@ -84,8 +88,8 @@ def replace_pairs(symbols: np.ndarray, chosen: np.ndarray, first: int) -> np.nda
 
 
 def pair_keys(symbols: np.ndarray) -> np.ndarray:
-    wide = symbols.astype(np.uint64)
-    return (wide[:-1] << np.uint64(16)) | wide[1:]
+    wide = symbols.astype(np.uint32)
+    return (wide[:-1] << np.uint32(16)) | wide[1:]
 
 
 def compress(ids: np.ndarray, doc_ids: np.ndarray) -> Grammar:
@@ -101,9 +105,9 @@ def compress(ids: np.ndarray, doc_ids: np.ndarray) -> Grammar:
         chosen = frequent_pairs(inside, min(room, RULES_PER_ROUND)) if room else inside[:0]
         if not len(chosen):
             break
-        symbols = replace_pairs(symbols, chosen, first)
-        left.append((chosen >> np.uint64(16)).astype(np.uint16))
-        right.append((chosen & np.uint64(0xFFFF)).astype(np.uint16))
+        symbols = replace_pairs(symbols, keys, chosen, first)
+        left.append((chosen >> np.uint32(16)).astype(np.uint16))
+        right.append((chosen & np.uint32(0xFFFF)).astype(np.uint16))
         rounds.append(first)
         first += len(chosen)
     none = np.zeros(0, np.uint16)

@@ -1,13 +1,13 @@
 """Token ids of whole texts, block by block, inside Arrow tasks.
 
-Texts are split at white space by Arrow, equal words of a block are merged, and only words that
-the worker has not met before go through the tokenizer. For tokenizers that never join characters
-across white space this gives the ids of the whole text.
+Texts are split at white space by Arrow, and equal words of a block are merged. Words are cut into
+the pieces that the tokenizer's own pattern would cut, and only pieces that the worker has not met
+before go through the tokenizer. For a tokenizer that lowers case, drops white space and marks
+word ends this gives the ids of the whole text.
 """
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,53 +18,120 @@ from reviewlab.llm.common import worker_cache
 
 #: Bytes of text that are worked on at once; a longer document is a block of its own.
 BLOCK_BYTES = 8 << 20
-#: Words that a worker remembers.
-CACHE_WORDS = 1_000_000
+#: Pieces that a worker remembers, and how many are encoded at once.
+CACHE_PIECES = 2_000_000
+TOGETHER = 1000
 
+# Punctuation of ASCII but the apostrophe, which takes part in contractions; the
+# characters that are lowered alike everywhere (RE2); the pieces that the tokenizer's file cuts.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+UNSAFE = r"[^\x21-\x7E\x{A1}-\x{12F}\x{131}-\x{17F}]"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
 
-class WordIds:
-    """Ids of words by a tokenizers file; ``lookup`` gives them as one array with lengths."""
+
+class PieceIds:
+    """Ids of pieces by a tokenizers file, as one array with places; known pieces are kept."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.normalize = self.tokenizer.normalizer.normalize_str
+        self.cut = regex.compile(PIECES).findall
+        # Pieces are normalized already. Names of special tokens in a text are ordinary text.
+        self.tokenizer.normalizer = normalizers.Sequence([])
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts, self.lengths, self.flat = array("q"), array("i"), array("H")
-
-    def learn(self, words: list[str]) -> None:
-        for first in range(0, len(words), 10_000):
-            part = words[first : first + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, found in zip(part, encoded):
-                ids = found.ids
-                self.place[word] = len(self.starts)
-                self.starts.append(len(self.flat))
-                self.lengths.append(len(ids))
-                self.flat.extend(ids)
-
-    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(flat ids known so far, start, length) of each word."""
-        if len(self.place) + len(words) > CACHE_WORDS:
+        """Only the empty piece is known, which has no ids."""
+        self.known = pa.array([""], pa.string())
+        self.stops = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint16)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encode pieces, many in one text; every piece ends with the only word end it has."""
+        texts = [" ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint16) for e in encoded])
+        stops = np.flatnonzero(self.is_end[ids]) + 1
+        if len(stops) != len(pieces):
+            raise ValueError("this tokenizer does not mark the ends of words")
+        self.stops = np.concatenate((self.stops, stops + len(self.ids)))
+        self.ids = np.concatenate((self.ids, ids))
+        self.known = pa.concat_arrays([self.known, pa.array(pieces, pa.string())])
+
+    def lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(start, length) in ``ids`` of each of some distinct pieces."""
+        if len(self.known) + len(pieces) > CACHE_PIECES:
             self.forget()
-        self.learn([w for w in words if w not in self.place])
-        rows = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        # Copies: the arrays cannot grow while something looks into them.
-        flat = np.array(self.flat, np.uint16)
-        starts = np.array(self.starts, np.int64)[rows] if len(rows) else rows
-        lengths = np.array(self.lengths, np.int64)[rows] if len(rows) else rows
-        return flat, starts, lengths
-
-
-def word_ids(path: str) -> WordIds:
+        new = pieces.filter(pc.is_null(pc.index_in(pieces, self.known))).to_pylist()
+        if new:
+            self.learn(new)
+        rows = pc.index_in(pieces, self.known).to_numpy(zero_copy_only=False)
+        starts = np.concatenate(([0], self.stops[:-1]))[rows]
+        return starts, self.stops[rows] - starts
+
+    def pieces_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """(codes of the pieces of all words, pieces per word, the distinct pieces).
+
+        Most words are letters with punctuation behind them; those are cut by Arrow into two
+        pieces, of which one may be empty. Others go through the tokenizer's own normalizer and
+        pattern.
+        """
+        low = pc.utf8_lower(words)
+        head = pc.utf8_rtrim(low, PUNCTUATION)
+        plain = pc.or_(pc.utf8_is_alpha(head), pc.equal(head, ""))
+        plain = pc.and_not(plain, pc.match_substring_regex(words, UNSAFE))
+        plain = plain.to_numpy(zero_copy_only=False)
+        behind = (pc.binary_length(low).to_numpy() - pc.binary_length(head).to_numpy()) * plain
+        with_tail = np.flatnonzero(behind)
+        tails = [
+            word[-int(n) :]
+            for word, n in zip(low.take(pa.array(with_tail)).to_pylist(), behind[with_tail])
+        ]
+        odd = [
+            self.cut(self.normalize(word))
+            for word in words.filter(pa.array(~plain)).to_pylist()
+        ]
+        pieces = pa.concat_arrays(
+            [
+                pc.if_else(pa.array(plain), head, ""),
+                pa.array([""] + tails, pa.string()),
+                pa.array([piece for cut in odd for piece in cut], pa.string()),
+            ]
+        ).dictionary_encode()
+        codes = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = np.full(len(words), 2)
+        counts[~plain] = [len(cut) for cut in odd]
+        out = np.empty(int(counts.sum()), np.int64)
+        starts = np.cumsum(counts) - counts
+        out[starts[plain]] = codes[: len(words)][plain]
+        tail_codes = np.full(len(words), codes[len(words)])
+        tail_codes[with_tail] = codes[len(words) + 1 : len(words) + 1 + len(tails)]
+        out[starts[plain] + 1] = tail_codes[plain]
+        out[gather(starts[~plain], counts[~plain])] = codes[len(words) + 1 + len(tails) :]
+        return out, counts, pieces.dictionary
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, one after the other; how many each word has)."""
+        codes, counts, pieces = self.pieces_of(words)
+        starts, lengths = self.lookup(pieces)
+        ids = self.ids[gather(starts[codes], lengths[codes])]
+        before = np.concatenate(([0], np.cumsum(lengths[codes])))
+        return ids, np.diff(before[np.concatenate(([0], np.cumsum(counts)))])
+
+
+def piece_ids(path: str) -> PieceIds:
     cache = worker_cache()
-    if ("word ids", path) not in cache:
-        cache["word ids", path] = WordIds(path)
-    return cache["word ids", path]
+    if ("piece ids", path) not in cache:
+        cache["piece ids", path] = PieceIds(path)
+    return cache["piece ids", path]
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -78,22 +145,23 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(code of each word, words per text, the distinct words). Empty strings are no words."""
     lists = pc.ascii_split_whitespace(texts.fill_null(""))
     coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    per_text = pc.list_value_length(lists).to_numpy().astype(np.int64)
     empty = pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()
     if empty >= 0:
         real = codes != empty
-        codes, owner = codes[real], owner[real]
-    return codes, np.bincount(owner, minlength=len(texts)), coded.dictionary
+        owner = np.repeat(np.arange(len(texts)), per_text)[real]
+        codes, per_text = codes[real], np.bincount(owner, minlength=len(texts))
+    return codes, per_text, coded.dictionary
 
 
 def encode_texts(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, each followed by ``end``; number of ids of each text)."""
     codes, per_text, distinct = split_words(texts)
-    flat, starts, lengths = word_ids(path).lookup(distinct.to_pylist())
-    # The end id is one more piece behind the words of every text.
-    flat = np.append(flat, np.uint16(end))
-    starts, lengths = np.append(starts, len(flat) - 1), np.append(lengths, 1)
+    flat, lengths = piece_ids(path).of_words(distinct)
+    # The end id is one more word, behind the words of every text.
+    flat, lengths = np.append(flat, np.uint16(end)), np.append(lengths, 1)
+    starts = np.cumsum(lengths) - lengths
     pieces = np.full(len(codes) + len(texts), len(starts) - 1)
     stops = np.cumsum(per_text + 1)
     inner = np.ones(len(pieces), bool)
