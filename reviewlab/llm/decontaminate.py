@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,17 +34,18 @@ GRAM = 5
 BLOCK_ITEMS = 64
 INDEX_BYTES = 16 << 20
 
-NOT_WORD = re.compile(r"\W+")
+NOT_WORD = r"[^\p{L}\p{N}_]+"
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
-def term(word: str) -> str:
-    """A word in lower case without punctuation; empty if nothing is left."""
-    return NOT_WORD.sub("", word.lower())
+def as_terms(words: pa.Array) -> pa.Array:
+    """Words in lower case without punctuation; empty if nothing is left."""
+    return pc.replace_substring_regex(pc.utf8_lower(words), NOT_WORD, "")
 
 
 def terms_of(text: str) -> list[str]:
-    return [t for t in map(term, text.split()) if t]
+    words = as_terms(pa.array(text.split(), pa.string()))
+    return [t for t in words.to_pylist() if t]
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
@@ -81,6 +83,7 @@ class Index:
         terms = {number: terms_of(text) for number, text in items}
         self.parts = {number: question_and_answer(text) for number, text in items}
         names = sorted({t for found in terms.values() for t in found})
+        self.names = pa.array(names, pa.string())
         self.ids = {name: i for i, name in enumerate(names)}
         weights = np.array([np.log1p((n - seen[t] + 0.5) / (seen[t] + 0.5)) for t in names])
         order = sorted(terms, key=lambda number: (len(terms[number]), number))
@@ -139,9 +142,9 @@ HITS = ArrayType(
 def hits_in(index: Index, texts: pa.Array) -> list[list[tuple]]:
     """Per text the verified items: (item, score, question overlap, answer overlap)."""
     codes, per_text, distinct = split_words(texts)
-    names = [term(word) for word in distinct.to_pylist()]
-    real = np.array([bool(name) for name in names] or [False])
-    number = np.array([index.ids.get(name, -1) for name in names] or [-1])
+    names = as_terms(distinct)
+    real = pc.not_equal(names, "").to_numpy(zero_copy_only=False)
+    number = pc.fill_null(pc.index_in(names, index.names), -1).to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(texts)), per_text)
     stays = real[codes] if len(codes) else np.zeros(0, bool)
     codes, owner = codes[stays], owner[stays]
@@ -157,7 +160,7 @@ def hits_in(index: Index, texts: pa.Array) -> list[list[tuple]]:
             high = min(int(edges[text + 1]), last + margin)
             if item in best[text] and best[text][item][0] >= score:
                 continue
-            words = [names[c] for c in codes[low:high].tolist()]
+            words = names.take(pa.array(codes[low:high])).to_pylist()
             found = overlap(question, words), overlap(answer, words)
             if min(found) >= MIN_OVERLAP:
                 best[text][item] = (score, *found)
