@@ -17,9 +17,10 @@ def hash_split(
 ) -> DataFrame:
     """Add ``split``, ``train`` or ``test``; equal keys always get the same one.
 
-    Rows without a key are split by the hash of their other plain columns.
+    Rows without a key are split by the hash of their other columns of numbers and texts.
     """
-    spare = F.xxhash64(*[F.col(c) for c in _plain_columns(df, key)]).cast("string")
+    others = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spare = F.xxhash64(F.lit(0), *[F.col(c) for c in others if c != key]).cast("string")
     is_train = split_bucket(F.coalesce(F.col(key), spare)) < train_percent
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
