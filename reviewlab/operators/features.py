@@ -76,17 +76,29 @@ def tfidf_features(
 def count_features(cleaned: DataFrame, vocabulary_size: int) -> tuple[DataFrame, DataFrame]:
     """TF-IDF over counted words: the reviews with ``features``, and the vocabulary table.
 
+    The texts are split once: the counts are stored.
+    """
+    counted, terms = counted_words(cleaned, vocabulary_size)
+    return weighted(materialize(counted, "counted-words")), terms
+
+
+def counted_words(cleaned: DataFrame, vocabulary_size: int) -> tuple[DataFrame, DataFrame]:
+    """The reviews with ``rawFeatures``, the counts of their words, and the vocabulary table.
+
     MLlib keeps the vocabulary in memory, so the caller bounds it; ``words.left_out`` tells what
     is lost, and the table has all words. It is ordered by count and word, so term numbers are
-    the same in every run. The texts are split once: the counts are stored.
+    the same in every run.
     """
     terms = materialize(vocabulary(cleaned), "vocabulary")
     kept = terms.where(F.col("term") < vocabulary_size)
     counter = count_vectorizer(kept, "filtered", "rawFeatures")
-    counted = counter.transform(with_tokens(cleaned)).drop("words", "filtered")
-    counted = materialize(counted, "counted-words")
+    return counter.transform(with_tokens(cleaned)).drop("words", "filtered"), terms
+
+
+def weighted(counted: DataFrame) -> DataFrame:
+    """Counts times inverse document frequencies, in ``features``."""
     idf = IDF(inputCol="rawFeatures", outputCol="features").fit(counted)
-    return idf.transform(counted).drop("rawFeatures"), terms
+    return idf.transform(counted).drop("rawFeatures")
 
 
 def count_vectorizer(terms: DataFrame, input_col: str, output_col: str) -> CountVectorizerModel:

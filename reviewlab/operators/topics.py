@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from reviewlab.operators.features import count_features
+from reviewlab.operators.features import counted_words, weighted
 
 # Number of topics, iterations, and words that describe a topic.
 TOPICS = 10
@@ -31,12 +31,14 @@ def fit_topics(
     of them every time, which costs a full pass per iteration; Spark's own default of 5 % leaves
     most reviews unread within ten iterations.
     """
-    vectors, terms = count_features(cleaned.select("cleaned_review"), vocabulary_size)
-    corpus = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    counted, terms = counted_words(cleaned.select("cleaned_review"), vocabulary_size)
+    # Kept in memory and not as files, whose order could change the result from run to run.
+    counted = counted.select("rawFeatures").persist(StorageLevel.MEMORY_AND_DISK)
+    corpus = weighted(counted)
     lda = LDA(k=k, maxIter=iterations, seed=seed, subsamplingRate=share_per_iteration)
     model = lda.fit(corpus)
     topics = model.describeTopics(maxTermsPerTopic=terms_per_topic)
-    corpus.unpersist()
+    counted.unpersist()
     return topics, terms
 
 

@@ -7,8 +7,16 @@ from pyspark.sql import types as T
 
 from reviewlab import schemas
 
-# Header line, quotes doubled inside quotes, and a null that differs from "".
-CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
+# Header line, quotes doubled inside quotes, a null that differs from "", and white
+# space that stays as it is.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "nullValue": "\\N",
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 # Reports may hold line breaks inside quotes.
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "DROPMALFORMED"}
