@@ -61,7 +61,10 @@ def _sentiment_by_join(cleaned: DataFrame, lexicon: DataFrame) -> DataFrame:
     scores. ``cleaned`` is read several times, so it should be a stored table.
     """
     key = ["review_id", "text_hash"]
-    keyed = cleaned.withColumn("text_hash", F.xxhash64("cleaned_review"))
+    # Only columns that the caller goes on to use are shuffled, texts not for their own sake.
+    keyed = cleaned.withColumns(
+        {"text_hash": F.xxhash64("cleaned_review"), "has_text": F.col("cleaned_review").isNotNull()}
+    )
     terms = term_frequencies(keyed.select(*key, "cleaned_review"), drop_stop_words=False)
     used = lexicon.join(document_frequencies(cleaned, drop_stop_words=False), "word")
     scores = (
@@ -75,13 +78,11 @@ def _sentiment_by_join(cleaned: DataFrame, lexicon: DataFrame) -> DataFrame:
     same_review = keyed["review_id"].eqNullSafe(scores["scored_id"]) & (
         keyed["text_hash"] == scores["scored_hash"]
     )
-    score = F.when(
-        F.col("cleaned_review").isNotNull(), F.coalesce("mean", F.lit(0.0))
-    ).cast("float")
+    score = F.when(F.col("has_text"), F.coalesce("mean", F.lit(0.0))).cast("float")
     return (
         keyed.join(scores, same_review, "left")
         .withColumn("sentiment_score", score)
-        .drop("text_hash", "scored_id", "scored_hash", "mean")
+        .drop("text_hash", "has_text", "scored_id", "scored_hash", "mean")
     )
 
 

@@ -148,6 +148,7 @@ def join_by_word(terms: DataFrame, table: DataFrame, reviews: int) -> DataFrame:
     least = max(1, reviews // 1000)
     while not _fits_broadcast(table.where(F.col("df") >= least)):
         least *= 2
+    terms = materialize(terms, "terms")  # both parts read them
     is_frequent = F.col("df") >= least
     frequent, rare = table.where(is_frequent), table.where(~is_frequent)
     rare_terms = terms.join(F.broadcast(frequent.select("word")), "word", "left_anti")
