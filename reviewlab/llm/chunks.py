@@ -1,8 +1,8 @@
 """Line dedup by content-defined chunks of lines.
 
 A rolling hash over the hashes of neighbouring lines decides where a chunk of lines ends, so a
-passage that moved to another place in another text is cut at the same lines. Chunks of several
-lines that occur more than once in the corpus are removed but for their first occurrence, after
+passage that moved to another place in another text is cut at the same lines. Very long lines are
+passages, and chunks, by themselves. Chunks of several lines, or of one such line, that occur more than once in the corpus are removed but for their first occurrence, after
 their bytes were compared. Everything is a DataFrame expression.
 """
 
@@ -18,6 +18,8 @@ from reviewlab.llm.common import SPACE, once, packed
 DIVISOR = 2
 #: (Chunks have four lines on average.) Weight of the line before in the rolling hash over two lines.
 WEIGHT = 31
+#: Characters of a line that is a chunk of its own: some 50 words.
+LONG_LINE = 300
 #: Stands for a null doc_id, which sorts last.
 NO_ID = 2**63 - 1
 
@@ -30,7 +32,8 @@ def line_hash(line: Column) -> Column:
 def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     """Add n_lines and chunks: array<struct<first, last, body, key>> of the whole text, in order.
 
-    ``key`` is null for chunks that are never removed: single lines and blank ones.
+    ``key`` is null for chunks that are never removed: blank ones, and single lines that are not
+    long.
     """
     df = once(df, "lines", F.coalesce(F.split(text, "\n"), F.array().cast("array<string>")))
     df = once(df, "hashes", F.transform("lines", line_hash))
@@ -41,11 +44,10 @@ def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     )
     df = once(df, "rolled", rolled)
     above = lambda i: F.coalesce(F.get("rolled", i - 1), F.lit(1))
+    is_long = lambda i: F.coalesce(F.length(F.get("lines", i)) >= LONG_LINE, F.lit(False))
+    ends_here = lambda r, i: ((r == 0) & (above(i) != 0)) | is_long(i) | is_long(i + 1)
     last = F.filter(
-        F.transform(
-            "rolled",
-            lambda r, i: F.when(((r == 0) & (above(i) != 0)) | (i == n - 1), i + 1),
-        ),
+        F.transform("rolled", lambda r, i: F.when(ends_here(r, i) | (i == n - 1), i + 1)),
         lambda i: i.isNotNull(),
     )
     df = once(df, "ends", last)
@@ -67,7 +69,8 @@ def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
             c["last"],
             c["body"],
             F.when(
-                (c["last"] > c["first"]) & (F.length(F.translate(c["body"], SPACE, "")) > 0),
+                ((c["last"] > c["first"]) | (F.length(c["body"]) >= LONG_LINE))
+                & (F.length(F.translate(c["body"], SPACE, "")) > 0),
                 F.xxhash64(c["body"]),
             ).alias("key"),
         ),

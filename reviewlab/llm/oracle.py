@@ -166,8 +166,9 @@ WITH lines AS (
   SELECT *, (h + {chunks.WEIGHT} * coalesce(lag(h) OVER d, 0)) % {chunks.DIVISOR} AS r
   FROM hashed WINDOW d AS (PARTITION BY doc_id ORDER BY i)
 ), cut AS (
-  SELECT *, r = 0 AND coalesce(lag(r) OVER (PARTITION BY doc_id ORDER BY i), 1) <> 0 AS ends
-  FROM rolled
+  SELECT *, r = 0 AND coalesce(lag(r) OVER d, 1) <> 0 OR length(line) >= {chunks.LONG_LINE}
+    OR coalesce(length(lead(line) OVER d) >= {chunks.LONG_LINE}, false) AS ends
+  FROM rolled WINDOW d AS (PARTITION BY doc_id ORDER BY i)
 ), numbered AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cut
@@ -175,7 +176,7 @@ WITH lines AS (
   SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
   FROM numbered GROUP BY doc_id, chunk
 ), judged AS (
-  SELECT *, n = 1 OR NOT regexp_matches(body, '[^\x20\x09-\x0D]') OR
+  SELECT *, n = 1 AND length(body) < {chunks.LONG_LINE} OR NOT regexp_matches(body, '[^\x20\x09-\x0D]') OR
     row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) = 1 AS stays FROM bodies
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN

@@ -10,11 +10,13 @@ def cut(text):
     if text is None:
         return []
     out, here, above, last = [], [], 0, 1
-    for line in text.split("\n"):
+    lines = text.split("\n")
+    for line, below in zip(lines, [*lines[1:], ""]):
         value = int(hashlib.md5(line.encode()).hexdigest()[:7], 16)
         here.append(line)
         rolled = (value + chunks.WEIGHT * above) % chunks.DIVISOR
-        if rolled == 0 and last != 0:
+        long = chunks.LONG_LINE <= max(len(line), len(below))
+        if (rolled == 0 and last != 0) or long:
             out.append(here)
             here = []
         above, last = value, rolled
@@ -27,7 +29,7 @@ def expected(texts):
         left = []
         for lines in cut(text):
             body = "\n".join(lines)
-            if len(lines) > 1 and body.strip(" \t\n\x0b\x0c\r"):
+            if (len(lines) > 1 or len(body) >= chunks.LONG_LINE) and body.strip(" \t\n\x0b\x0c\r"):
                 if body in seen:
                     continue
                 seen.add(body)
@@ -37,7 +39,7 @@ def expected(texts):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(["", " ", "a", "b", "c d", "é"]), max_size=30), max_size=12))
+@given(st.lists(st.lists(st.sampled_from(["", " ", "a", "b", "c d", "é", "é long" * 60, " " * 400]), max_size=30), max_size=12))
 def test_like_brute_force(spark, texts):
     texts = ["\n".join(lines) for lines in texts]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
