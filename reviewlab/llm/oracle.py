@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlab.llm import chunks, credentials, quality, urls
+from reviewlab.llm import chunks, credentials, decontaminate, quality, urls
 
 RULE_SCORES = {
     "symbols": "least(100 * n_symbols // greatest(n_words, 1), 100)",
@@ -238,9 +238,97 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
 FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id
 """
 
+OP6 = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 2], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM split
+    WHERE len(words) > 0)
+), sizes AS (
+  SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN shingles USING (doc_id)
+  GROUP BY d.doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS to_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.to_id = links.a
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(to_id) AS component_id,
+  doc_id = min(to_id) AS kept
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+# The test pages mark their article, whose blocks are h1 and p; entities are the five of XML.
+OP8 = """
+WITH blocks AS (
+  SELECT page_id, url, regexp_split_to_array(regexp_replace(
+      regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+      '<br>', ' ', 'g'), '</?(?:p|h1)>') AS parts
+  FROM pages
+), plain AS (
+  SELECT page_id, url, list_filter(list_transform(parts, lambda b: trim(regexp_replace(
+      replace(replace(replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', '', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)),
+        '&amp;', '&'), '\\s+', ' ', 'g'))), lambda b: b <> '') AS texts
+  FROM blocks
+)
+SELECT page_id, url, array_to_string(texts, chr(10) || chr(10)) AS text,
+  length(array_to_string(texts, chr(10) || chr(10)))::BIGINT AS n_chars
+FROM plain
+"""
+
+
+def sql_terms(text: str) -> str:
+    """A text's words in lower case without punctuation."""
+    return (
+        f"list_filter(list_transform(regexp_split_to_array({text}, '[\\x20\\x09-\\x0D]+'), "
+        "lambda w: regexp_replace(lower(w), '[^\\p{L}\\p{N}_]+', '', 'g')), lambda w: w <> '')"
+    )
+
+
+OP10 = f"""
+WITH sentences AS (
+  SELECT item_id, list_filter(string_split(regexp_replace(trim(text), '([.!?])\\s+',
+      '\\1' || chr(1), 'g'), chr(1)), lambda s: regexp_matches(s, '[\\p{{L}}\\p{{N}}_]')) AS s
+  FROM benchmark WHERE text IS NOT NULL
+), halves AS (
+  SELECT item_id, 'question' AS half,
+    {sql_terms("array_to_string(CASE WHEN len(s) > 1 THEN s[:-2] ELSE s END, ' ')")} AS w
+  FROM sentences WHERE len(s) > 0
+  UNION ALL SELECT item_id, 'answer', {sql_terms("s[-1]")} FROM sentences WHERE len(s) > 0
+), wanted AS (
+  SELECT DISTINCT item_id, half, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i
+    FROM (SELECT *, least({decontaminate.GRAM}, len(w)) AS n FROM halves))
+), totals AS (
+  SELECT item_id, half, count(*) AS total FROM wanted GROUP BY ALL
+), words AS (
+  SELECT doc_id, {sql_terms("coalesce(text, '')")} AS w FROM documents
+), held AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + n - 1], ' ') AS gram, n
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM words, range(1, {decontaminate.GRAM} + 1) AS g(n))
+), found AS (
+  SELECT doc_id, item_id, half FROM held JOIN wanted USING (gram, n) JOIN totals USING (item_id, half)
+  GROUP BY doc_id, item_id, half, total HAVING count(*) >= {decontaminate.MIN_OVERLAP} * total
+)
+SELECT doc_id, item_id FROM found GROUP BY ALL HAVING count(*) = 2
+"""
+
 ORACLE = {
     "op1_path_templates": OP1,
     "op3_line_chunks": OP3,
     "op4_secret_owners": OP4,
     "op5_risk_thresholds": OP5,
+    "op6_setsketch": OP6,
+    "op8_wrapper_induction": OP8,
+    "op10_bm25_wand": OP10,
 }
