@@ -34,6 +34,8 @@ MISSED = 1e-6
 BASE, RATE, LARGEST = 1.001, 20.0, 2**16 - 1
 #: A pair is verified if the estimate is at most so far below the threshold: five deviations.
 SLACK = 0.18
+#: Parts into which the members that have an element are dealt.
+SALTS = 16
 
 MULTIPLY = np.random.default_rng(20240601).integers(0, 2**63, REGISTERS, np.uint64) * 2 + 1
 STIR = np.uint64(0xD6E8FEB86659FD93)
@@ -319,7 +321,8 @@ def prefix_pairs(
     Two sets that share c elements have one in common among the first n - c + 1 of each, in any
     order; taking the rarest first makes those lists short of partners. Elements of one member
     only take up their places but join nothing. A pair needs a side outside of the element's
-    commonest component, so the members of a large component are not paired with each other.
+    commonest component, so the members of a large component are not paired with each other; an
+    element that very many of them have is dealt out by a salt.
     """
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,10 +363,15 @@ def prefix_pairs(
     )
     spans = spans.where("components > 1").select("e", "major")
     held = prefix.join(spans, "e")
+    columns = ("rid", "component", "n", "place")
     left, right = (
-        held.select("e", "major", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "component", "n", "place")])
+        held.select("e", "major", *[F.col(c).alias(f"{c}_{side}") for c in columns])
         for side in ("x", "y")
     )
+    left = left.where("component_x <> major").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
+    right = right.drop("major").withColumn("salt", F.pmod(F.xxhash64("rid_y"), F.lit(SALTS)))
     least = F.expr(f"({percent} * (n_x + n_y) + {99 + percent}) div {100 + percent}")
     fits = (
         (F.col("component_x") != F.col("component_y"))
@@ -372,8 +380,7 @@ def prefix_pairs(
         & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
     )
     return (
-        left.where("component_x <> major")
-        .join(right.drop("major"), "e")
+        left.join(right.withColumn("salt", F.col("salt").cast("int")), ["e", "salt"])
         .where(fits)
         .select(F.greatest("rid_x", "rid_y").alias("a"), F.least("rid_x", "rid_y").alias("b"))
         .distinct()
