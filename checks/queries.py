@@ -321,10 +321,10 @@ def decision_tree_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     return predictions.groupBy("split").agg(F.count("prediction").alias("rows"))
 
 
-def model_query(name: str) -> Query:
+def model_query(name: str, num_features: int = features.NUM_FEATURES) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
-        vectors, _ = features.tfidf_features(reviews)
+        vectors, _ = features.tfidf_features(reviews, num_features)
         predictions, _ = models.train_and_score(materialize(vectors, "features"), name)
         return models.evaluate(predictions, name)
 
