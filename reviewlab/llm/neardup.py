@@ -474,11 +474,17 @@ def one_of_each(
     docs: DataFrame, text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """One row of every component, that with the smallest doc_id (of equal ids any one row);
-    columns as in ``docs``. Rows without words all stay."""
+    columns as in ``docs``. Rows without words all stay.
+
+    What goes is taken out, as it is the smaller part; if it is small enough, texts are not
+    shuffled for it.
+    """
     rows = sketches(docs, text, None, shingle)
-    kept = component_ids(rows, shingle, percent).where("kept").groupBy("component").agg(F.min("rid").alias("rid"))
+    found = materialize(component_ids(rows, shingle, percent), "component-ids")
+    stays = found.where("kept").groupBy("component").agg(F.min("rid").alias("rid"))
+    gone = materialize(found.join(stays, "rid", "left_anti").select("rid"), "duplicates")
     columns = [
         F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c)
         for c in docs.columns
     ]
-    return rows.join(kept.select("rid"), "rid", "left_semi").select(*columns)
+    return rows.join(gone, "rid", "left_anti").select(*columns)
