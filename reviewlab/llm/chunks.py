@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm.common import SPACE, once, packed
+from reviewlab.session import materialize
 
 #: A chunk ends where the rolling hash is divisible by this and was not one line before, so only
 #: the ends of a text make chunks of one line.
@@ -84,25 +85,28 @@ def drop_repeated(
 ) -> DataFrame:
     """Every row packed as ``row``, with its text without repeated chunks.
 
-    Columns: row, text, n_lines, n_removed_lines, n_chunks, n_removed_chunks. Of equal chunks the
+    Columns: doc_id, row (unless ``carry`` is empty), text, n_lines, n_removed_lines, n_chunks,
+    n_removed_chunks. Of equal chunks the
     one in the smallest doc_id stays, the first one in that text. Rows that share a doc_id count
     as one document (each keeps what the document keeps); a null doc_id counts as the largest. A
     null text stays null, without lines; a text may become empty. Rows are never dropped.
 
     Only hashes are shuffled to find repeated keys. Whether a document holds the first occurrence
     is asked by (document, key), which no group of copies makes hot. Bytes are compared by
-    grouping the bodies of the keys found twice; equal ones meet before the shuffle.
+    grouping the bodies of the keys found twice; equal ones meet before the shuffle. Without other
+    columns to carry both joins with the texts read one exchange.
     """
-    base = packed(
-        docs,
-        carry,
-        doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-        text=F.col(text),
-    )
+    keys = {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "text": F.col(text)}
+    if carry == []:
+        base = docs.select(*[value.alias(name) for name, value in keys.items()])
+    else:
+        base = packed(docs, carry, **keys)
     counted = with_chunks(base.select("doc", "text")).select(
         "doc", F.explode("chunks.key").alias("key")
     )
-    counted = counted.where("key is not null").groupBy("doc", "key").count()
+    counted = materialize(
+        counted.where("key is not null").groupBy("doc", "key").count(), "chunk-keys"
+    )
     first = counted.groupBy("key").agg(
         F.min("doc").alias("doc"), (F.sum("count") > 1).alias("repeated")
     )
@@ -155,8 +159,10 @@ def drop_repeated(
     left = F.filter("marked", lambda c, i: F.get("stays", i))
     whole = once(whole, "left", left)
     lines = F.aggregate("left", F.lit(0), lambda a, c: a + c["last"] - c["first"] + 1)
+    rows = ["row"] if "row" in whole.columns else []
     return whole.select(
-        "row",
+        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"),
+        *rows,
         F.when(F.col("text").isNotNull(), F.array_join("left.body", "\n")).alias("text"),
         F.col("n_lines").cast("long").alias("n_lines"),
         (F.col("n_lines") - lines).cast("long").alias("n_removed_lines"),

@@ -56,10 +56,7 @@ def op2_repair_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    done = chunks.drop_repeated(docs, carry=["doc_id"])
-    return done.select(
-        "row.doc_id", "text", "n_lines", "n_removed_lines", "n_chunks", "n_removed_chunks"
-    )
+    return chunks.drop_repeated(docs, carry=[])
 
 
 def op4_secret_owners(spark: SparkSession, sf: str) -> DataFrame:
