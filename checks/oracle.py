@@ -187,9 +187,9 @@ ORACLE: dict[str, str] = {
     "reviewer_head": f"""WITH {CLEANED}
       SELECT movie, round(avg(rating::double), 6) AS avg_rating
       FROM cleaned GROUP BY movie ORDER BY movie LIMIT 20""",
-    "length_rating_corr": f"""WITH {CLEANED}
-      SELECT round(corr(length(cleaned_review)::double, rating::double), 6) AS correlation
-      FROM cleaned""",
+    "length_rating_corr": f"""WITH {FLAT}
+      SELECT round(corr(length(review_detail)::double, rating::double), 6) AS correlation
+      FROM flat WHERE rating IS NOT NULL""",
     "long_review_count": f"""WITH {FLAT}
       SELECT count(*) FILTER (WHERE length(review_detail) >= 1000) AS long_reviews
       FROM flat WHERE rating IS NOT NULL""",

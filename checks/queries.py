@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reviewlab import schemas
+from reviewlab.functions.text import parse_rating
 from reviewlab.operators import (
     catalogue,
     clean,
@@ -108,7 +109,11 @@ def reviewer_head(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def length_rating_corr(spark: SparkSession, sf: str) -> DataFrame:
-    reviews = scores.with_length(cleaned(spark, sf)).na.drop(subset=["review_length", "rating"])
+    """Over all reviews; those without a rating are dropped."""
+    flat = clean.flatten_reviews(raw(spark, sf))
+    reviews = scores.with_length(
+        flat.select(parse_rating(F.col("rating")).alias("rating"), F.col("review_detail").alias("cleaned_review"))
+    ).na.drop(subset=["review_length", "rating"])
     return reports.correlation(reviews).select(rounded("correlation"))
 
 
