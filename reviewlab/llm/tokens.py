@@ -70,10 +70,12 @@ class PieceIds:
         """(start, length) in ``ids`` of each of some distinct pieces."""
         if len(self.known) + len(pieces) > CACHE_PIECES:
             self.forget()
-        new = pieces.filter(pc.is_null(pc.index_in(pieces, self.known))).to_pylist()
-        if new:
-            self.learn(new)
-        rows = pc.index_in(pieces, self.known).to_numpy(zero_copy_only=False)
+        found = pc.index_in(pieces, self.known)
+        rows = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).copy()
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            rows[new] = len(self.known) + np.arange(len(new))
+            self.learn(pieces.take(pa.array(new)).to_pylist())
         starts = np.concatenate(([0], self.stops[:-1]))[rows]
         return starts, self.stops[rows] - starts
 
