@@ -1,9 +1,10 @@
 """Benchmark decontamination: every passage of every document queries an index of test items.
 
-The index holds BM25 impacts of the items' terms, in blocks of items of similar length. For each
-block the greatest impact of a term bounds what a passage can score with any of its items; only
-passages that could reach the threshold are scored in full, and what is retrieved is verified by
-the overlap of its question and its answer. No passage is skipped otherwise.
+The index holds BM25 impacts of the items' terms, in blocks of items of similar length. An item's
+weak terms cannot reach the threshold by themselves, so only passages with enough of its strong
+terms are looked at; the greatest impacts in the item's block bound what they can score, and those
+that could reach the threshold are scored in full. What is retrieved is verified by the overlap of
+its question and its answer. No passage is skipped otherwise.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from reviewlab.llm.tokens import split_words, text_blocks
+from reviewlab.llm.tokens import gather, split_words, text_blocks
 from reviewlab.session import materialize
 
 K1, B = 1.2, 0.75
@@ -32,6 +33,8 @@ MIN_OVERLAP = 0.8
 GRAM = 5
 #: Items in a block of the index, and bytes of item text in one broadcast index.
 BLOCK_ITEMS = 64
+#: Share of the needed score that an item's weak terms may reach together.
+WEAK_SHARE = 0.8
 INDEX_BYTES = 16 << 20
 
 NOT_WORD = r"[^\p{L}\p{N}_]+"
@@ -88,6 +91,7 @@ class Index:
         weights = np.array([np.log1p((n - seen[t] + 0.5) / (seen[t] + 0.5)) for t in names])
         order = sorted(terms, key=lambda number: (len(terms[number]), number))
         self.blocks = []
+        strong: list[tuple[int, int, float]] = []
         for first in range(0, len(order), BLOCK_ITEMS):
             numbers = order[first : first + BLOCK_ITEMS]
             own = sorted({self.ids[t] for number in numbers for t in terms[number]})
@@ -100,31 +104,75 @@ class Index:
                     weight = count * (K1 + 1) / (count + K1 * (1 - B + B * size / mean))
                     impacts[rows[self.ids[name]], column] = weights[self.ids[name]] * weight
             needed = MIN_SCORE * impacts.sum(axis=0)
-            bound = impacts.max(axis=1)[rows]
             longest = max(len(terms[number]) for number in numbers)
+            bound = impacts.max(axis=1)
             self.blocks.append(Block(np.array(numbers), rows, impacts, bound, needed, longest))
+            for column in range(len(numbers)):
+                ascending = np.argsort(impacts[:, column], kind="stable")
+                weak = np.cumsum(impacts[ascending, column]) <= WEAK_SHARE * needed[column]
+                for row in ascending[~weak].tolist():
+                    strong.append((own[row], first + column, float(impacts[row, column])))
+        strong.sort()
+        posted, self.place, impact = (np.array(x) for x in zip(*strong))
+        self.impact = impact.astype(np.float64)
+        self.edges = np.searchsorted(posted, np.arange(len(names) + 1))
+        self.step = np.concatenate([np.full(len(b.items), max(b.longest, 1)) for b in self.blocks])
+        self.least = np.concatenate([b.needed for b in self.blocks]) * (1 - WEAK_SHARE)
+
+    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(place of an item, window) where the strong terms of the item reach their share.
+
+        The weak terms of an item are those of the least impact, which together stay below
+        WEAK_SHARE of what is needed; the strong ones must give the rest. A window is two halves;
+        a term counts once in each, which can only be too much.
+        """
+        places = np.flatnonzero(words >= 0)
+        terms = words[places]
+        counts = self.edges[terms + 1] - self.edges[terms]
+        posting = gather(self.edges[terms], counts)
+        item = self.place[posting]
+        half = np.repeat(places, counts) // self.step[item]
+        halves = len(words) + 2
+        once, kept = np.unique(
+            (item * halves + half) * (len(self.edges)) + np.repeat(terms, counts),
+            return_index=True,
+        )
+        keys, start = np.unique(once // len(self.edges), return_index=True)
+        if not len(keys):
+            return []
+        sums = np.append(np.add.reduceat(self.impact[posting[kept]], start), 0.0)
+        windows = np.union1d(keys, (keys - 1)[keys % halves > 0])
+
+        def sum_at(wanted: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(keys, wanted)
+            found = np.append(keys, -1)[at] == wanted
+            return sums[np.where(found, at, len(keys))]
+
+        total = sum_at(windows) + sum_at(windows + 1)
+        # Sums of float32 impacts in another order differ by far less than this.
+        hits = windows[total >= self.least[windows // halves] * (1 - 1e-4)]
+        return list(zip((hits // halves).tolist(), (hits % halves).tolist()))
 
     def search(self, words: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(item, first, last, share of its greatest score) of passages that reach the threshold.
 
         ``words`` are term numbers, -1 for terms of no item. Passages are windows of twice the
         block's longest item that start every such length, so any run of words as long as an item
-        lies in one of them whole.
+        lies in one of them whole. What the strong terms leave is bounded by the block's greatest
+        impacts, then scored in full.
         """
-        n = len(words)
-        for block in self.blocks:
-            step = max(block.longest, 1)
-            starts = np.arange(0, max(n, 1), step)
-            stops = np.minimum(starts + 2 * step, n)
-            sums = np.concatenate(([0.0], np.cumsum(block.bound[words], dtype=np.float64)))
-            # Sums of float32 impacts in another order differ by far less than this.
-            possible = sums[stops] - sums[starts] >= block.needed.min() * (1 - 1e-4)
-            for first, last in zip(starts[possible].tolist(), stops[possible].tolist()):
-                present = np.unique(block.rows[words[first:last]])
-                scores = block.impacts[present].sum(axis=0)
-                for hit in np.flatnonzero(scores >= block.needed * (1 - 1e-4)).tolist():
-                    share = float(scores[hit]) * MIN_SCORE / float(block.needed[hit])
-                    yield int(block.items[hit]), first, last, share
+        for place, window in self.candidates(words):
+            block, column = self.blocks[place // BLOCK_ITEMS], place % BLOCK_ITEMS
+            first = window * max(block.longest, 1)
+            last = min(first + 2 * max(block.longest, 1), len(words))
+            present = np.unique(block.rows[words[first:last]])
+            least = float(block.needed[column]) * (1 - 1e-4)
+            if block.bound[present].sum() < least:
+                continue
+            score = float(block.impacts[present, column].sum())
+            if score >= least:
+                share = score * MIN_SCORE / float(block.needed[column])
+                yield int(block.items[column]), first, last, share
 
 
 HITS = ArrayType(
