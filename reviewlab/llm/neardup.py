@@ -293,7 +293,7 @@ def star_pairs(groups: DataFrame) -> DataFrame:
     weighted = groups.join(weights, "rid")
     pivots = weighted.groupBy("band").agg(F.max_by("rid", "weight").alias("pivot"))
     return (
-        groups.join(pivots, "band")
+        groups.join(materialize(pivots, "pivots"), "band")
         .where("rid <> pivot")
         .select(F.greatest("rid", "pivot").alias("a"), F.least("rid", "pivot").alias("b"))
         .distinct()
@@ -361,7 +361,8 @@ def prefix_pairs(
     spans = sizes.groupBy("e").agg(
         F.max_by("component", "size").alias("major"), F.count("*").alias("components")
     )
-    spans = spans.where("components > 1").select("e", "major")
+    # Stored, so that the join below is one that Spark can split where an element is frequent.
+    spans = materialize(spans.where("components > 1").select("e", "major"), "element-spans")
     held = prefix.join(spans, "e")
     columns = ("rid", "component", "n", "place")
     left, right = (
@@ -399,7 +400,8 @@ def linked_components(
     """
     members = band_members(reps, percent)
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    groups = materialize(members.join(sizes, "band"), "band-groups")
+    # Stored, so that the join with a band that very many share can be split.
+    groups = materialize(members.join(materialize(sizes, "band-sizes"), "band"), "band-groups")
     links = checked(star_pairs(groups), rows, reps, shingle, percent)
     found = materialize(components(links), "components")
     members = materialize(open_members(groups, found), "open-members")
