@@ -178,4 +178,6 @@ def without_repeated(docs: DataFrame) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.coalesce(F.length("text"), F.lit(0)).cast(kind)
     columns = [new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
-    return drop_repeated(docs).select(*columns)
+    # The row need not carry the old text beside the one that is worked on.
+    others = [c for c in docs.columns if c not in new]
+    return drop_repeated(docs, carry=others).select(*columns)
