@@ -111,8 +111,11 @@ def is_skipped(element: Element, in_article: bool) -> bool:
     """Whether the element is a menu, an advert, a form, comments or the like."""
     if element.name in SKIPPED or (element.name == "header" and not in_article):
         return True
-    if not element.marks or element.name in ("html", "body", "main", "article"):
+    if not element.marks or element.name in ("html", "body", "main"):
         return False
+    if element.name == "article":
+        # Articles often name their topics and tools; only a whole name makes one a comment.
+        return not MARKS.isdisjoint(element.marks.split())
     return not MARKS.isdisjoint(NAME.findall(element.marks))
 
 

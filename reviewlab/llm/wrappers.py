@@ -1,8 +1,9 @@
 """HTML extraction by wrapper induction.
 
 The pages of a host are aligned with one of them by simple tree matching. What is the same in
-nearly all of them is the host's template; the slot that holds most of the varying text is where
-the article is. An article that a page marks itself outranks the slot. Menus, adverts, forms and
+nearly all of them is the host's template and is left out, also inside articles; the slot that
+holds most of the varying text is where the article is. An article that a page marks itself names
+the slot, unless the host's pages show that its text does not vary. Menus, adverts, forms and
 comments are left out by their names, as their text varies like that of articles.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.llm.common import packed
-from reviewlab.llm.html import Element, blocks, is_skipped, parse, squeezed
+from reviewlab.llm.html import BLOCK, Element, blocks, is_skipped, parse, squeezed
 from reviewlab.llm.urls import url_parts
 from reviewlab.session import materialize
 
@@ -32,16 +33,16 @@ MAX_DEPTH = 60
 
 @dataclass
 class Skeleton:
-    """A tree without text, in page order: labels, subtree sizes, hash and length of own texts.
+    """A tree without text, in page order: labels, subtree sizes, hashes and lengths of own texts.
 
-    Neighbouring elements with one name and marks are one node, so lists have one length.
-    ``sources`` has the elements of each node.
+    Neighbouring elements with one name and marks are one node, so lists have one length; hash and
+    length are kept for each of its elements. ``sources`` has the elements of each node.
     """
 
     labels: list[str]
     sizes: list[int]
-    texts: list[int]
-    chars: list[int]
+    texts: list[list[int]]
+    chars: list[list[int]]
     sources: list[list[Element]]
 
     def children(self, node: int) -> list[int]:
@@ -52,6 +53,10 @@ class Skeleton:
         return out
 
 
+def own_text(element: Element) -> str:
+    return squeezed(" ".join(p for p in element.parts if isinstance(p, str)))
+
+
 def skeleton(root: Element) -> Skeleton:
     """The skeleton of a page, without what is skipped by its name."""
     import xxhash
@@ -60,11 +65,11 @@ def skeleton(root: Element) -> Skeleton:
 
     def add(label: str, group: list[Element], depth: int) -> None:
         node = len(made.labels)
-        own = squeezed(" ".join(p for e in group for p in e.parts if isinstance(p, str)))
+        own = [own_text(e) for e in group]
         made.labels.append(label)
         made.sizes.append(1)
-        made.texts.append(xxhash.xxh64_intdigest(own) - 2**63)
-        made.chars.append(len(own))
+        made.texts.append([xxhash.xxh64_intdigest(text) - 2**63 for text in own])
+        made.chars.append([len(text) for text in own])
         made.sources.append(group)
         runs: list[tuple[str, list[Element]]] = []
         for element in group:
@@ -123,7 +128,7 @@ def align(one: Skeleton, other: Skeleton) -> list[tuple[int, int]]:
     return pairs
 
 
-TREE = "labels array<string>, sizes array<int>, texts array<long>, chars array<int>"
+TREE = "labels array<string>, sizes array<int>, texts array<array<long>>, chars array<array<int>>"
 
 
 def trees(pages: DataFrame) -> DataFrame:
@@ -137,8 +142,8 @@ def trees(pages: DataFrame) -> DataFrame:
                     batch.column("host"),
                     pa.array([s.labels for s in found], pa.list_(pa.string())),
                     pa.array([s.sizes for s in found], pa.list_(pa.int32())),
-                    pa.array([s.texts for s in found], pa.list_(pa.int64())),
-                    pa.array([s.chars for s in found], pa.list_(pa.int32())),
+                    pa.array([s.texts for s in found], pa.list_(pa.list_(pa.int64()))),
+                    pa.array([s.chars for s in found], pa.list_(pa.list_(pa.int32()))),
                 ],
                 names=["host", "labels", "sizes", "texts", "chars"],
             )
@@ -157,75 +162,91 @@ def reference_trees(stored: DataFrame) -> DataFrame:
 
 
 SHAPE = ("labels", "sizes", "texts", "chars")
+COUNTS = ("aligned", "same", "varied")
 
 
 def from_row(row: dict, prefix: str = "") -> Skeleton:
     return Skeleton(*[row[prefix + c] for c in SHAPE], [])
 
 
+def distinct_pages(stored: DataFrame) -> DataFrame:
+    """One of each host's equal pages: what copies share tells nothing about the template."""
+    same = stored.select("rid", "host", F.xxhash64("labels", "sizes", "texts").alias("sum"))
+    first = same.groupBy("host", "sum").agg(F.min("rid").alias("rid"))
+    return stored.join(first.select("rid"), "rid", "left_semi")
+
+
 def templates(stored: DataFrame) -> DataFrame:
     """Per host (of, its reference tree, nodes): how its pages agree with the reference.
 
-    ``nodes`` has for each node: place, pages aligned, pages with the same text, characters of
-    pages with another text. Trees are small; counts are added up per batch before the shuffle,
-    and pages of a host in many rows are joined by splitting them.
+    ``nodes`` has for each node, with a null text: place, pages aligned, characters of elements
+    with a text that the reference lacks there; and for each of the node's texts in the reference:
+    pages that have it there too. Trees are small; counts are added up per batch before the
+    shuffle, and pages of a host in many rows are joined by splitting them.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, int], Counter] = {}
+            counts: dict[tuple[str, int, int | None], Counter] = {}
             for row in batch.to_pylist():
                 page, reference = from_row(row), from_row(row, "ref_")
                 for a, b in align(page, reference):
-                    count = counts.setdefault((row["of"], b), Counter())
-                    same = int(page.texts[a] == reference.texts[b])
-                    count.update(aligned=1, same=same, varied=(1 - same) * page.chars[a])
+                    known = {t for t, n in zip(reference.texts[b], reference.chars[b]) if n}
+                    other = sum(n for t, n in zip(page.texts[a], page.chars[a]) if t not in known)
+                    count = counts.setdefault((row["of"], b, None), Counter())
+                    count.update(aligned=1, varied=other)
+                    for text in known.intersection(page.texts[a]):
+                        counts.setdefault((row["of"], b, text), Counter()).update(same=1)
             rows = [
-                {"of": host, "node": node, **{c: count[c] for c in ("aligned", "same", "varied")}}
-                for (host, node), count in counts.items()
+                {"of": of, "node": node, "text": text, **{c: count[c] for c in COUNTS}}
+                for (of, node, text), count in counts.items()
             ]
             yield pa.RecordBatch.from_pylist(
                 rows,
                 pa.schema(
                     [("of", pa.string())]
-                    + [(c, pa.int64()) for c in ("node", "aligned", "same", "varied")]
+                    + [(c, pa.int64()) for c in ("node", "text", *COUNTS)]
                 ),
             )
 
+    stored = distinct_pages(stored)
     references = materialize(reference_trees(stored), "reference-trees")
     both = stored.join(references, F.col("host") == F.col("of"))
     counts = (
         both.drop("rid", "host")
-        .mapInArrow(compare, "of string, node long, aligned long, same long, varied long")
-        .groupBy("of", "node")
-        .agg(*[F.sum(c).alias(c) for c in ("aligned", "same", "varied")])
+        .mapInArrow(
+            compare, "of string, node long, text long, aligned long, same long, varied long"
+        )
+        .groupBy("of", "node", "text")
+        .agg(*[F.sum(c).alias(c) for c in COUNTS])
         .groupBy("of")
-        .agg(F.collect_list(F.struct("node", "aligned", "same", "varied")).alias("nodes"))
+        .agg(F.collect_list(F.struct("node", "text", *COUNTS)).alias("nodes"))
     )
     return materialize(references.join(counts, "of"), "templates")
 
 
 @dataclass
 class Template:
-    """The reference tree of a host, its constant nodes, and the slot of its articles."""
+    """The reference tree of a host, the constant texts of its nodes, the nodes below which no
+    text varies, and the slot of its articles."""
 
     tree: Skeleton
-    constant: set[int]
+    constant: dict[int, set[int]]
+    still: set[int]
     slot: int | None
 
 
 def template_from(row: dict) -> Template:
     tree = from_row(row, "ref_")
-    counts = {n["node"]: n for n in row["nodes"]}
-    constant = {
-        place
-        for place, n in counts.items()
-        if n["aligned"] >= MIN_PAGES
-        and n["same"] >= MIN_EQUAL * n["aligned"]
-        and tree.chars[place]
-    }
-    varied = [counts[i]["varied"] if i in counts else 0 for i in range(len(tree.labels))]
+    nodes = {n["node"]: n for n in row["nodes"] if n["text"] is None}
+    constant: dict[int, set[int]] = {}
+    for n in row["nodes"]:
+        aligned = nodes[n["node"]]["aligned"]
+        if n["text"] is not None and aligned >= MIN_PAGES and n["same"] >= MIN_EQUAL * aligned:
+            constant.setdefault(n["node"], set()).add(n["text"])
+    varied = [nodes[i]["varied"] if i in nodes else 0 for i in range(len(tree.labels))]
     below = [sum(varied[i : i + tree.sizes[i]]) for i in range(len(varied))]
+    still = {i for i in nodes if nodes[i]["aligned"] >= MIN_PAGES and not below[i]}
     slot = None
     if below[0]:
         slot = 0
@@ -237,7 +258,7 @@ def template_from(row: dict) -> Template:
             if tree.sizes[inner[0]] == 1 or tree.labels[inner[0]].startswith("p."):
                 break
             slot = inner[0]
-    return Template(tree, constant, slot)
+    return Template(tree, constant, still, slot)
 
 
 def marked_articles(root: Element) -> list[Element]:
@@ -246,6 +267,8 @@ def marked_articles(root: Element) -> list[Element]:
         found, walk = [], [root]
         while walk:
             element = walk.pop()
+            if element.name == "article" and is_skipped(element, True):
+                continue
             if element.name == wanted or (wanted == "main" and element.marks == "main"):
                 found.append(element)
             elif not is_skipped(element, True):
@@ -255,20 +278,46 @@ def marked_articles(root: Element) -> list[Element]:
     return []
 
 
+def constant_blocks(root: Element, same: set[int]) -> set[int]:
+    """Ids of the elements of those blocks whose whole text is constant.
+
+    ``same`` has the ids of elements whose own text is. A word that every page has in bold is no
+    reason to take it out of its sentence, so a block goes as a whole or not at all.
+    """
+    owned: dict[int, list[Element]] = {}
+    walk = [(root, id(root))]
+    while walk:
+        element, block = walk.pop()
+        if own_text(element):
+            owned.setdefault(block, []).append(element)
+        for child in element.elements():
+            if not is_skipped(child, True):
+                walk.append((child, id(child) if child.name in BLOCK else block))
+    whole = [found for found in owned.values() if all(id(e) in same for e in found)]
+    return {id(e) for found in whole for e in found}
+
+
 def article_text(html: str, template: Template | None) -> str:
     """The blocks of a page's article, joined by empty lines."""
     root = parse(html)
     found = marked_articles(root)
-    if found:
-        return "\n\n".join(text for e in found for text in blocks(e, set(), True))
     if template is None:
-        return "\n\n".join(blocks(root, set(), False))
-    page = skeleton(root)
-    pairs = align(page, template.tree)
-    skip = {id(e) for a, b in pairs if b in template.constant for e in page.sources[a]}
-    slots = [a for a, b in pairs if b == template.slot]
-    chosen = page.sources[slots[0]] if slots else [root]
-    return "\n\n".join(text for e in chosen for text in blocks(e, skip, bool(slots)))
+        chosen, skip = found, set()
+    else:
+        page = skeleton(root)
+        pairs = sorted(align(page, template.tree))
+        same, still = set(), set()
+        for a, b in pairs:
+            fixed = template.constant.get(b, ())
+            same.update(id(e) for e, t in zip(page.sources[a], page.texts[a]) if t in fixed)
+            if b in template.still:
+                still.update(id(e) for e in page.sources[a])
+        skip = constant_blocks(root, same)
+        chosen = [e for e in found if id(e) not in still]
+        chosen = chosen or [e for a, b in pairs if b == template.slot for e in page.sources[a]]
+    return "\n\n".join(
+        text for e in chosen or [root] for text in blocks(e, skip, bool(chosen))
+    )
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -66,3 +66,29 @@ def test_odd_rows(spark):
     found = wrappers.extract(pages).collect()
     assert sorted(r["text"] for r in found) == ["", "", "", "", "t", "t"]
     assert wrappers.extract(pages.limit(0)).count() == 0
+
+
+def marked_page(i):
+    return (
+        f"<html><body><article><h1>Title {i}</h1><p>Read our <b>terms</b> first</p>"
+        + f"<p>Text {i} and <b>terms</b> of it</p><p>Tell your friends about us</p></article>"
+        + f"<article class='comment'><p>Comment {i} on it</p></article></body></html>"
+    )
+
+
+def test_constant_text_inside_marked_articles(spark):
+    rows = [(i, "http://h.org/x", marked_page(i)) for i in range(12)]
+    # Copies say nothing about the template.
+    rows += [(100 + i, "http://same.org/x", marked_page(0)) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()}
+    for i in range(12):
+        assert found[i] == f"Title {i}\n\nText {i} and terms of it"
+        assert found[100 + i].split("\n\n")[:2] == ["Title 0", "Read our terms first"]
+
+
+def test_comments_are_no_marked_article():
+    page = "<div><p>the text</p></div><article class='comment'><p>me too</p></article>"
+    assert wrappers.article_text(page, None) == "the text"
+    page = "<article class='post tag-share'><p>the text</p><article class='reply'>x</article></article>"
+    assert wrappers.article_text(page, None) == "the text"
