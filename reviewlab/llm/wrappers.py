@@ -1,7 +1,7 @@
 """HTML extraction by wrapper induction.
 
-The pages of a host are aligned with one of them by simple tree matching. What is the same in
-nearly all of them is the host's template and is left out, also inside articles; the slot that
+The pages of a host that share a layout are aligned with one of them by simple tree matching. What
+is the same in nearly all of them is the host's template and is left out, also inside articles; the slot that
 holds most of the varying text is where the article is. An article that a page marks itself names
 the slot, unless the host's pages show that its text does not vary. Menus, adverts, forms and
 comments are left out by their names, as their text varies like that of articles.
@@ -9,6 +9,7 @@ comments are left out by their names, as their text varies like that of articles
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,12 @@ MIN_EQUAL = 0.9
 SLOT_SHARE = 0.6
 #: Levels of a tree that are aligned; what is nested deeper counts to the last of them.
 MAX_DEPTH = 60
+#: Levels of containers that make a page's layout, and what holds the parts of a page.
+LAYOUT_DEPTH = 4
+CONTAINERS = set("#page html body center div main section table tbody td tr".split())
+#: Nodes of a page that is aligned with all others, if there is one with so few.
+FEW_NODES = 2_000
+DIGITS = re.compile("[0-9]+")
 
 
 @dataclass
@@ -90,6 +97,24 @@ def skeleton(root: Element) -> Skeleton:
     return made
 
 
+def layout(tree: Skeleton) -> int:
+    """A hash of the containers in the upper levels, whatever their numbers and repeats."""
+    import xxhash
+
+    found, walk = set(), [(0, "", 0)]
+    while walk:
+        node, path, depth = walk.pop()
+        path = f"{path}/{DIGITS.sub('#', tree.labels[node])}"
+        found.add(path)
+        if depth < LAYOUT_DEPTH:
+            walk.extend(
+                (child, path, depth + 1)
+                for child in tree.children(node)
+                if tree.labels[child].split(".", 1)[0] in CONTAINERS
+            )
+    return xxhash.xxh64_intdigest("\n".join(sorted(found))) - 2**63
+
+
 def align(one: Skeleton, other: Skeleton) -> list[tuple[int, int]]:
     """Pairs of nodes by simple tree matching: as many as possible, in order, below pairs."""
     memo: dict[tuple[int, int], tuple[int, list]] = {}
@@ -132,7 +157,7 @@ TREE = "labels array<string>, sizes array<int>, texts array<array<long>>, chars
 
 
 def trees(pages: DataFrame) -> DataFrame:
-    """Per page rid, host and its skeleton; stored."""
+    """Per page rid, host, layout and its skeleton; stored. Pages without elements are left out."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,24 +165,51 @@ def trees(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("host"),
+                    pa.array([layout(s) for s in found], pa.int64()),
                     pa.array([s.labels for s in found], pa.list_(pa.string())),
                     pa.array([s.sizes for s in found], pa.list_(pa.int32())),
                     pa.array([s.texts for s in found], pa.list_(pa.list_(pa.int64()))),
                     pa.array([s.chars for s in found], pa.list_(pa.list_(pa.int32()))),
                 ],
-                names=["host", "labels", "sizes", "texts", "chars"],
+                names=["host", "layout", "labels", "sizes", "texts", "chars"],
             )
 
-    made = pages.select("host", "html").mapInArrow(read, f"host string, {TREE}")
+    made = pages.select("host", "html").mapInArrow(read, f"host string, layout long, {TREE}")
+    made = made.where("size(labels) > 1")
     return materialize(made.select(F.monotonically_increasing_id().alias("rid"), "*"), "trees")
 
 
-def reference_trees(stored: DataFrame) -> DataFrame:
-    """One page of every host that has several: host and its skeleton."""
-    first = stored.groupBy("host").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
-    chosen = first.where(f"n >= {MIN_PAGES}").select("rid")
-    return stored.join(chosen, "rid", "left_semi").select(
-        F.col("host").alias("of"), *[F.col(c).alias(f"ref_{c}") for c in SHAPE]
+def layout_groups(stored: DataFrame) -> DataFrame:
+    """Per host and layout: the group whose template its pages take, and whether they make it.
+
+    A layout with MIN_PAGES pages is a group of its own. Rarer ones take the template of their
+    host's most frequent layout, or are one group if the host has only rare ones.
+    """
+    sizes = stored.groupBy("host", "layout").agg(F.count("*").alias("n"))
+    hosts = sizes.groupBy("host").agg(
+        F.max_by("layout", F.struct("n", "layout")).alias("main"),
+        F.max("n").alias("most"),
+        F.sum("n").alias("pages"),
+    )
+    own = F.col("n") >= MIN_PAGES
+    some = F.col("most") >= MIN_PAGES
+    groups = sizes.join(hosts.where(f"pages >= {MIN_PAGES}"), "host").select(
+        F.col("host").alias("of"),
+        F.col("layout").alias("like"),
+        F.when(own, F.col("layout")).when(some, F.col("main")).otherwise(0).alias("group"),
+        (own | ~some).alias("makes"),
+    )
+    return materialize(groups, "layout-groups")
+
+
+def reference_trees(members: DataFrame) -> DataFrame:
+    """One page of every group, with as many different nodes as any: of, group, its skeleton."""
+    kinds = F.struct(
+        F.size("labels") <= FEW_NODES, F.size(F.array_distinct("labels")), -F.col("rid")
+    )
+    chosen = members.groupBy("of", "group").agg(F.max_by("rid", kinds).alias("rid")).select("rid")
+    return members.join(chosen, "rid", "left_semi").select(
+        "of", "group", *[F.col(c).alias(f"ref_{c}") for c in SHAPE]
     )
 
 
@@ -177,57 +229,65 @@ def distinct_pages(stored: DataFrame) -> DataFrame:
 
 
 def templates(stored: DataFrame) -> DataFrame:
-    """Per host (of, its reference tree, nodes): how its pages agree with the reference.
+    """Per host and layout (of, like, group, a reference tree, nodes): how the pages of the
+    layout's group agree with the reference.
 
     ``nodes`` has for each node, with a null text: place, pages aligned, characters of elements
     with a text that the reference lacks there; and for each of the node's texts in the reference:
     pages that have it there too. Trees are small; counts are added up per batch before the
-    shuffle, and pages of a host in many rows are joined by splitting them.
+    shuffle, and pages of a group in many rows are joined by splitting them.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, int, int | None], Counter] = {}
+            counts: dict[tuple[str, int, int, int | None], Counter] = {}
             for row in batch.to_pylist():
                 page, reference = from_row(row), from_row(row, "ref_")
                 for a, b in align(page, reference):
                     known = {t for t, n in zip(reference.texts[b], reference.chars[b]) if n}
                     other = sum(n for t, n in zip(page.texts[a], page.chars[a]) if t not in known)
-                    count = counts.setdefault((row["of"], b, None), Counter())
+                    count = counts.setdefault((row["of"], row["group"], b, None), Counter())
                     count.update(aligned=1, varied=other)
                     for text in known.intersection(page.texts[a]):
-                        counts.setdefault((row["of"], b, text), Counter()).update(same=1)
+                        place = row["of"], row["group"], b, text
+                        counts.setdefault(place, Counter()).update(same=1)
             rows = [
-                {"of": of, "node": node, "text": text, **{c: count[c] for c in COUNTS}}
-                for (of, node, text), count in counts.items()
+                {**dict(zip(("of", "group", "node", "text"), place)), **{c: count[c] for c in COUNTS}}
+                for place, count in counts.items()
             ]
             yield pa.RecordBatch.from_pylist(
                 rows,
                 pa.schema(
                     [("of", pa.string())]
-                    + [(c, pa.int64()) for c in ("node", "text", *COUNTS)]
+                    + [(c, pa.int64()) for c in ("group", "node", "text", *COUNTS)]
                 ),
             )
 
     stored = distinct_pages(stored)
-    references = materialize(reference_trees(stored), "reference-trees")
-    both = stored.join(references, F.col("host") == F.col("of"))
+    groups = layout_groups(stored)
+    members = stored.join(
+        groups.where("makes"), (F.col("host") == F.col("of")) & (F.col("layout") == F.col("like"))
+    ).select("rid", "of", "group", *SHAPE)
+    references = materialize(reference_trees(members), "reference-trees")
     counts = (
-        both.drop("rid", "host")
+        members.join(references, ["of", "group"])
+        .drop("rid")
         .mapInArrow(
-            compare, "of string, node long, text long, aligned long, same long, varied long"
+            compare,
+            "of string, group long, node long, text long, aligned long, same long, varied long",
         )
-        .groupBy("of", "node", "text")
+        .groupBy("of", "group", "node", "text")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
-        .groupBy("of")
+        .groupBy("of", "group")
         .agg(F.collect_list(F.struct("node", "text", *COUNTS)).alias("nodes"))
     )
-    return materialize(references.join(counts, "of"), "templates")
+    found = materialize(references.join(counts, ["of", "group"]), "templates")
+    return groups.drop("makes").join(found, ["of", "group"])
 
 
 @dataclass
 class Template:
-    """The reference tree of a host, the constant texts of its nodes, the nodes below which no
+    """The reference tree of a layout, the constant texts of its nodes, the nodes below which no
     text varies, and the slot of its articles."""
 
     tree: Skeleton
@@ -320,21 +380,37 @@ def article_text(html: str, template: Template | None) -> str:
     )
 
 
+def with_layout(rows: DataFrame) -> DataFrame:
+    """Add the layout of each row's page."""
+    names = [*rows.columns, "layout"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [layout(skeleton(parse(h or ""))) for h in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.int64())], names=names
+            )
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(read, f"{kinds}, layout long")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (code points).
 
     Null or empty html gives an empty text; a null url belongs to the empty host. Repeated rows
-    are extracted each. Hosts with fewer than MIN_PAGES pages have no template. Pages are shuffled
-    once at most, to their host's template, which is small; a host with very many pages is split.
+    are extracted each. Hosts with fewer than MIN_PAGES different pages have no template. Pages are
+    shuffled once at most, to their layout's template, which is small; a layout with very many
+    pages is split.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[str, Template] = {}
+        made: dict[tuple[str, int], Template] = {}
         for batch in batches:
-            hosts = batch.column("of").to_pylist()
+            hosts = list(zip(batch.column("of").to_pylist(), batch.column("group").to_pylist()))
             texts = []
             for row, (html, host) in enumerate(zip(batch.column("html").to_pylist(), hosts)):
-                if host is not None and host not in made:
+                if host[0] is not None and host not in made:
                     if len(made) >= 1000:
                         made.clear()
                     columns = [*(f"ref_{c}" for c in SHAPE), "nodes"]
@@ -352,7 +428,11 @@ def extract(pages: DataFrame) -> DataFrame:
     host = url_parts(F.col("url"))["host"]
     rows = packed(pages, ["page_id", "url"], host=host, html=F.col("html"))
     found = templates(trees(rows))
-    joined = rows.join(found, F.col("host") == F.col("of"), "left").drop("host")
+    joined = (
+        with_layout(rows)
+        .join(found, (F.col("host") == F.col("of")) & (F.col("layout") == F.col("like")), "left")
+        .drop("host", "layout", "like")
+    )
     row_type = rows.schema["row"].dataType.simpleString()
     done = joined.mapInArrow(read, f"row {row_type}, text string, n_chars long")
     return done.select("row.page_id", "row.url", "text", "n_chars")

@@ -92,3 +92,24 @@ def test_comments_are_no_marked_article():
     assert wrappers.article_text(page, None) == "the text"
     page = "<article class='post tag-share'><p>the text</p><article class='reply'>x</article></article>"
     assert wrappers.article_text(page, None) == "the text"
+
+
+def other_page(i):
+    return (
+        f"<html><body><div class=wrap><div class=head>Our other pages</div><div class=story>"
+        f"<p>Story {i} as told</p></div><div class=end>Ask us {i}</div></div></body></html>"
+    )
+
+
+def test_layouts_of_one_host(spark):
+    rows = [(-1, "http://h.org/x", None), (-2, "http://h.org/x", "")]
+    rows += [(i, "http://h.org/x", plain_page(i)) for i in range(12)]
+    rows += [(100 + i, "http://h.org/x", other_page(i)) for i in range(5)]
+    # The empty pages come first, so they have the smallest numbers.
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()}
+    assert found[-1] == found[-2] == ""
+    for i in range(12):
+        assert found[i].startswith(f"Title {i}\n\n") and "rights" not in found[i]
+    for i in range(5):
+        assert found[100 + i].startswith(f"Story {i} as told") and "other pages" not in found[100 + i]
