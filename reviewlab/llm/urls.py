@@ -21,10 +21,11 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Levels of the tree; deeper segments only count as being there.
-DEPTH = 6
-#: A literal branch has at least this many urls, and this share of its parent's.
+#: A literal branch has at least this many urls.
 MIN_URLS = 3
+#: Of the SQL alone, which checks the given tables: levels of its tree, and the share of its
+#: parent's urls that a literal branch has there.
+DEPTH = 6
 MIN_PERCENT = 2
 #: Branches differ if the square of the two-proportion z exceeds this (95 %).
 Z_SQUARE = 3.84
@@ -67,14 +68,14 @@ def shape(path: Column) -> Column:
 def one_level(tree: DataFrame, level: int) -> DataFrame:
     """Extend every template by its segment at this level: the literal, or a wildcard.
 
-    A segment stays literal if it is frequent below its parent and the share of bad labels below
-    it differs from that of its siblings; all others become one wildcard branch.
+    A segment stays literal if the share of bad labels below it differs from that of its siblings,
+    however many those are; all others become one wildcard branch.
     """
     at = tree.withColumn("segment", F.get("segments", F.lit(level)))
     counts = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     child = at.where("segment is not null").groupBy("host", "template", "segment").agg(*counts)
     parent = child.groupBy("host", "template").agg(
-        *[F.sum(c).cast("double").alias(f"all_{c}") for c in ("n", "labelled", "bad")]
+        *[F.sum(c).cast("double").alias(f"all_{c}") for c in ("labelled", "bad")]
     )
     n, few, bad = (F.col(c).cast("double") for c in ("n", "labelled", "bad"))
     every, all_bad = F.col("all_labelled"), F.col("all_bad")
@@ -82,7 +83,7 @@ def one_level(tree: DataFrame, level: int) -> DataFrame:
     differs = gap * gap * every > F.lit(Z_SQUARE) * few * (every - few) * all_bad * (
         every - all_bad
     )
-    literal = (n >= MIN_URLS) & (n * 100 >= F.col("all_n") * MIN_PERCENT) & differs
+    literal = (n >= MIN_URLS) & differs
     branch = child.join(parent, ["host", "template"]).select(
         "host", "template", "segment", F.when(literal, F.col("segment")).alias("literal")
     )
@@ -95,6 +96,36 @@ def one_level(tree: DataFrame, level: int) -> DataFrame:
     )
 
 
+def next_split(tree: DataFrame, level: int) -> int | None:
+    """The first level from this one on where a template can be split; None if there is none.
+
+    A template can be split as long as paths below it part and have labels of both kinds. Where
+    they part tells the first and the last of their remaining segments in order.
+    """
+    rest = F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0)))
+    groups = (
+        tree.where(F.size("segments") > level)
+        .groupBy("host", "template")
+        .agg(
+            F.min(rest).alias("low"),
+            F.max(rest).alias("high"),
+            *[F.sum(c).alias(c) for c in ("labelled", "bad")],
+        )
+        .where("low <> high and bad > 0 and bad < labelled")
+    )
+    both = F.arrays_zip("low", "high")
+    parts = F.array_position(F.transform(both, lambda p: ~p["low"].eqNullSafe(p["high"])), True)
+    first = groups.agg(F.min(parts)).first()[0]
+    return None if first is None else level + int(first) - 1
+
+
+def wildcards(tree: DataFrame, level: int, to: int | None) -> DataFrame:
+    """Extend every template by a wildcard for each of its segments from ``level`` up to ``to``."""
+    stop = F.size("segments") if to is None else F.least(F.size("segments"), F.lit(to))
+    more = F.repeat(F.lit("/*"), F.greatest(stop - level, F.lit(0)))
+    return tree.withColumn("template", F.concat("template", more))
+
+
 def judge_templates(urls: DataFrame) -> DataFrame:
     """Per host and shape: template, labels below the template, smoothed purity, rejected.
 
@@ -116,11 +147,11 @@ def judge_templates(urls: DataFrame) -> DataFrame:
         )
     )
     tree = materialize(tree, "url-shapes")
-    deepest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(deepest, DEPTH)):
-        tree = materialize(one_level(tree, level), "url-tree")
-    deeper = F.when(F.size("segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    tree = tree.withColumn("template", F.concat("template", deeper))
+    level = 0
+    while (split := next_split(tree, level)) is not None:
+        tree = materialize(one_level(wildcards(tree, level, split), split), "url-tree")
+        level = split + 1
+    tree = wildcards(tree, level, None)
     total = tree.agg(F.sum("bad"), F.sum("labelled")).first()
     overall = float(total[0] or 0) / max(float(total[1] or 0), 1.0)
     sums = [F.sum(c).cast("double").alias(f"t_{c}") for c in ("labelled", "bad")]
