@@ -1,8 +1,8 @@
 """Secret scans that tell live-looking credentials from widely copied examples.
 
 Candidates are found by fixed patterns. The hash of each candidate is counted over the whole
-corpus by distinct owners and repositories: what many owners share is an example, what one owner
-alone has looks live. Everything is a DataFrame expression.
+corpus by distinct owners and repositories, equal texts once: an opaque value that many share is an
+example, one that few have looks live. Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -25,11 +25,15 @@ HEX = r"[0-9a-f]{16,}"
 MIN_ASSIGNED = 12
 KINDS = ("assign", "access", "hex")
 
-#: Long runs without a known shape; kept only if they mix letters and digits and one owner has
-#: them.
+#: Long runs without a known shape; kept only if they mix letters and digits and are not widely
+#: copied.
 OPAQUE = r"[A-Za-z0-9+/_-]{24,}"
-#: Owners that may share a credential that still counts as live.
+#: Owners that may share a credential of a known shape that still counts as live.
 MAX_OWNERS = 1
+#: An opaque value is widely copied if more than so many owners or repositories have it, and more
+#: than this percentage of all of them.
+FEW = 3
+WIDE_PERCENT = 1
 
 
 def spans(text: Column, kind: str, pattern: str) -> Column:
@@ -112,6 +116,8 @@ def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text") -> Da
         F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
         F.coalesce(repo.cast("string"), F.lit("")).alias("repo"),
         F.monotonically_increasing_id().alias("rid"),
+        F.xxhash64(body).alias("copy"),
+        F.length(body).alias("n_chars"),
         base.alias("base"),
         more.alias("more"),
     )
@@ -123,6 +129,33 @@ def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text") -> Da
     return row.withColumn("more", uncovered)
 
 
+def independent(candidates: DataFrame) -> DataFrame:
+    """Per value (sum): owners and repositories that have it, where equal whole texts count once,
+    for the first of their owners. A text that is at least half the value is no document that was
+    copied with it, and counts for each owner."""
+    copied = candidates.where("not alone").groupBy("sum", "copy")
+    first = copied.agg(F.min(F.struct("owner", "repo")).alias("first"))
+    alone = candidates.where("alone").select("sum", "owner", "repo")
+    return (
+        first.select("sum", "first.owner", "first.repo")
+        .unionByName(alone)
+        .groupBy("sum", "owner", "repo")
+        .agg(F.count("*").alias("n"))
+        .groupBy("sum", "owner")
+        .agg(F.count("*").alias("repos"))
+        .groupBy("sum")
+        .agg(F.count("*").alias("free_owners"), F.sum("repos").alias("free_repos"))
+    )
+
+
+def widest(found: DataFrame) -> tuple[int, int]:
+    """The most owners and the most repositories that may have an opaque value that is live."""
+    pairs = found.groupBy("owner", "repo").agg(F.count("*").alias("n"))
+    per_owner = pairs.groupBy("owner").agg(F.count("*").alias("repos"))
+    owners, repos = per_owner.agg(F.count("*"), F.coalesce(F.sum("repos"), F.lit(0))).first()
+    return max(FEW, owners * WIDE_PERCENT // 100), max(FEW, repos * WIDE_PERCENT // 100)
+
+
 def find_secrets(
     docs: DataFrame,
     owner: Column | None = None,
@@ -133,10 +166,11 @@ def find_secrets(
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live,
     n_example.
 
-    ``spans`` has all base spans and the opaque ones whose value at most ``max_owners`` owners
-    have. n_live and n_example count the row's candidates of either sort by owners. A null text
-    has no spans; null owners or repositories count as one more, empty name. Repeated rows are
-    rows of their own but add no owner.
+    ``spans`` has all base spans and the opaque ones whose value is not widely copied, by owners
+    and by repositories, where copies of one document count once. n_live and n_example count the
+    row's candidates of either sort; those of base spans are live if at most ``max_owners`` owners
+    have the value. A null text has no spans; null owners or repositories count as one more, empty
+    name. Repeated rows are rows of their own but add no owner.
 
     Only candidates are shuffled. Owners are counted in steps (value and owner, then value), so a
     value in a third of all documents is one row per task; its many candidates take their count
@@ -147,19 +181,24 @@ def find_secrets(
     found = materialize(scan(docs, owner, repo, text), "secret-spans")
     candidates = (
         found.where("size(base) + size(more) > 0")
-        .select("rid", "owner", "repo", F.explode(F.concat("base", "more")).alias("span"))
+        .select(
+            "rid", "owner", "repo", "copy", "n_chars",
+            F.explode(F.concat("base", "more")).alias("span"),
+        )
         .withColumn("sum", F.sha2(value(F.col("span")), 256))
+        .withColumn("alone", F.length(value(F.col("span"))) * 2 >= F.col("n_chars"))
+        .drop("n_chars")
     )
     spread = (
-        candidates.groupBy("sum", "owner", "repo")
+        candidates.groupBy("sum", "owner")
         .agg(F.count("*").alias("n"))
-        .groupBy("sum", "owner")
-        .agg(F.count("*").alias("repos"))
         .groupBy("sum")
-        .agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+        .agg(F.count("*").alias("owners"))
     )
-    spread = materialize(spread, "secret-owners")
-    live = F.col("owners") <= max_owners
+    spread = materialize(spread.join(independent(candidates), "sum"), "secret-owners")
+    most_owners, most_repos = widest(found)
+    few = (F.col("free_owners") <= most_owners) & (F.col("free_repos") <= most_repos)
+    live = F.when(F.col("span.kind") == "opaque", few).otherwise(F.col("owners") <= max_owners)
     confirmed = F.when(live & (F.col("span.kind") == "opaque"), F.col("span"))
     per_row = (
         candidates.join(spread, "sum")

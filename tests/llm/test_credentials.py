@@ -58,3 +58,17 @@ def test_odd_rows(odd_docs, no_docs):
     found = credentials.find_secrets(odd_docs, F.col("source"), F.col("key"))
     assert found.count() == odd_docs.count()
     assert credentials.find_secrets(no_docs).count() == 0
+
+
+def test_copied_documents_make_no_example(spark):
+    secret, example, hot = (c * 8 + "Q1w2E3r4T5y6U7i8" for c in "abc")
+    document = "a long report about our servers that says in its last line that the key is "
+    rows = [(i, document + secret, f"owner{i}", "en") for i in range(20)]
+    rows += [(20, f"an edited copy of that {document} {secret}", "other", "en")]
+    rows += [(30 + i, f"{document} {i} {example}", f"owner{i}", "en") for i in range(20)]
+    rows += [(60 + i, f"{document} {i} {hot}", "owner0", f"l{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = {r["doc_id"]: r for r in credentials.find_secrets(docs).collect()}
+    assert all(found[i]["n_live"] == 1 and found[i]["spans"] for i in range(21))
+    assert all(found[30 + i]["n_example"] == 1 and not found[30 + i]["spans"] for i in range(20))
+    assert all(found[60 + i]["n_example"] == 1 and not found[60 + i]["spans"] for i in range(20))
