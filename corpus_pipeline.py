@@ -18,8 +18,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that an earlier document has are cut out of the texts."""
-    return chunks.without_repeated(docs)
+    """Passages of whole lines, then chunks of lines, that an earlier document has are cut out."""
+    # Stored, as the chunks are looked for in several passes over the texts.
+    return chunks.without_repeated(materialize(chunks.without_passages(docs), "without-passages"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import SPACE, once, packed
+from reviewlab.llm.common import SPACE, once, packed, words_of
 from reviewlab.session import materialize
 
 #: A chunk ends where the rolling hash is divisible by this and was not one line before, so only
@@ -21,6 +21,8 @@ DIVISOR = 2
 WEIGHT = 31
 #: Characters of a line that is a chunk of its own: some 50 words.
 LONG_LINE = 300
+#: Words that a run of whole lines has more of to be a passage.
+PASSAGE_WORDS = 50
 #: Stands for a null doc_id, which sorts last.
 NO_ID = 2**63 - 1
 
@@ -181,3 +183,108 @@ def without_repeated(docs: DataFrame) -> DataFrame:
     # The row need not carry the old text beside the one that is worked on.
     others = [c for c in docs.columns if c not in new]
     return drop_repeated(docs, carry=others).select(*columns)
+
+
+def passages(text: Column) -> Column:
+    """array<struct<first, last, sum>>: the shortest passages that begin, and that end, at a line.
+
+    Lines without words are passed over, so a passage has at most PASSAGE_WORDS + 1 lines. Every
+    run of whole lines with more words than that is covered by the passages inside it.
+    """
+    lines = F.transform(
+        F.split(text, "\n"),
+        lambda line, i: F.struct(
+            i.alias("at"), line.alias("line"), F.size(words_of(line)).alias("n")
+        ),
+    )
+    most = PASSAGE_WORDS + 1
+
+    def taken(near: Column) -> Column:
+        """How many of some lines are a passage; null if all of them are not."""
+        start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"))
+        step = lambda a, x: F.when(a["n"] >= most, a).otherwise(
+            F.struct((a["k"] + 1).alias("k"), (a["n"] + x["n"]).alias("n"))
+        )
+        return F.aggregate(near, start, step, lambda a: F.when(a["n"] >= most, a["k"]))
+
+    def ends(real: Column) -> Column:
+        after = lambda i: F.slice(real, i + 1, most)
+        upto = lambda i: F.slice(
+            real, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))
+        )
+        ahead = F.transform(
+            real, lambda _, i: F.struct((i + 1).alias("i"), taken(after(i)).alias("k"))
+        )
+        behind = F.transform(
+            real, lambda _, i: F.struct((i + 2).alias("i"), taken(F.reverse(upto(i))).alias("k"))
+        )
+        whole = lambda p: p["k"].isNotNull()
+        begun = F.transform(F.filter(ahead, whole), lambda p: F.slice(real, p["i"], p["k"]))
+        ended = F.transform(
+            F.filter(behind, whole), lambda p: F.slice(real, p["i"] - p["k"], p["k"])
+        )
+        return F.transform(
+            F.concat(begun, ended),
+            lambda p: F.struct(
+                F.element_at(p, 1)["at"].alias("first"),
+                F.element_at(p, -1)["at"].alias("last"),
+                F.unhex(F.md5(F.array_join(p["line"], "\n"))).alias("sum"),
+            ),
+        )
+
+    real = F.filter(lines, lambda x: x["n"] > 0)
+    return F.element_at(F.transform(F.array(real), ends), 1)
+
+
+def without_passages(docs: DataFrame) -> DataFrame:
+    """The documents without runs of whole lines of over PASSAGE_WORDS words that came before.
+
+    The first occurrence stays: that in the smallest doc_id (a null one is the largest), the first
+    of that text; in one text only what does not overlap it goes. Rows are never dropped, and equal
+    rows with one doc_id keep the same. A column n_chars follows the new text. Only sums of
+    passages are shuffled to find repeated ones; lines to remove come from a table without texts.
+    """
+    named = packed(
+        docs,
+        doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+        copy=F.xxhash64("text"),
+        text=F.col("text"),
+    )
+    found = named.where("text is not null").select(
+        "doc", "copy", F.explode(passages(F.col("text"))).alias("p")
+    )
+    found = materialize(found.select("doc", "copy", "p.first", "p.last", "p.sum"), "passages")
+    place = F.struct("doc", "copy", "first", "last")
+    repeated = (
+        found.groupBy("sum")
+        .agg(F.min(place).alias("one"), F.max(place).alias("other"))
+        .where("one <> other")
+        .select("sum", "one")
+    )
+    repeated = materialize(repeated, "repeated-passages")
+    same_text = (F.col("doc") == F.col("one.doc")) & (F.col("copy") == F.col("one.copy"))
+    gone = (
+        found.join(repeated, "sum")
+        .where(~same_text | (F.col("first") > F.col("one.last")))
+        .select("doc", "copy", "first", "last")
+        .distinct()
+        .groupBy("doc", "copy")
+        .agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+        .select("doc", "copy", F.array_distinct(F.flatten(
+            F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))
+        )).alias("gone"))
+    )
+    gone = materialize(gone, "passage-lines")
+
+    def without(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    shorter = F.element_at(F.transform(F.array(F.split("text", "\n")), without), 1)
+    done = named.join(gone, ["doc", "copy"], "left")
+    done = once(done, "short", F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter))
+    new = {"text": F.col("short")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.coalesce(F.length("short"), F.lit(0)).cast(kind)
+    return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -62,3 +62,46 @@ def test_odd_rows(odd_docs, no_docs):
     texts = {r["doc_id"]: r["text"] for r in done.collect()}
     assert texts[3] is None and texts[4] == "" and len(texts[7]) == 50_000
     assert chunks.without_repeated(no_docs).count() == 0
+
+
+def without_runs(texts):
+    """Brute force: lines of any run of over 50 words that an earlier text has go."""
+    wordy = [[(i, line) for i, line in enumerate(t.split("\n")) if line.split()] for t in texts]
+    out = []
+    for number, text in enumerate(texts):
+        own, gone = wordy[number], set()
+        for a in range(len(own)):
+            for b in range(a, len(own)):
+                run = [line for _, line in own[a : b + 1]]
+                if sum(len(line.split()) for line in run) <= 50:
+                    continue
+                at = lambda w, n: [i for i in range(n) if [x for _, x in w[i : i + len(run)]] == run]
+                if any(at(w, len(w)) for w in wordy[:number]) or any(i + len(run) <= a for i in at(own, a)):
+                    gone.update(range(own[a][0], own[b][0] + 1))
+        out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
+    return out
+
+
+def test_passages_between_unlike_neighbours(spark):
+    passage = [f"line {i} has a few words of its own in it" for i in range(6)]
+    long = " ".join(f"w{i}" for i in range(51))
+    texts = [
+        "\n".join(["one", *passage, "two", long, "three"]),
+        "\n".join(["four", *passage[:3], "", *passage[3:], "five", passage[0], "six"]),
+        "\n".join(["seven", long, *passage[1:], "eight"]),
+        "\n".join(["a b"] * 90),
+        "\n".join(["x", *["y z " + str(i) for i in range(20)], "u", *["y z " + str(i) for i in range(20)]]),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = [r["text"] for r in chunks.without_passages(docs).orderBy("doc_id").collect()]
+    assert done[:3] == [texts[0], "four\nfive\n" + passage[0] + "\nsix", "seven\neight"]
+    assert done == without_runs(texts)
+
+
+def test_passages_of_odd_rows(odd_docs, no_docs):
+    done = chunks.without_passages(odd_docs)
+    assert done.columns == odd_docs.columns and done.count() == odd_docs.count()
+    texts = {r["doc_id"]: r["text"] for r in done.collect()}
+    assert texts[3] is None and texts[4] == "" and len(texts[7]) == 50_000
+    assert chunks.without_repeated(done).count() == odd_docs.count()
+    assert chunks.without_passages(no_docs).count() == 0
