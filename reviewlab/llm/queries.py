@@ -14,6 +14,7 @@ from reviewlab.llm import (
     quality,
     repair,
     separators,
+    turns,
     urls,
     wrappers,
 )
@@ -99,6 +100,10 @@ def op10_bm25_wand(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "item_id")
 
 
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.summaries(turns.damaged(table(spark, sf, "conversations")))
+
+
 QUERIES = {
     "op1_path_templates": op1_path_templates,
     "op2_repair_tokens": op2_repair_tokens,
@@ -110,4 +115,5 @@ QUERIES = {
     "op8_wrapper_induction": op8_wrapper_induction,
     "op9_distinct_words": op9_distinct_words,
     "op10_bm25_wand": op10_bm25_wand,
+    "op12_turn_repair": op12_turn_repair,
 }
