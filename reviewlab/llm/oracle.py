@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from reviewlab.llm import chunks, credentials, decontaminate, quality, urls
+from reviewlab.llm import chunks, credentials, decontaminate, phrases, quality, urls
+from reviewlab.llm.common import A_TO_Z
 
 RULE_SCORES = {
     "symbols": "least(100 * n_symbols // greatest(n_words, 1), 100)",
@@ -323,6 +324,57 @@ WITH sentences AS (
 SELECT doc_id, item_id FROM found GROUP BY ALL HAVING count(*) = 2
 """
 
+OP11 = f"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(p, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), '{A_TO_Z}', '{A_TO_Z.lower()}'),
+        '[.,;:!?\\x0A-\\x0D]')) AS p
+    FROM documents)
+), ones AS (
+  SELECT lang, w, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM pieces) GROUP BY ALL
+), sizes AS (
+  SELECT lang, sum(f) AS n FROM ones GROUP BY ALL
+), twos AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM pieces) GROUP BY ALL
+), threes AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM pieces) GROUP BY ALL
+  HAVING count(*) >= {phrases.LEAST}
+), pairs AS (
+  SELECT t.lang, w1 || ' ' || w2 AS phrase, w1, w2, t.f AS a, x.f AS l, y.f AS r,
+    ({phrases.UNIT}::HUGEINT * t.f * t.f) // (x.f::HUGEINT * y.f) AS score
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.w = w1 JOIN ones y ON y.lang = t.lang AND y.w = w2
+  WHERE t.f >= {phrases.LEAST}
+), cuts AS (
+  SELECT t.lang, t.w1, t.w2, t.w3, t.f AS a,
+    x.f AS l1, yz.f AS r1, ({phrases.UNIT}::HUGEINT * t.f * t.f) // (x.f::HUGEINT * yz.f) AS s1,
+    xy.f AS l2, z.f AS r2, ({phrases.UNIT}::HUGEINT * t.f * t.f) // (xy.f::HUGEINT * z.f) AS s2
+  FROM threes t
+  JOIN ones x ON x.lang = t.lang AND x.w = t.w1
+  JOIN ones z ON z.lang = t.lang AND z.w = t.w3
+  JOIN twos xy ON xy.lang = t.lang AND xy.w1 = t.w1 AND xy.w2 = t.w2
+  JOIN twos yz ON yz.lang = t.lang AND yz.w1 = t.w2 AND yz.w2 = t.w3
+), inside AS (
+  SELECT lang, w1, w2, max(f) AS most FROM (
+    SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL
+), candidates AS (
+  SELECT lang, phrase, a, l, r, score FROM pairs LEFT JOIN inside USING (lang, w1, w2)
+  WHERE most IS NULL OR 100 * most < {phrases.ABSORBED} * a
+  UNION ALL
+  SELECT lang, w1 || ' ' || w2 || ' ' || w3, a,
+    CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+  FROM cuts
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM candidates
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= {phrases.KEEP}
+"""
+
 ORACLE = {
     "op1_path_templates": OP1,
     "op3_line_chunks": OP3,
@@ -331,4 +383,5 @@ ORACLE = {
     "op6_setsketch": OP6,
     "op8_wrapper_induction": OP8,
     "op10_bm25_wand": OP10,
+    "op11_phrase_growth": OP11,
 }

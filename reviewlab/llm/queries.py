@@ -11,6 +11,7 @@ from reviewlab.llm import (
     credentials,
     decontaminate,
     neardup,
+    phrases,
     quality,
     repair,
     separators,
@@ -100,6 +101,10 @@ def op10_bm25_wand(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "item_id")
 
 
+def op11_phrase_growth(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
     return turns.summaries(turns.damaged(table(spark, sf, "conversations")))
 
@@ -115,5 +120,6 @@ QUERIES = {
     "op8_wrapper_induction": op8_wrapper_induction,
     "op9_distinct_words": op9_distinct_words,
     "op10_bm25_wand": op10_bm25_wand,
+    "op11_phrase_growth": op11_phrase_growth,
     "op12_turn_repair": op12_turn_repair,
 }
