@@ -38,7 +38,9 @@ KEEP = 2000  # phrases of each language
 ABSORBED = 50  # percent of a phrase's occurrences inside one longer candidate that drop it
 
 #: Bytes of text that a task counts together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Rows that a task sends at once.
+BATCH_ROWS = 1 << 16
 #: The flag table has 2 ** FLAG_BITS bytes whatever the corpus holds.
 FLAG_BITS = 24
 #: Rank among the pairs where the bar is set, by round; behind the last round it is zero.
@@ -182,9 +184,13 @@ def count_phrases(docs: DataFrame, length: int, flags: Broadcast) -> DataFrame:
                     for name, column in zip(names, columns)
                 }
                 langs = pa.array([lang] * len(counts), pa.string())
-                yield pa.RecordBatch.from_pydict(
+                batch = pa.RecordBatch.from_pydict(
                     {"lang": langs} | filled | {"n": pa.array(counts, pa.int64())}
                 )
+                for start in range(0, len(counts), BATCH_ROWS):
+                    yield batch.slice(start, BATCH_ROWS)
+                del words, keys, columns, filled, langs, batch
+            pa.default_memory_pool().release_unused()
 
     schema = ", ".join(["lang string", *[f"{name} string" for name in names], "n long"])
     parts = docs.mapInArrow(blocks, schema)
