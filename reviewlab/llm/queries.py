@@ -15,6 +15,7 @@ from reviewlab.llm import (
     quality,
     repair,
     separators,
+    toxicity,
     turns,
     urls,
     wrappers,
@@ -109,6 +110,19 @@ def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
     return turns.summaries(turns.damaged(table(spark, sf, "conversations")))
 
 
+def op13_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """A fifth of the documents, by the crc32 of their number, is held out from learning."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf, "labels").where(~held_out)
+    return toxicity.score_texts(docs, labels).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_path_templates": op1_path_templates,
     "op2_repair_tokens": op2_repair_tokens,
@@ -122,4 +136,5 @@ QUERIES = {
     "op10_bm25_wand": op10_bm25_wand,
     "op11_phrase_growth": op11_phrase_growth,
     "op12_turn_repair": op12_turn_repair,
+    "op13_channel_toxicity": op13_channel_toxicity,
 }
