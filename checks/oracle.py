@@ -289,6 +289,26 @@ ORACLE: dict[str, str] = {
         reviewer NULLS FIRST, movie NULLS FIRST LIMIT 250""",
     "decision_tree_scored_rows": f"""WITH {CLEANED}
       SELECT {SPLIT} AS split, count(*) AS rows FROM cleaned GROUP BY 1""",
+    "chi_square_words": f"""WITH {TOKENS},
+      train AS (SELECT review_id, rating_category FROM cleaned WHERE {SPLIT} = 'train'),
+      sizes AS (SELECT rating_category, count(*) AS size, sum(count(*)) OVER () AS total
+        FROM train GROUP BY 1),
+      held AS (SELECT word, rating_category, count(DISTINCT review_id) AS n
+        FROM kept JOIN train USING (review_id, rating_category) WHERE word <> '' GROUP BY ALL),
+      columns AS (SELECT word, sum(n) AS n FROM held GROUP BY word HAVING sum(n) >= 5),
+      cells AS (
+        SELECT word, columns.n AS rows, total, size, coalesce(held.n, 0) AS seen,
+               columns.n::double * size / total AS present,
+               (total - columns.n)::double * size / total AS absent
+        FROM columns CROSS JOIN sizes LEFT JOIN held USING (word, rating_category)),
+      tested AS (
+        SELECT word, rows, count(*) - 1 AS degrees,
+               round(coalesce(sum((seen - present) ** 2 / present + CASE WHEN absent > 0
+                 THEN (size - seen - absent) ** 2 / absent ELSE 0 END), 0), 9) AS chi_square
+        FROM cells GROUP BY word, rows)
+      SELECT word, rows::bigint AS rows, round(chi_square, 6) AS chi_square, degrees,
+             row_number() OVER (ORDER BY chi_square DESC, word) <= 1000 AS kept
+      FROM tested""",
     "naive_bayes_words": f"""WITH {BAYES}
       SELECT split, rating_category, prediction, count(*) AS rows FROM outcome GROUP BY ALL""",
     "naive_bayes_words_accuracy": f"""WITH {BAYES}

@@ -20,6 +20,7 @@ from reviewlab.operators import (
     reports,
     sampling,
     scores,
+    screening,
     topics,
     words,
 )
@@ -337,6 +338,39 @@ def model_query(name: str, num_features: int = features.NUM_FEATURES) -> Query:
     return query
 
 
+def screened_query(name: str) -> Query:
+    """All hashed columns, of which chi-square screening keeps some for the model."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
+        vectors, _ = features.tfidf_features(reviews)
+        predictions, _ = models.train_and_score(
+            materialize(vectors, "features"), name, max_columns=screening.MAX_COLUMNS
+        )
+        return models.evaluate(predictions, name)
+
+    query.__doc__ = f"Train {name} on screened hashed TF-IDF and evaluate both splits."
+    return query
+
+
+def chi_square_words(spark: SparkSession, sf: str) -> DataFrame:
+    """How far each word of the training reviews depends on the class, and the 1,000 kept."""
+    reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
+    training = sampling.hash_split(reviews).where("split = 'train'")
+    tokens = words.with_tokens(training, drop_empty_tokens=True)
+    entries = screening.word_entries(tokens, F.col("filtered"), "rating_category")
+    table = screening.chi_square(entries, screening.class_sizes(training, "rating_category"))
+    table = materialize(table, "chi-square")
+    kept = screening.best_columns(table, 1_000).select("column", F.lit(True).alias("kept"))
+    return table.join(kept, "column", "left").select(
+        F.col("column").alias("word"),
+        F.col("rows").cast("bigint").alias("rows"),
+        rounded("chi_square"),
+        F.col("degrees").cast("bigint").alias("degrees"),
+        F.coalesce("kept", F.lit(False)).alias("kept"),
+    )
+
+
 def naive_bayes_words(spark: SparkSession, sf: str) -> DataFrame:
     """Naive Bayes over counted words, where SQL can follow every step.
 
@@ -707,6 +741,7 @@ QUERIES: dict[str, Query] = {
         hash_split,
         row_cap,
         decision_tree_scored_rows,
+        chi_square_words,
         naive_bayes_words,
         naive_bayes_words_accuracy,
         linear_regression_on_length,
@@ -733,4 +768,5 @@ QUERIES: dict[str, Query] = {
     )
 }
 QUERIES |= {f"group_{name}": group_query(name) for name in models.MODELS if name != "NaiveBayes"}
+QUERIES |= {f"screened_{name}": screened_query(name) for name in models.MODELS}
 QUERIES |= {f"model_{name}": model_query(name) for name in models.MODELS}

@@ -47,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--label", default="rating_category")
     job.add_argument("--seed", type=int, default=SEED)
     job.add_argument("--max-fit-rows", type=int, help="bound of the rows a model is fitted on")
+    job.add_argument("--max-columns", type=int, help="columns that chi-square screening keeps")
 
     job = jobs.add_parser("catalogue", help="JSON-string records to entity tables")
     job.add_argument("--base", required=True)
@@ -81,7 +82,9 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
         lexicon = spark.read.parquet(args.lexicon) if args.lexicon else LEXICON
         explore(spark, args.base, lexicon, args.vocabulary_size)
     elif args.job == "model":
-        train_model(spark, args.base, args.name, args.label, args.seed, args.max_fit_rows)
+        train_model(
+            spark, args.base, args.name, args.label, args.seed, args.max_fit_rows, args.max_columns
+        )
         evaluate_model(spark, args.base, args.name, args.label).show(truncate=False)
     else:
         build_catalogue(spark, landing.parse_file_list(args.sources), args.base)

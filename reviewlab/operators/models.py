@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlab.operators.sampling import cap_rows, hash_split
+from reviewlab.operators.screening import screened_features
 
 SEED = 42
 CLASSIFIER, REGRESSOR = "classifier", "regressor"
@@ -81,9 +82,13 @@ def train_and_score(
     seed: int = SEED,
     max_fit_rows: int | None = None,
     tree_memory_mb: int = TREE_MEMORY_MB,
+    max_columns: int | None = None,
 ) -> tuple[DataFrame, Model]:
     """Predictions for both splits in one pass, and the model fitted on the training split.
 
+    ``max_columns`` has the columns screened first: the model sees those whose presence depends most
+    on the label in the training split (see ``operators.screening``).
+
     ``max_fit_rows`` bounds the training rows the model is fitted on (a sample by the hash of
     the id); without it all are used. Every row is scored in either case.
 
@@ -92,6 +97,8 @@ def train_and_score(
     are moved back to the scale of the label.
     """
     spec = model_spec(name)
+    if max_columns is not None:
+        features = screened_features(features, label, max_columns)
     offset = 1.0 if spec.kind == CLASSIFIER else 0.0
     rows = hash_split(features).withColumn("target", F.col(label).cast("double") - offset)
     training = rows.where("split = 'train'")

@@ -16,14 +16,18 @@ def train_model(
     label: str = "rating_category",
     seed: int = SEED,
     max_fit_rows: int | None = None,
+    max_columns: int | None = None,
 ) -> None:
     """Write the predictions and the model of ``name`` below ``base``, from ``base``/features.
 
-    ``max_fit_rows`` bounds the rows the model is fitted on, not those that are scored.
+    ``max_fit_rows`` bounds the rows the model is fitted on, not those that are scored;
+    ``max_columns`` has the columns screened first.
     """
     model_spec(name)
     features = tables.read_features(spark, f"{base}/features")
-    predictions, model = train_and_score(features, name, label, seed, max_fit_rows)
+    predictions, model = train_and_score(
+        features, name, label, seed, max_fit_rows, max_columns=max_columns
+    )
     write_predictions(predictions, base, name)
     model.write().overwrite().save(f"{base}/models/{name}")
 
