@@ -98,6 +98,25 @@ tfidf AS (
 SPLIT = """CASE WHEN cast('0x' || substr(md5(review_id), 1, 8) AS bigint) % 100 < 80
             THEN 'train' ELSE 'test' END"""
 
+# Log-odds of words in good and bad training reviews, with a Dirichlet prior of 500 words.
+LEARNED = f"""
+{TOKENS},
+rated AS (
+  SELECT word, count(*) FILTER (rating_category = 3) AS positive,
+         count(*) FILTER (rating_category = 1) AS negative
+  FROM kept WHERE word <> '' AND rating_category IN (1, 3) AND {SPLIT} = 'train' GROUP BY word),
+sums AS (SELECT sum(positive)::double AS good, sum(negative)::double AS bad FROM rated),
+priors AS (
+  SELECT *, positive + 500 * (positive + negative) / (good + bad) AS y,
+         negative + 500 * (positive + negative) / (good + bad) AS n
+  FROM rated, sums),
+odds AS (
+  SELECT *, ln(y / (good + 500 - y)) - ln(n / (bad + 500 - n)) AS delta FROM priors),
+lexicon AS (
+  SELECT word, positive, negative, delta / sqrt(1 / y + 1 / n) AS z,
+         round(delta / (1 + abs(delta)), 6) AS polarity
+  FROM odds WHERE abs(delta / sqrt(1 / y + 1 / n)) >= 1.96 AND positive + negative >= 5)"""
+
 # Multinomial Naive Bayes with smoothing 1 over the TF-IDF weights of the counted words.
 BAYES = f"""
 {TFIDF},
@@ -309,6 +328,15 @@ ORACLE: dict[str, str] = {
       SELECT word, rows::bigint AS rows, round(chi_square, 6) AS chi_square, degrees,
              row_number() OVER (ORDER BY chi_square DESC, word) <= 1000 AS kept
       FROM tested""",
+    "learned_lexicon": f"""WITH {LEARNED}
+      SELECT word, positive, negative, round(z, 4) AS z, round(polarity, 4) AS polarity
+      FROM lexicon""",
+    "learned_sentiment": f"""WITH {LEARNED}
+      SELECT cleaned.review_id,
+             round(coalesce(avg(polarity), 0)::float::double, 4) AS sentiment_score
+      FROM cleaned LEFT JOIN (SELECT review_id, polarity FROM tokens JOIN lexicon USING (word))
+        USING (review_id)
+      GROUP BY cleaned.review_id""",
     "naive_bayes_words": f"""WITH {BAYES}
       SELECT split, rating_category, prediction, count(*) AS rows FROM outcome GROUP BY ALL""",
     "naive_bayes_words_accuracy": f"""WITH {BAYES}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reviewlab import schemas
+from reviewlab.functions.lexicon import LEXICON, PHRASES
 from reviewlab.functions.text import parse_rating
 from reviewlab.operators import (
     catalogue,
@@ -21,6 +22,7 @@ from reviewlab.operators import (
     sampling,
     scores,
     screening,
+    sentiment,
     topics,
     words,
 )
@@ -353,6 +355,36 @@ def screened_query(name: str) -> Query:
     return query
 
 
+def rated_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Word counts of the training reviews, from which a lexicon is learned."""
+    training = sampling.hash_split(cleaned(spark, sf)).where("split = 'train'")
+    return materialize(sentiment.rated_word_counts(training), "rated-words")
+
+
+def learned_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    return sentiment.learned_lexicon(rated_counts(spark, sf)).select(
+        "word", "positive", "negative", rounded("z", 4), rounded("polarity", 4)
+    )
+
+
+def learned_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores by a lexicon learned from the training reviews."""
+    lexicon = materialize(sentiment.learned_lexicon(rated_counts(spark, sf)), "lexicon")
+    reviews = stored(spark, sf, "review_id", "cleaned_review")
+    scored = scores.with_sentiment(reviews, lexicon.select("word", "polarity"))
+    return scored.select("review_id", rounded("sentiment_score", 4))
+
+
+def phrase_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """Phrases with negation, taken from the learned lexicon and the default ones."""
+    lexicon = sentiment.learned_lexicon(rated_counts(spark, sf), min_z=3.0)
+    strongest = lexicon.orderBy(F.desc(F.abs("z")), "word").limit(sentiment.MAX_PHRASES // 2)
+    learned = {row["word"]: row["polarity"] for row in strongest.collect()}
+    phrases = {**LEXICON, **PHRASES, **learned}
+    scored = sentiment.with_phrase_sentiment(cleaned(spark, sf), phrases)
+    return scored.select("review_id", rounded("phrase_sentiment"), "phrases", "negated")
+
+
 def chi_square_words(spark: SparkSession, sf: str) -> DataFrame:
     """How far each word of the training reviews depends on the class, and the 1,000 kept."""
     reviews = stored(spark, sf, "review_id", "cleaned_review", "rating_category")
@@ -742,6 +774,9 @@ QUERIES: dict[str, Query] = {
         row_cap,
         decision_tree_scored_rows,
         chi_square_words,
+        learned_lexicon,
+        learned_sentiment,
+        phrase_sentiment,
         naive_bayes_words,
         naive_bayes_words_accuracy,
         linear_regression_on_length,
