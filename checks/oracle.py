@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from reviewlab.functions.lexicon import LEXICON
 from reviewlab.functions.stopwords import STOP_WORDS
+from reviewlab.functions.syllables import parsed, patterns
 
 QUOTED_STOP_WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 LEXICON_ROWS = ", ".join(f"('{w}', {p}::double)" for w, p in LEXICON.items())
@@ -98,6 +99,34 @@ tfidf AS (
 SPLIT = """CASE WHEN cast('0x' || substr(md5(review_id), 1, 8) AS bigint) % 100 < 80
             THEN 'train' ELSE 'test' END"""
 
+# Syllables of words: every pattern bids at every place where it occurs, and the highest bid counts.
+PATTERN_ROWS = ", ".join(
+    f"('{letters}', {list(bids)})" for letters, bids in map(parsed, patterns())
+)
+SYLLABLES = f"""
+{FLAT},
+said AS (
+  SELECT review_id, review_detail AS body,
+         regexp_extract_all(lower(review_detail), '[a-z0-9]+') AS words
+  FROM flat),
+spoken AS (
+  SELECT word, count(*) AS df FROM (
+    SELECT DISTINCT review_id, unnest(words) AS word FROM said) GROUP BY word),
+patterns(letters, bids) AS (VALUES {PATTERN_ROWS}),
+places AS (
+  SELECT word, '.' || word || '.' AS line, unnest(range(1, length(word) + 3)) AS spot FROM spoken),
+pieces AS (
+  SELECT word, spot, substr(line, spot, n) AS letters
+  FROM places, (SELECT DISTINCT length(letters) AS n FROM patterns)
+  WHERE spot + n - 1 <= length(line)),
+offers AS (
+  SELECT word, spot + unnest(range(0, length(letters) + 1)) AS place, unnest(bids) AS bid
+  FROM pieces JOIN patterns USING (letters)),
+best AS (SELECT word, place, max(bid) AS bid FROM offers GROUP BY ALL),
+odd AS (SELECT word, count(*) FILTER (bid % 2 = 1) AS n FROM best GROUP BY word),
+syllables AS (
+  SELECT word, df, greatest(coalesce(n, 0), 1) AS syllables FROM spoken LEFT JOIN odd USING (word))"""
+
 # Log-odds of words in good and bad training reviews, with a Dirichlet prior of 500 words.
 LEARNED = f"""
 {TOKENS},
@@ -328,6 +357,17 @@ ORACLE: dict[str, str] = {
       SELECT word, rows::bigint AS rows, round(chi_square, 6) AS chi_square, degrees,
              row_number() OVER (ORDER BY chi_square DESC, word) <= 1000 AS kept
       FROM tested""",
+    "word_syllables": f"WITH {SYLLABLES} SELECT word, df, syllables FROM syllables",
+    "reading_ease": f"""WITH {SYLLABLES},
+      counted AS (
+        SELECT review_id, count(*) AS nw, sum(syllables) AS ns
+        FROM (SELECT review_id, unnest(words) AS word FROM said) JOIN syllables USING (word)
+        GROUP BY review_id)
+      SELECT review_id,
+        round((206.835::double
+          - 1.015::double * nw / greatest(len(regexp_extract_all(body, '[.!?]+')), 1)
+          - 84.6::double * ns / nw)::float::double, 3) AS reading_ease
+      FROM said LEFT JOIN counted USING (review_id)""",
     "learned_lexicon": f"""WITH {LEARNED}
       SELECT word, positive, negative, round(z, 4) AS z, round(polarity, 4) AS polarity
       FROM lexicon""",

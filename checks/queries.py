@@ -18,6 +18,7 @@ from reviewlab.operators import (
     clusters,
     features,
     models,
+    readability,
     reports,
     sampling,
     scores,
@@ -355,6 +356,24 @@ def screened_query(name: str) -> Query:
     return query
 
 
+def detail_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """All reviews with their texts as written."""
+    flat = clean.flatten_reviews(raw(spark, sf)).select("review_id", "review_detail")
+    return materialize(flat, "review-texts")
+
+
+def word_syllables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every distinct word with its reviews and syllables."""
+    spoken = readability.spoken_words(F.col("review_detail"))
+    texts = detail_texts(spark, sf).select(spoken.alias("cleaned_review"))
+    return readability.word_table(texts).select("word", "df", F.col("syllables").cast("bigint"))
+
+
+def reading_ease(spark: SparkSession, sf: str) -> DataFrame:
+    scored = readability.with_reading_ease(detail_texts(spark, sf))
+    return scored.select("review_id", rounded("reading_ease", 3))
+
+
 def rated_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Word counts of the training reviews, from which a lexicon is learned."""
     training = sampling.hash_split(cleaned(spark, sf)).where("split = 'train'")
@@ -774,6 +793,8 @@ QUERIES: dict[str, Query] = {
         row_cap,
         decision_tree_scored_rows,
         chi_square_words,
+        word_syllables,
+        reading_ease,
         learned_lexicon,
         learned_sentiment,
         phrase_sentiment,
