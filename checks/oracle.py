@@ -415,6 +415,9 @@ ORACLE: dict[str, str] = {
     "csv_broken_names": """SELECT text AS reviewer, length(text)::double AS avg_rating
       FROM documents""",
     "land_nested": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "land_split_array": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "land_new": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
+    "land_new_blobs": f"WITH {FLAT} SELECT review_id, reviewer, rating FROM flat",
     "land_json_array": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
     "land_select": f"""WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat
       WHERE cast(review_id AS bigint) % 3 <> 1""",

@@ -702,6 +702,45 @@ def land_json_array(spark: SparkSession, sf: str) -> DataFrame:
     return landed_reviews(landed)
 
 
+def land_split_array(spark: SparkSession, sf: str) -> DataFrame:
+    """All reviews in one JSON array in one file, read by as many tasks as its size asks for."""
+    folder = scratch_path(spark, "one-array")
+    rows = raw(spark, sf).select("review_json.*")
+    first = F.col("review_id") == rows.agg(F.min("review_id")).first()[0]
+    line = F.to_json(F.struct(*rows.columns))
+    marked = rows.select(
+        F.when(first, 1).otherwise(2).alias("place"),
+        F.concat(F.when(first, "").otherwise(","), line).alias("value"),
+    )
+    brackets = spark.createDataFrame([(0, "["), (3, "]")], marked.schema)
+    ordered = marked.unionByName(brackets).repartition(1).sortWithinPartitions("place")
+    ordered.select("value").write.text(folder)
+    landed = landing.land_raw(spark, folder, scratch_path(spark, "landed"), layout=landing.SPLIT)
+    return landed_reviews(landed)
+
+
+def land_new(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that come in between three landings; the last finds nothing new."""
+    folder, base = scratch_path(spark, "arriving"), scratch_path(spark, "landed")
+    rows = raw(spark, sf).select("review_json.*")
+    for tag in (0, 1):
+        rows.where(F.col("spoiler_tag") == tag).write.json(f"{folder}/part{tag}")
+        landing.land_new(spark, folder, base)
+    return landed_reviews(landing.land_new(spark, folder, base))
+
+
+def land_new_blobs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for JSON strings, a few files in each step."""
+    folder, base = scratch_path(spark, "arriving"), scratch_path(spark, "landed")
+    rows = raw(spark, sf).select("review_json.*")
+    for tag in (0, 1):
+        part = rows.where(F.col("spoiler_tag") == tag).select("review_id", "reviewer", "rating")
+        part.write.json(f"{folder}/part{tag}")
+        blobs = landing.land_new_blobs(spark, folder, base, files_at_once=3)
+    parsed = F.from_json("json_blob", "review_id string, reviewer string, rating string")
+    return blobs.select(parsed.alias("blob")).select("blob.*")
+
+
 def land_select(spark: SparkSession, sf: str) -> DataFrame:
     """Two of three folders' files, by name."""
     folder = scratch_path(spark, "json")
@@ -814,6 +853,9 @@ QUERIES: dict[str, Query] = {
         csv_broken_names,
         land_nested,
         land_json_array,
+        land_split_array,
+        land_new,
+        land_new_blobs,
         land_select,
         land_reuse,
         stage_chain,

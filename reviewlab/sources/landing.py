@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from reviewlab import schemas
 from reviewlab.sinks.writers import write_parquet
+from reviewlab.sources.arrays import read_json_arrays
 from reviewlab.sources.tables import read_raw
 
 FULL, SELECT = "full", "select"
-ARRAY, LINES = "array", "lines"
+ARRAY, LINES, SPLIT = "array", "lines", "split"
 
 
 def parse_file_list(text: str) -> list[str]:
@@ -59,9 +61,13 @@ def read_json_reviews(
 
     ``array``: each file is one JSON array. Spark cannot split such a file, so one task reads
     it whole; keep these files small (up to some hundred MB) and numerous. ``lines``: one
-    object, or one array, per line; such files are split and may have any size. Broken JSON
-    fails the read in both layouts. Files in folders below the paths are read too.
+    object, or one array, per line; such files are split and may have any size. ``split``: like
+    ``array``, but every file is read by as many tasks as its size asks for (``sources.arrays``).
+    Broken JSON fails the read in all layouts. Files in folders below the paths are read too.
     """
+    if layout == SPLIT:
+        rows = read_json_arrays(spark, paths, schemas.REVIEW)
+        return rows.select(F.struct("*").alias("review_json"))
     reader = spark.read.schema(schemas.REVIEW).option("mode", "FAILFAST")
     reader = reader.option("recursiveFileLookup", True)
     if layout == ARRAY:
@@ -107,3 +113,56 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     marker = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return marker.getFileSystem(context._jsc.hadoopConfiguration()).exists(marker)
+
+
+#: Files are taken in by their names, however old they are.
+ANY_AGE = "36500d"
+
+
+def land_new(
+    spark: SparkSession,
+    folder: str,
+    base: str,
+    layout: str = LINES,
+    files_at_once: int | None = None,
+) -> DataFrame:
+    """Land the files that have come into ``folder`` since the last call, and return all of them.
+
+    A stream reads each file once: its checkpoint below ``base`` knows the files that are done, and the
+    landed table lists the parts that count, so a job that dies halfway leaves neither a gap nor a
+    row twice. A file that is written again under the same name is not read again. Broken JSON
+    fails the call; once the file is mended, or taken away, the next call goes on. ``files_at_once``
+    bounds what one step of the stream reads. Folders inside the folder count.
+    """
+    reader = spark.readStream.schema(schemas.REVIEW).option("mode", "FAILFAST")
+    if layout == ARRAY:
+        reader = reader.option("multiLine", True)
+    elif layout != LINES:
+        raise ValueError(f"layout {layout!r} cannot be streamed")
+    rows = _arriving(reader, files_at_once).json(folder)
+    return _land_stream(rows.select(F.struct("*").alias("review_json")), f"{base}/raw_new")
+
+
+def land_new_blobs(
+    spark: SparkSession, folder: str, base: str, files_at_once: int | None = None
+) -> DataFrame:
+    """The same for files with one JSON object per line, landed as ``json_blob``."""
+    lines = _arriving(spark.readStream, files_at_once).text(folder)
+    blobs = lines.select(F.col("value").alias("json_blob")).where("trim(json_blob) <> ''")
+    return _land_stream(blobs, f"{base}/blobs_new")
+
+
+def _arriving(reader: DataStreamReader, files_at_once: int | None) -> DataStreamReader:
+    reader = reader.option("recursiveFileLookup", True).option("maxFileAge", ANY_AGE)
+    return reader if files_at_once is None else reader.option("maxFilesPerTrigger", files_at_once)
+
+
+def _land_stream(rows: DataFrame, target: str) -> DataFrame:
+    """Run the stream until it has nothing left to read."""
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{target}_state")
+    query = writer.option("path", target).trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return rows.sparkSession.read.schema(rows.schema).parquet(target)

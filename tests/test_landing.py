@@ -114,3 +114,52 @@ def test_lines_layout_takes_objects_and_arrays(spark, tmp_path):
     (path / "a.json").write_text("\n".join(lines))
     landed = land(spark, str(path), tmp_path, layout="lines")
     assert review_ids(landed) == ["r1", "r2", "r3"]
+
+
+def lines(*numbers):
+    return "".join(json.dumps(record(i)) + "\n" for i in numbers)
+
+
+def test_each_new_file_once(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "out")
+    (source / "deep").mkdir(parents=True)
+    (source / "a.json").write_text(lines(1, 1, 2))
+    assert review_ids(landing.land_new(spark, str(source), base)) == ["r1", "r1", "r2"]
+    (source / "deep" / "b.json").write_text(lines(3))
+    # Older than all others, and with the name of another file in its folder.
+    (source / "deep" / "a.json").write_text(lines(4))
+    import os
+
+    os.utime(source / "deep" / "a.json", (1, 1))
+    for _ in range(2):
+        landed = landing.land_new(spark, str(source), base, files_at_once=1)
+        assert review_ids(landed) == ["r1", "r1", "r2", "r3", "r4"]
+    (source / "a.json").write_text(lines(7))
+    assert len(review_ids(landing.land_new(spark, str(source), base))) == 5
+
+
+def test_a_failed_landing_goes_on(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.json").write_text(lines(1, 2))
+    landing.land_new(spark, str(source), base)
+    (source / "b.json").write_text(lines(3))
+    (source / "c.json").write_text("{broken\n")
+    with pytest.raises(Exception):  # noqa: B017
+        landing.land_new(spark, str(source), base)
+    (source / "c.json").write_text(lines(4, 5))
+    assert review_ids(landing.land_new(spark, str(source), base)) == [f"r{i}" for i in range(1, 6)]
+
+
+def test_new_array_files_and_blobs(spark, folder, tmp_path):
+    landed = landing.land_new(spark, folder, str(tmp_path / "out"), layout="array")
+    assert review_ids(landed) == ["r1", "r1", "r2", "r3", "r4"]
+    with pytest.raises(ValueError):
+        landing.land_new(spark, folder, str(tmp_path / "out2"), layout="split")
+    texts = tmp_path / "blobs"
+    texts.mkdir()
+    (texts / "a").write_text('{"a": 1}\n\n  \n{"a": 2}\n')
+    for more in ("b", "c"):
+        blobs = landing.land_new_blobs(spark, str(texts), str(tmp_path / "out3"))
+        (texts / more).write_text('{"a": 3}\n')
+    assert sorted(r["json_blob"] for r in blobs.collect()) == ['{"a": 1}', '{"a": 2}', '{"a": 3}']
