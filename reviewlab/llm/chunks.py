@@ -185,6 +185,11 @@ def without_repeated(docs: DataFrame) -> DataFrame:
     return drop_repeated(docs, carry=others).select(*columns)
 
 
+def with_words(docs: DataFrame) -> DataFrame:
+    """The documents that still have a word; the others were copies, line by line, of earlier ones."""
+    return docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+
+
 def passages(text: Column) -> Column:
     """array<struct<first, last, sum>>: the shortest passages that begin, and that end, at a line.
 
@@ -220,8 +225,11 @@ def passages(text: Column) -> Column:
         )
         whole = lambda p: p["k"].isNotNull()
         begun = F.transform(F.filter(ahead, whole), lambda p: F.slice(real, p["i"], p["k"]))
+        # Most passages that end at a line are those that begin at their first line, too.
+        other = lambda p: ~F.get(ahead, p["i"] - p["k"] - 1)["k"].eqNullSafe(p["k"])
         ended = F.transform(
-            F.filter(behind, whole), lambda p: F.slice(real, p["i"] - p["k"], p["k"])
+            F.filter(behind, lambda p: whole(p) & other(p)),
+            lambda p: F.slice(real, p["i"] - p["k"], p["k"]),
         )
         return F.transform(
             F.concat(begun, ended),
@@ -257,8 +265,9 @@ def without_passages(docs: DataFrame) -> DataFrame:
     place = F.struct("doc", "copy", "first", "last")
     repeated = (
         found.groupBy("sum")
-        .agg(F.min(place).alias("one"), F.max(place).alias("other"))
-        .where("one <> other")
+        # Equal rows of one document are one place; they remove nothing below.
+        .agg(F.min(place).alias("one"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
         .select("sum", "one")
     )
     repeated = materialize(repeated, "repeated-passages")

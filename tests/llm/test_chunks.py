@@ -105,3 +105,19 @@ def test_passages_of_odd_rows(odd_docs, no_docs):
     assert texts[3] is None and texts[4] == "" and len(texts[7]) == 50_000
     assert chunks.without_repeated(done).count() == odd_docs.count()
     assert chunks.without_passages(no_docs).count() == 0
+
+
+def test_documents_without_words_go(odd_docs):
+    rows = {(r["doc_id"], r["text"]) for r in chunks.with_words(odd_docs).collect()}
+    kept = {(r["doc_id"], r["text"]) for r in odd_docs.collect() if (r["text"] or "").split()}
+    assert rows == kept and chunks.with_words(odd_docs).columns == odd_docs.columns
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a b c", "w " * 30, "x " * 26, "y " * 51, "", "z"]), max_size=9), min_size=1, max_size=5))
+def test_passages_of_any_texts(spark, texts):
+    """Passages that begin and end at the same lines are looked at once; nothing is missed."""
+    docs = ["\n".join(lines) for lines in texts]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    done = [r["text"] for r in chunks.without_passages(frame).orderBy("doc_id").collect()]
+    assert done == without_runs(docs)
