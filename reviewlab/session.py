@@ -58,16 +58,32 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     Results must be written out before, as they still read those tables. PySpark has no call for
     files, so Hadoop's file system is asked through the gateway.
     """
+    with scratch_list() as given:
+        try:
+            yield
+        finally:
+            delete_paths(spark, given)
+
+
+@contextmanager
+def scratch_list() -> Iterator[list[str]]:
+    """The paths given out inside the block; deleting them is left to the caller."""
     given: list[str] = []
     token = _given.set(given)
     try:
-        yield
+        yield given
     finally:
         _given.reset(token)
-        context = spark.sparkContext
-        for name in given:
-            path = context._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        if (outer := _given.get()) is not None:
+            outer.extend(given)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders; those that are gone already are passed over."""
+    context = spark.sparkContext
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
