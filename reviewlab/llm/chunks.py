@@ -223,6 +223,10 @@ def passages(text: Column) -> Column:
         behind = F.transform(
             real, lambda _, i: F.struct((i + 2).alias("i"), taken(F.reverse(upto(i))).alias("k"))
         )
+        # Bound by a lambda, so that it is worked out once for a text and not once for a line.
+        return F.element_at(F.transform(F.array(ahead), lambda a: both(real, a, behind)), 1)
+
+    def both(real: Column, ahead: Column, behind: Column) -> Column:
         whole = lambda p: p["k"].isNotNull()
         begun = F.transform(F.filter(ahead, whole), lambda p: F.slice(real, p["i"], p["k"]))
         # Most passages that end at a line are those that begin at their first line, too.
