@@ -28,7 +28,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--base", required=True, help="folder for the stage tables")
     job.add_argument("--mode", choices=[landing.FULL, landing.SELECT], default=landing.FULL)
     job.add_argument("--files", default="", help="comma-separated names for mode select")
-    job.add_argument("--layout", choices=[landing.ARRAY, landing.LINES], default=landing.ARRAY)
+    layouts = [landing.ARRAY, landing.LINES, landing.SPLIT]
+    job.add_argument("--layout", choices=layouts, default=landing.ARRAY)
     job.add_argument("--if-exists", choices=["reuse", "overwrite"], default="reuse")
 
     job.add_argument("--min-chars", type=int, default=MIN_CHARS)
