@@ -95,15 +95,17 @@ def drop_repeated(
 
     Only hashes are shuffled to find repeated keys. Whether a document holds the first occurrence
     is asked by (document, key), which no group of copies makes hot. Bytes are compared by
-    grouping the bodies of the keys found twice; equal ones meet before the shuffle. Without other
-    columns to carry both joins with the texts read one exchange.
+    grouping the bodies of the keys found twice; equal ones meet before the shuffle. Both joins
+    with the texts read one exchange: a text and its row travel as one value, of which the
+    optimizer cannot leave out a part for one of them.
     """
     keys = {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "text": F.col(text)}
-    if carry == []:
-        base = docs.select(*[value.alias(name) for name, value in keys.items()])
-    else:
-        base = packed(docs, carry, **keys)
-    counted = with_chunks(base.select("doc", "text")).select(
+    texts = docs.select(*[value.alias(name) for name, value in keys.items()])
+    base = texts if carry == [] else packed(docs, carry, **keys)
+    parts = [c for c in base.columns if c != "doc"]
+    base = base.select("doc", F.array(F.struct(*parts)).alias("held"))
+    opened = [F.element_at("held", 1)[c].alias(c) for c in parts]
+    counted = with_chunks(texts).select(
         "doc", F.explode("chunks.key").alias("key")
     )
     counted = materialize(
@@ -120,10 +122,11 @@ def drop_repeated(
         .agg(F.collect_list("key").alias("suspects"))
     )
     joined = base.join(suspects, "doc", "left")
-    bodies = with_chunks(joined.where("suspects is not null")).select(
+    suspected = joined.where("suspects is not null")
+    bodies = with_chunks(suspected.select("doc", "suspects", *opened)).select(
         "doc",
         F.explode(
-            F.filter("chunks", lambda c: F.array_contains("suspects", c["key"]))
+            F.filter("chunks", lambda c: F.coalesce(F.array_contains("suspects", c["key"]), F.lit(False)))
         ).alias("chunk"),
     )
     kept = (
@@ -132,7 +135,8 @@ def drop_repeated(
         .groupBy("doc")
         .agg(F.collect_list(F.md5("body")).alias("kept"))
     )
-    whole = with_chunks(joined.join(kept, "doc", "left"))
+    whole = joined.join(kept, "doc", "left").select("doc", "suspects", "kept", *opened)
+    whole = with_chunks(whole)
     whole = once(
         whole,
         "marked",
@@ -140,10 +144,7 @@ def drop_repeated(
             "chunks",
             lambda c: F.struct(
                 *[c[f] for f in ("first", "last", "body")],
-                F.when(
-                    F.coalesce(F.array_contains("suspects", c["key"]), F.lit(False)),
-                    F.md5(c["body"]),
-                ).alias("sum"),
+                F.when(F.coalesce(F.array_contains("suspects", c["key"]), F.lit(False)), F.md5(c["body"])).alias("sum"),
             ),
         ),
     ).drop("chunks")
