@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import SPACE, once, packed, words_of
+from reviewlab.llm.common import SPACE, is_among, lower_bound, once, packed, words_of
 from reviewlab.session import materialize
 
 #: A chunk ends where the rolling hash is divisible by this and was not one line before, so only
@@ -119,21 +119,21 @@ def drop_repeated(
         counted.join(first, ["doc", "key"], "left")
         .where(F.coalesce("repeated", F.lit(True)))
         .groupBy("doc")
-        .agg(F.collect_list("key").alias("suspects"))
+        .agg(F.sort_array(F.collect_list("key")).alias("suspects"))
     )
     joined = base.join(suspects, "doc", "left")
     suspected = joined.where("suspects is not null")
     bodies = with_chunks(suspected.select("doc", "suspects", *opened)).select(
         "doc",
         F.explode(
-            F.filter("chunks", lambda c: F.coalesce(F.array_contains("suspects", c["key"]), F.lit(False)))
+            F.filter("chunks", lambda c: is_among(F.col("suspects"), c["key"]))
         ).alias("chunk"),
     )
     kept = (
         bodies.groupBy(F.col("chunk.key").alias("key"), F.col("chunk.body").alias("body"))
         .agg(F.min("doc").alias("doc"))
         .groupBy("doc")
-        .agg(F.collect_list(F.md5("body")).alias("kept"))
+        .agg(F.sort_array(F.collect_list(F.md5("body"))).alias("kept"))
     )
     whole = joined.join(kept, "doc", "left").select("doc", "suspects", "kept", *opened)
     whole = with_chunks(whole)
@@ -144,19 +144,20 @@ def drop_repeated(
             "chunks",
             lambda c: F.struct(
                 *[c[f] for f in ("first", "last", "body")],
-                F.when(F.coalesce(F.array_contains("suspects", c["key"]), F.lit(False)), F.md5(c["body"])).alias("sum"),
+                F.when(is_among(F.col("suspects"), c["key"]), F.md5(c["body"])).alias("sum"),
             ),
         ),
     ).drop("chunks")
-    none = F.array().cast("array<string>")
+    sums = F.transform("marked", lambda c, i: F.struct(c["sum"].alias("sum"), i.alias("at")))
+    whole = once(whole, "sums", F.array_sort(F.filter(sums, lambda s: s["sum"].isNotNull())))
+    first_of = lambda sum_: F.get(
+        "sums", lower_bound(F.col("sums"), F.struct(sum_.alias("sum"), F.lit(0).alias("at")))
+    )
     # A suspect stays if this document keeps it and it is the first of its kind in the text.
     stays = F.transform(
         "marked",
         lambda c, i: c["sum"].isNull()
-        | (
-            F.array_contains(F.coalesce("kept", none), c["sum"])
-            & (F.array_position("marked.sum", c["sum"]) == i + 1)
-        ),
+        | (is_among(F.col("kept"), c["sum"]) & (first_of(c["sum"])["at"] == i)),
     )
     whole = once(whole, "stays", stays)
     left = F.filter("marked", lambda c, i: F.get("stays", i))

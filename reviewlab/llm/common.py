@@ -51,6 +51,31 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, A_TO_Z, A_TO_Z.lower())
 
 
+def lower_bound(values: Column, x: Column) -> Column:
+    """How many elements of a sorted array without nulls are below x, by binary search.
+
+    ``values`` should be a column, not an expression: it is read in every step.
+    """
+    steps = F.sequence(F.lit(0), F.log2(F.size(values) + 1).cast("int"))
+    middle = lambda a: F.shiftright(a["low"] + a["high"], 1)
+    state = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+    halve = lambda a, _: F.when(
+        F.get(values, middle(a)) < x, state(middle(a) + 1, a["high"])
+    ).otherwise(state(a["low"], middle(a)))
+    return F.aggregate(steps, state(F.lit(0), F.size(values)), halve, lambda a: a["low"])
+
+
+def is_among(values: Column, x: Column) -> Column:
+    """Whether a sorted array column without nulls holds x; false if either is null.
+
+    Time grows with the logarithm of the array, where ``array_contains`` reads all of it.
+    """
+    found = F.when(F.size(values) <= 8, F.array_contains(values, x)).otherwise(
+        F.get(values, lower_bound(values, x)) == x
+    )
+    return F.coalesce(found, F.lit(False))
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker.
 

@@ -1,9 +1,13 @@
+import bisect
 import hashlib
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewlab.llm import chunks
+from reviewlab.llm.common import is_among, lower_bound
 
 
 def cut(text):
@@ -121,3 +125,20 @@ def test_passages_of_any_texts(spark, texts):
     frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     done = [r["text"] for r in chunks.without_passages(frame).orderBy("doc_id").collect()]
     assert done == without_runs(docs)
+
+
+def test_many_chunks_found_twice(spark):
+    """Look-ups grow with the logarithm of a text's chunks; the rows are those of brute force."""
+    text = "\n".join(f"line {i % 977} of {i // 3} x" for i in range(40_000))
+    docs = spark.createDataFrame([(0, text), (1, text)], "doc_id long, text string")
+    started = time.monotonic()
+    done = [r["text"] for r in chunks.without_repeated(docs).orderBy("doc_id").collect()]
+    assert done == expected([text, text]) and time.monotonic() - started < 30
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=40), st.integers(-1, 61))
+def test_binary_search(spark, values, x):
+    row = spark.createDataFrame([(sorted(values), x)], "v array<int>, x int")
+    found = row.select(lower_bound(F.col("v"), F.col("x")), is_among(F.col("v"), F.col("x"))).first()
+    assert tuple(found) == (bisect.bisect_left(sorted(values), x), x in values)
