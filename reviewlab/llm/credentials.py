@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import whole_text
+from reviewlab.llm.common import lower_bound, once, whole_text
 from reviewlab.session import materialize
 
 # The base patterns, in the order in which kinds are listed.
@@ -34,6 +34,8 @@ MAX_OWNERS = 1
 #: than this percentage of all of them.
 FEW = 3
 WIDE_PERCENT = 1
+#: Spans whose places are summed up together.
+TOGETHER = 256
 
 
 def spans(text: Column, kind: str, pattern: str) -> Column:
@@ -45,11 +47,11 @@ def spans(text: Column, kind: str, pattern: str) -> Column:
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    empty = "array<struct<start:int,end:int,kind:string,match:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("found"))
+    empty = F.array().cast("array<struct<start:int,end:int,kind:string,match:string>>")
+    start = lambda at: F.struct(at.alias("at"), empty.alias("found"))
 
     def add(acc: Column, pair: Column) -> Column:
-        begin = acc["at"] + F.length(pair["piece"])
+        begin = acc["at"] + pair["before"]
         end = begin + F.length(pair["match"])
         span = F.struct(
             begin.alias("start"),
@@ -62,10 +64,35 @@ def spans(text: Column, kind: str, pattern: str) -> Column:
     pairs = F.zip_with(
         F.slice(pieces, 1, F.size(matches)),
         matches,
-        lambda p, m: F.struct(p.alias("piece"), m.alias("match")),
+        lambda p, m: F.struct(F.length(p).alias("before"), m.alias("match")),
     )
-    found = F.aggregate(pairs, start, add, lambda acc: acc["found"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(empty))
+    # Appending copies a list, so places are summed up in groups and then over the groups.
+    grouped = lambda p: F.transform(
+        F.sequence(F.lit(1), F.size(p), F.lit(TOGETHER)), lambda i: F.slice(p, i, TOGETHER)
+    )
+    long = lambda g: F.aggregate(
+        g, F.lit(0), lambda a, x: a + x["before"] + F.length(x["match"])
+    )
+    begins = lambda g: F.aggregate(
+        g,
+        F.array(F.lit(0)),
+        lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + long(x))),
+    )
+    found = lambda g: F.flatten(
+        F.zip_with(
+            g,
+            F.slice(begins(g), 1, F.size(g)),
+            lambda x, at: F.aggregate(x, start(at), add, lambda acc: acc["found"]),
+        )
+    )
+    return F.when(
+        F.regexp_like(text, F.lit(pattern)), bound(bound(pairs, grouped), found)
+    ).otherwise(empty)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def value(span: Column) -> Column:
@@ -95,9 +122,45 @@ def matching(kind: str) -> Callable[[Column], Column]:
     return lambda found: found == kind
 
 
+def uncovered(base: str, more: str) -> Column:
+    """The spans of ``more`` whose place no base span covers; those need a second opinion.
+
+    Spans of one kind are in order and do not overlap, so of each kind only the last one that
+    begins before a span's end can reach into it.
+    """
+    kinds = [(k, F.filter(base, matching_kind(k))) for k in KINDS]
+    parts = F.struct(
+        *[spans_.alias(k) for k, spans_ in kinds],
+        *[spans_["start"].alias(f"{k}_starts") for k, spans_ in kinds],
+    )
+
+    def is_free(parts: Column, span: Column) -> Column:
+        free = F.lit(True)
+        for kind in KINDS:
+            last = F.get(parts[kind], lower_bound(parts[f"{kind}_starts"], span["end"]) - 1)
+            free = free & ~F.coalesce(last["end"] > span["start"], F.lit(False))
+        return free
+
+    left = bound(parts, lambda p: F.filter(more, lambda m: is_free(p, m)))
+    return F.when((F.size(base) > 0) & (F.size(more) > 0), left).otherwise(F.col(more))
+
+
+def matching_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text") -> DataFrame:
     """Per row doc_id, owner, repo, base and more (spans that need confirmation)."""
-    body = whole_text(text)
+    row = docs.select(
+        F.col("doc_id"),
+        F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
+        F.coalesce(repo.cast("string"), F.lit("")).alias("repo"),
+        F.monotonically_increasing_id().alias("rid"),
+        F.xxhash64(whole_text(text)).alias("copy"),
+        F.length(whole_text(text)).alias("n_chars"),
+        whole_text(text).alias("body"),
+    )
+    body = F.col("body")
     base = F.concat(
         F.filter(
             spans(body, "assign", ASSIGN),
@@ -111,22 +174,8 @@ def scan(docs: DataFrame, owner: Column, repo: Column, text: str = "text") -> Da
         lambda s: F.regexp_like(s["match"], F.lit("[0-9]"))
         & F.regexp_like(s["match"], F.lit("[A-Za-z]")),
     )
-    row = docs.select(
-        F.col("doc_id"),
-        F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(repo.cast("string"), F.lit("")).alias("repo"),
-        F.monotonically_increasing_id().alias("rid"),
-        F.xxhash64(body).alias("copy"),
-        F.length(body).alias("n_chars"),
-        base.alias("base"),
-        more.alias("more"),
-    )
-    # A place that a base span covers needs no second opinion.
-    uncovered = F.filter(
-        "more",
-        lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])),
-    )
-    return row.withColumn("more", uncovered)
+    row = once(once(row, "base", base), "found", more)
+    return row.select("*", uncovered("base", "found").alias("more")).drop("body", "found")
 
 
 def independent(candidates: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -72,3 +73,21 @@ def test_copied_documents_make_no_example(spark):
     assert all(found[i]["n_live"] == 1 and found[i]["spans"] for i in range(21))
     assert all(found[30 + i]["n_example"] == 1 and not found[30 + i]["spans"] for i in range(20))
     assert all(found[60 + i]["n_example"] == 1 and not found[60 + i]["spans"] for i in range(20))
+
+
+def test_very_many_spans_in_one_text(spark):
+    """Places are right beyond one group of spans, opaque ones inside base spans go, time is linear."""
+    n = 40_000
+    parts = [f"x{i} {i:016x} token=abcdefghijk{i:05d}xyzABCDEFGHIJ; Zq{i:030d}Ab" for i in range(n)]
+    text = " é ".join(parts)
+    docs = spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string")
+    started = time.monotonic()
+    row = credentials.scan(docs, F.col("source"), F.col("lang")).first()
+    assert time.monotonic() - started < 60
+    for kind, pattern in zip(credentials.KINDS, ["token=([a-zA-Z0-9]+)", "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}"]):
+        expected = [(m.start(), m.end()) for m in re.finditer(pattern, text)]
+        assert [(s["start"], s["end"]) for s in row["base"] if s["kind"] == kind] == expected
+    base = [(s["start"], s["end"]) for s in row["base"]]
+    opaque = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_-]{24,}", text)]
+    taken = {i for a, b in base for i in range(a, b)}
+    assert [(s["start"], s["end"]) for s in row["more"]] == [o for o in opaque if not taken & set(range(*o))]
