@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
+#: A tag that another one begins in before its end is text, so no search runs over the next tag.
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:\s|/)(?:"[^"]*"|'[^']*'|[^>"'])*|)>""",
+    r"""|<(/?)([a-zA-Z][^\s/<>]*+)((?:[\s/](?:"[^"]*"|'[^']*'|[^<>"'])*+)?)>""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -62,10 +64,18 @@ def marks_of(attributes: str) -> str:
     return " ".join(" ".join(found).lower().split())
 
 
-def close(stack: list[Element], names: set[str], limits: set[str]) -> None:
-    """Close the innermost open element of the names, if no limit is inside of it."""
+def close(
+    stack: list[Element], open_names: Counter[str], names: set[str], limits: set[str]
+) -> None:
+    """Close the innermost open element of the names, if no limit is inside of it.
+
+    ``open_names`` counts the elements on the stack, so that none is looked for in vain.
+    """
+    if not any(open_names[name] for name in names):
+        return
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth].name in names:
+            open_names.subtract(element.name for element in stack[depth:])
             del stack[depth:]
             return
         if stack[depth].name in limits:
@@ -76,6 +86,7 @@ def parse(html: str) -> Element:
     """The tree of a page. Text is kept as it stands; scripts and the like are empty."""
     root = Element("#page")
     stack = [root]
+    open_names: Counter[str] = Counter()
     at = 0
     while True:
         found = TAG.search(html, at)
@@ -92,12 +103,12 @@ def parse(html: str) -> Element:
         name = name.lower()
         if found.group(1):
             limits = set() if name in BLOCK else BLOCK
-            close(stack, {name}, limits)
+            close(stack, open_names, {name}, limits)
             continue
         if name in BLOCK:
-            close(stack, {"p"}, {"table", "td", "th", "button", "object"})
+            close(stack, open_names, {"p"}, {"table", "td", "th", "button", "object"})
         if name in CLOSES:
-            close(stack, *CLOSES[name])
+            close(stack, open_names, *CLOSES[name])
         element = Element(name, marks_of(found.group(3)) if found.group(3) else "")
         stack[-1].parts.append(element)
         if name in RAW:
@@ -105,6 +116,7 @@ def parse(html: str) -> Element:
             at = end.end() if end else len(html)
         elif name not in VOID and not found.group(3).endswith("/"):
             stack.append(element)
+            open_names[name] += 1
 
 
 def is_skipped(element: Element, in_article: bool) -> bool:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from reviewlab.llm import html, wrappers
@@ -113,3 +115,19 @@ def test_layouts_of_one_host(spark):
         assert found[i].startswith(f"Title {i}\n\n") and "rights" not in found[i]
     for i in range(5):
         assert found[100 + i].startswith(f"Story {i} as told") and "other pages" not in found[100 + i]
+
+
+def test_time_of_the_reader_grows_with_the_page():
+    for part in ("<a ", "<a", '<a "', "<div>", "<p><b '", "<table><li>", "<!-", "</p>"):
+        started = time.monotonic()
+        root = html.parse(part * (1_000_000 // len(part)))
+        html.blocks(root, set(), False)
+        assert time.monotonic() - started < 5, part
+
+
+def test_tags_that_never_end():
+    """A tag that another one begins in before its end is text; quoted marks end nothing."""
+    root = html.parse('<p>one <b two <i title="a<b>c">three</i><p>four <a')
+    assert html.blocks(root, set(), False) == ["one <b two three", "four <a"]
+    nested = html.parse("<ul><li>a<ul><li>b</ul><li>c</ul><p>d<p>e")
+    assert html.blocks(nested, set(), False) == ["a", "b", "c", "d", "e"]
