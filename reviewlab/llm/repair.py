@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewlab.llm.tokens import encode_texts, text_blocks
+from reviewlab.llm.tokens import text_blocks, with_special
 from reviewlab.session import scratch_path
 
 #: The id behind every document; no rule contains it, so rules never span two documents.
@@ -208,7 +208,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, text: str = "text")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in enumerate(text_blocks(batches, "text")):
-            ids, lengths = encode_texts(block.column("text"), tokenizer, END)
+            ids, lengths = with_special(block.column("text"), tokenizer, END)
             data = to_bytes(compress(ids, lengths))
             yield pa.RecordBatch.from_arrays(
                 [

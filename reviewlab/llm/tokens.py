@@ -157,8 +157,49 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return codes, per_text, coded.dictionary
 
 
+def whole_tokenizer(path: str):
+    """(the tokenizer as the library loads it, the names of its special tokens)."""
+    from tokenizers import Tokenizer
+
+    cache = worker_cache()
+    if ("whole", path) not in cache:
+        tokenizer = Tokenizer.from_file(path)
+        names = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        cache["whole", path] = tokenizer, names
+    return cache["whole", path]
+
+
+def with_special(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``encode_texts``, but names of special tokens in a text get their own ids.
+
+    Texts that may hold such a name (in either case) are encoded whole by the library.
+    """
+    tokenizer, names = whole_tokenizer(path)
+    texts = texts.fill_null("")
+    holds = np.zeros(len(texts), bool)
+    for name in names:
+        found = pc.match_substring(texts, name, ignore_case=True)
+        holds |= found.to_numpy(zero_copy_only=False)
+    if not holds.any():
+        return encode_texts(texts, path, end)
+    ids, lengths = encode_texts(pc.if_else(pa.array(holds), "", texts), path, end)
+    rows = np.flatnonzero(holds)
+    encoded = tokenizer.encode_batch(
+        texts.take(pa.array(rows)).to_pylist(), add_special_tokens=False
+    )
+    # Such a text was encoded as empty: its ids go in front of its end id.
+    places = (np.cumsum(lengths) - lengths)[rows]
+    more = np.array([len(e.ids) for e in encoded], np.int64)
+    own = np.concatenate([np.array(e.ids, np.uint16) for e in encoded])
+    lengths[rows] += more
+    return np.insert(ids, np.repeat(places, more), own), lengths
+
+
 def encode_texts(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, each followed by ``end``; number of ids of each text)."""
+    """(ids of all texts, each followed by ``end``; number of ids of each text).
+
+    Names of special tokens are ordinary text.
+    """
     codes, per_text, distinct = split_words(texts)
     flat, lengths = piece_ids(path).of_words(distinct)
     # The end id is one more word, behind the words of every text.

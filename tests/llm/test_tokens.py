@@ -41,9 +41,9 @@ def docs(spark, texts):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
-def whole_ids(texts):
+def whole_ids(texts, special_is_text=True):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_is_text
     return [e.ids for e in tokenizer.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -55,6 +55,17 @@ def test_words_give_the_ids_of_whole_texts(texts):
     assert [p.tolist() for p in parts] == [[*own, 1] for own in whole_ids(texts)]
 
 
+def test_special_names_as_the_library_gives_them(texts):
+    import pyarrow as pa
+
+    more = ["a <|endoftext|> b", "<|endoftext|>", "x<|ENDOFTEXT|>", "<|startoftext|><|endoftext|>é", None]
+    for some in (texts + more, more, texts[-5:], []):
+        ids, lengths = tokens.with_special(pa.array(some, pa.string()), WORDS, 1)
+        parts = np.split(ids, np.cumsum(lengths)[:-1]) if some else []
+        wanted = whole_ids([t or "" for t in some], special_is_text=False)
+        assert [p.tolist() for p in parts] == [[*own, 1] for own in wanted]
+
+
 def test_token_files(spark, docs, texts):
     rows = repair.stored_tokens(docs, WORDS).collect()
     assert len(rows) == len(texts) + 3
@@ -66,7 +77,7 @@ def test_token_files(spark, docs, texts):
     for row in by_start:
         assert row["start"] == at
         at += row["n_tokens"]
-    own = whole_ids(texts)
+    own = whole_ids(texts, special_is_text=False)
     for row in rows:
         if row["doc_id"] not in (None, 5):
             ids = np.array([*own[row["doc_id"]], 1], "<u4")
