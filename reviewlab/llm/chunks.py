@@ -83,7 +83,10 @@ def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def drop_repeated(
-    docs: DataFrame, text: str = "text", carry: list[str] | None = None
+    docs: DataFrame,
+    text: str = "text",
+    carry: list[str] | None = None,
+    gone: DataFrame | None = None,
 ) -> DataFrame:
     """Every row packed as ``row``, with its text without repeated chunks.
 
@@ -92,6 +95,8 @@ def drop_repeated(
     one in the smallest doc_id stays, the first one in that text. Rows that share a doc_id count
     as one document (each keeps what the document keeps); a null doc_id counts as the largest. A
     null text stays null, without lines; a text may become empty. Rows are never dropped.
+    The lines of ``gone`` (see ``passage_lines``) are left out of the texts, too; the counts are
+    those of chunks alone.
 
     Only hashes are shuffled to find repeated keys. Whether a document holds the first occurrence
     is asked by (document, key), which no group of copies makes hot. Bytes are compared by
@@ -135,7 +140,15 @@ def drop_repeated(
         .groupBy("doc")
         .agg(F.sort_array(F.collect_list(F.md5("body"))).alias("kept"))
     )
-    whole = joined.join(kept, "doc", "left").select("doc", "suspects", "kept", *opened)
+    whole = joined.join(kept, "doc", "left")
+    lines_gone = F.lit(None).cast("array<int>")
+    if gone is not None:
+        # By document alone, as the texts are; rows that share a doc_id are told apart by copy.
+        per_doc = gone.groupBy("doc").agg(F.collect_list(F.struct("copy", "gone")).alias("gone"))
+        whole = whole.join(per_doc, "doc", "left")
+        copy = F.xxhash64(F.element_at("held", 1)["text"])
+        lines_gone = F.get(F.filter("gone", lambda g: g["copy"] == copy), 0)["gone"]
+    whole = whole.select("doc", "suspects", "kept", lines_gone.alias("gone"), *opened)
     whole = with_chunks(whole)
     whole = once(
         whole,
@@ -164,10 +177,18 @@ def drop_repeated(
     whole = once(whole, "left", left)
     lines = F.aggregate("left", F.lit(0), lambda a, c: a + c["last"] - c["first"] + 1)
     rows = ["row"] if "row" in whole.columns else []
+    short = F.array_join("left.body", "\n")
+    if gone is not None:
+        places = F.flatten(F.transform("left", lambda c: F.sequence(c["first"] - 1, c["last"] - 1)))
+        fewer = lambda all_: F.array_join(
+            F.transform(F.array_except(places, "gone"), lambda i: F.get(all_, i)), "\n"
+        )
+        shorter = F.element_at(F.transform(F.array(F.split("text", "\n")), fewer), 1)
+        short = F.when(F.col("gone").isNull(), short).otherwise(shorter)
     return whole.select(
         F.nullif("doc", F.lit(NO_ID)).alias("doc_id"),
         *rows,
-        F.when(F.col("text").isNotNull(), F.array_join("left.body", "\n")).alias("text"),
+        F.when(F.col("text").isNotNull(), short).alias("text"),
         F.col("n_lines").cast("long").alias("n_lines"),
         (F.col("n_lines") - lines).cast("long").alias("n_removed_lines"),
         F.size("marked").cast("long").alias("n_chunks"),
@@ -175,8 +196,13 @@ def drop_repeated(
     )
 
 
-def without_repeated(docs: DataFrame) -> DataFrame:
-    """The documents with shortened texts; a column n_chars follows the new text."""
+def without_repeated(docs: DataFrame, gone: DataFrame | None = None) -> DataFrame:
+    """The documents with shortened texts; a column n_chars follows the new text.
+
+    With ``gone`` from ``passage_lines`` of the same documents, repeated passages and repeated
+    chunks go together: of either the first occurrence stays, unless it lies in a larger one that
+    came still earlier. The texts are shuffled once for both.
+    """
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -184,7 +210,7 @@ def without_repeated(docs: DataFrame) -> DataFrame:
     columns = [new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
     # The row need not carry the old text beside the one that is worked on.
     others = [c for c in docs.columns if c not in new]
-    return drop_repeated(docs, carry=others).select(*columns)
+    return drop_repeated(docs, carry=others, gone=gone).select(*columns)
 
 
 def with_words(docs: DataFrame) -> DataFrame:
@@ -253,17 +279,41 @@ def passages(text: Column) -> Column:
 def without_passages(docs: DataFrame) -> DataFrame:
     """The documents without runs of whole lines of over PASSAGE_WORDS words that came before.
 
-    The first occurrence stays: that in the smallest doc_id (a null one is the largest), the first
-    of that text; in one text only what does not overlap it goes. Rows are never dropped, and equal
-    rows with one doc_id keep the same. A column n_chars follows the new text. Only sums of
-    passages are shuffled to find repeated ones; lines to remove come from a table without texts.
+    Rows are never dropped. A column n_chars follows the new text.
     """
     named = packed(
-        docs,
-        doc=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-        copy=F.xxhash64("text"),
-        text=F.col("text"),
+        docs, [c for c in docs.columns if c not in ("text", "n_chars")] or None, **named_text()
     )
+
+    def without(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    shorter = F.element_at(F.transform(F.array(F.split("text", "\n")), without), 1)
+    done = named.join(passage_lines(docs), ["doc", "copy"], "left")
+    done = once(done, "short", F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter))
+    new = {"text": F.col("short")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.coalesce(F.length("short"), F.lit(0)).cast(kind)
+    return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+def named_text() -> dict[str, Column]:
+    """What tells a row's text from others: the document, and a hash of the text in it."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return {"doc": doc, "copy": F.xxhash64("text"), "text": F.col("text")}
+
+
+def passage_lines(docs: DataFrame) -> DataFrame:
+    """Per doc and copy (a hash of the text) the places of lines, counted from 0, of repeated
+    passages; stored. Texts without such lines are left out.
+
+    The first occurrence stays: that in the smallest doc_id (a null one is the largest), the first
+    of that text; in one text only what does not overlap it goes. Equal
+    rows with one doc_id keep the same. Only sums of passages are shuffled, no texts.
+    """
+    named = docs.select(*[value.alias(name) for name, value in named_text().items()])
     found = named.where("text is not null").select(
         "doc", "copy", F.explode(passages(F.col("text"))).alias("p")
     )
@@ -289,17 +339,4 @@ def without_passages(docs: DataFrame) -> DataFrame:
             F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))
         )).alias("gone"))
     )
-    gone = materialize(gone, "passage-lines")
-
-    def without(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-
-    shorter = F.element_at(F.transform(F.array(F.split("text", "\n")), without), 1)
-    done = named.join(gone, ["doc", "copy"], "left")
-    done = once(done, "short", F.when(F.col("gone").isNull(), F.col("text")).otherwise(shorter))
-    new = {"text": F.col("short")}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.coalesce(F.length("short"), F.lit(0)).cast(kind)
-    return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return materialize(gone, "passage-lines")

@@ -69,7 +69,14 @@ def test_odd_rows(odd_docs, no_docs):
 
 
 def without_runs(texts):
-    """Brute force: lines of any run of over 50 words that an earlier text has go."""
+    return [
+        "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+        for text, gone in zip(texts, runs_of(texts))
+    ]
+
+
+def runs_of(texts):
+    """Brute force: places of lines of any run of over 50 words that an earlier text has."""
     wordy = [[(i, line) for i, line in enumerate(t.split("\n")) if line.split()] for t in texts]
     out = []
     for number, text in enumerate(texts):
@@ -82,7 +89,7 @@ def without_runs(texts):
                 at = lambda w, n: [i for i in range(n) if [x for _, x in w[i : i + len(run)]] == run]
                 if any(at(w, len(w)) for w in wordy[:number]) or any(i + len(run) <= a for i in at(own, a)):
                     gone.update(range(own[a][0], own[b][0] + 1))
-        out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
+        out.append(gone)
     return out
 
 
@@ -142,3 +149,32 @@ def test_binary_search(spark, values, x):
     row = spark.createDataFrame([(sorted(values), x)], "v array<int>, x int")
     found = row.select(lower_bound(F.col("v"), F.col("x")), is_among(F.col("v"), F.col("x"))).first()
     assert tuple(found) == (bisect.bisect_left(sorted(values), x), x in values)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a b c", "w " * 30, "x " * 26, "y " * 51, "", "z", "é long " * 60]), max_size=9), min_size=1, max_size=5))
+def test_passages_and_chunks_together(spark, texts):
+    """What either rule takes out goes, nothing else does, and no line is lost everywhere."""
+    docs = ["\n".join(lines) for lines in texts]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    gone = chunks.passage_lines(frame)
+    done = [r["text"] for r in chunks.without_repeated(frame, gone).orderBy("doc_id").collect()]
+    assert [t.split() for t in without_both(docs)] == [t.split() for t in done]
+    assert {x for t in done for x in t.split("\n")} | {""} == {x for t in docs for x in t.split("\n")} | {""}
+
+
+def without_both(texts):
+    """Brute force: places of lines that the chunk rule or the passage rule takes out."""
+    seen, out = set(), []
+    for text, runs in zip(texts, runs_of(texts)):
+        at, left = 0, []
+        for lines in cut(text):
+            body = "\n".join(lines)
+            counts = (len(lines) > 1 or len(body) >= chunks.LONG_LINE) and body.split()
+            if not (counts and body in seen):
+                left += [x for i, x in enumerate(lines, at) if i not in runs]
+            if counts:
+                seen.add(body)
+            at += len(lines)
+        out.append("\n".join(left))
+    return out
