@@ -43,13 +43,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @tidy
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of whole lines, then chunks of lines, that an earlier document has are cut out.
+    """Passages of whole lines, and chunks of lines, that an earlier document has are cut out.
 
     A document of which no word is left was a copy and goes, as would one that had none.
     """
-    # Stored, as the chunks are looked for in several passes over the texts.
-    shorter = materialize(chunks.with_words(chunks.without_passages(docs)), "without-passages")
-    return chunks.with_words(chunks.without_repeated(shorter))
+    return chunks.with_words(chunks.without_repeated(docs, chunks.passage_lines(docs)))
 
 
 @tidy
