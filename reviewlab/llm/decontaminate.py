@@ -9,16 +9,19 @@ its question and its answer. No passage is skipped otherwise.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -31,10 +34,11 @@ MIN_SCORE = 0.5
 #: Share of the n-grams of question and answer that the passage must hold.
 MIN_OVERLAP = 0.8
 GRAM = 5
-#: Items in a block of the index, and bytes of item text in one broadcast index.
+#: Items in a block of the index.
 BLOCK_ITEMS = 64
 #: Share of the needed score that an item's weak terms may reach together.
 WEAK_SHARE = 0.8
+#: Bytes of item text in one part of the index, of which one is broadcast at a time.
 INDEX_BYTES = 16 << 20
 
 NOT_WORD = r"[^\p{L}\p{N}_]+"
@@ -69,14 +73,48 @@ def overlap(wanted: list[str], found: list[str]) -> float:
 
 @dataclass
 class Block:
-    """Items of similar length: their numbers, impacts (terms x items), and what bounds them."""
+    """Items of similar length: their numbers, sparse impacts, and what bounds them.
+
+    ``own`` are the sorted terms of the block and ``bound`` the greatest impact of each. Item i has
+    the ``values`` from ``edges[i]`` to ``edges[i + 1]``, of the terms at these ``places`` in ``own``.
+    """
 
     items: np.ndarray
-    rows: np.ndarray
-    impacts: np.ndarray
+    own: np.ndarray
     bound: np.ndarray
+    edges: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
     needed: np.ndarray
     longest: int
+    vocabulary: int
+
+    def present(self, words: np.ndarray) -> np.ndarray:
+        """Which terms of the block are among ``words``."""
+        found = np.zeros(len(self.own), bool)
+        at = np.searchsorted(self.own, words)
+        inside = at < len(self.own)
+        at, words = at[inside], words[inside]
+        found[at[self.own[at] == words]] = True
+        return found
+
+    def score(self, column: int, present: np.ndarray) -> float:
+        mine = slice(self.edges[column], self.edges[column + 1])
+        return float(self.values[mine][present[self.places[mine]]].sum())
+
+    @property
+    def rows(self) -> np.ndarray:
+        """The row of each term in ``impacts``; the last, of zeros, for terms of other blocks."""
+        rows = np.full(self.vocabulary + 1, len(self.own))
+        rows[self.own] = np.arange(len(self.own))
+        return rows
+
+    @property
+    def impacts(self) -> np.ndarray:
+        """All impacts, terms x items, for comparisons; searching needs the sparse ones only."""
+        dense = np.zeros((len(self.own) + 1, len(self.items)), np.float32)
+        dense[self.places, np.repeat(np.arange(len(self.items)), np.diff(self.edges))] = self.values
+        return dense
 
 
 class Index:
@@ -94,24 +132,32 @@ class Index:
         strong: list[tuple[int, int, float]] = []
         for first in range(0, len(order), BLOCK_ITEMS):
             numbers = order[first : first + BLOCK_ITEMS]
-            own = sorted({self.ids[t] for number in numbers for t in terms[number]})
-            rows = np.full(len(names) + 1, len(own))
-            rows[own] = np.arange(len(own))
-            impacts = np.zeros((len(own) + 1, len(numbers)), np.float32)
-            for column, number in enumerate(numbers):
-                size = len(terms[number])
-                for name, count in Counter(terms[number]).items():
-                    weight = count * (K1 + 1) / (count + K1 * (1 - B + B * size / mean))
-                    impacts[rows[self.ids[name]], column] = weights[self.ids[name]] * weight
-            needed = MIN_SCORE * impacts.sum(axis=0)
+            own = np.array(sorted({self.ids[t] for number in numbers for t in terms[number]}))
+            places, values, edges = [], [], [0]
+            for number in numbers:
+                size, counted = len(terms[number]), Counter(terms[number])
+                ids = np.array([self.ids[name] for name in counted])
+                counts = np.array(list(counted.values()), np.float64)
+                tf = counts * (K1 + 1) / (counts + K1 * (1 - B + B * size / mean))
+                places.append(np.searchsorted(own, ids))
+                values.append((weights[ids] * tf).astype(np.float32))
+                edges.append(edges[-1] + len(ids))
+            bound = np.zeros(len(own), np.float32)
+            for mine, impact in zip(places, values):
+                bound[mine] = np.maximum(bound[mine], impact)
+            needed = np.array([MIN_SCORE * impact.sum() for impact in values], np.float32)
+            for column, (mine, impact) in enumerate(zip(places, values)):
+                ascending = np.argsort(impact, kind="stable")
+                weak = np.cumsum(impact[ascending]) <= WEAK_SHARE * needed[column]
+                for at in ascending[~weak].tolist():
+                    strong.append((int(own[mine[at]]), first + column, float(impact[at])))
             longest = max(len(terms[number]) for number in numbers)
-            bound = impacts.max(axis=1)
-            self.blocks.append(Block(np.array(numbers), rows, impacts, bound, needed, longest))
-            for column in range(len(numbers)):
-                ascending = np.argsort(impacts[:, column], kind="stable")
-                weak = np.cumsum(impacts[ascending, column]) <= WEAK_SHARE * needed[column]
-                for row in ascending[~weak].tolist():
-                    strong.append((own[row], first + column, float(impacts[row, column])))
+            self.blocks.append(
+                Block(
+                    np.array(numbers), own, bound, np.array(edges), np.concatenate(places),
+                    np.concatenate(values), needed, longest, len(names),
+                )
+            )
         strong.sort()
         posted, self.place, impact = (np.array(x) for x in zip(*strong))
         self.impact = impact.astype(np.float64)
@@ -119,6 +165,18 @@ class Index:
         self.step = np.concatenate([np.full(len(b.items), max(b.longest, 1)) for b in self.blocks])
         self.least = np.concatenate([b.needed for b in self.blocks]) * (1 - WEAK_SHARE)
 
+    def to_bytes(self) -> bytes:
+        """The index as plain arrays, which workers can load without this package."""
+        plain = {**vars(self), "blocks": [vars(block) for block in self.blocks]}
+        return pickle.dumps(plain, pickle.HIGHEST_PROTOCOL)
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Index:
+        index = cls.__new__(cls)
+        vars(index).update(pickle.loads(data))
+        index.blocks = [Block(**block) for block in index.blocks]
+        return index
+
     def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
         """(place of an item, window) where the strong terms of the item reach their share.
 
@@ -165,11 +223,11 @@ class Index:
             block, column = self.blocks[place // BLOCK_ITEMS], place % BLOCK_ITEMS
             first = window * max(block.longest, 1)
             last = min(first + 2 * max(block.longest, 1), len(words))
-            present = np.unique(block.rows[words[first:last]])
+            present = block.present(words[first:last])
             least = float(block.needed[column]) * (1 - 1e-4)
             if block.bound[present].sum() < least:
                 continue
-            score = float(block.impacts[present, column].sum())
+            score = block.score(column, present)
             if score >= least:
                 share = score * MIN_SCORE / float(block.needed[column])
                 yield int(block.items[column]), first, last, share
@@ -215,12 +273,12 @@ def hits_in(index: Index, texts: pa.Array) -> list[list[tuple]]:
     return [[(item, *row) for item, row in sorted(found.items())] for found in best]
 
 
-def item_indexes(items: DataFrame, text: str = "text") -> tuple[DataFrame, list[Index]]:
-    """(the items with a number each, indexes of parts of them).
+def item_indexes(items: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, int]:
+    """(the items with a number each, a stored table ``part, index``, number of parts).
 
-    Document frequencies are those of all items. An index has about INDEX_BYTES of text, so what
-    is broadcast at once is bounded, and a larger benchmark is searched part by part. Items
-    without terms are in no index.
+    Document frequencies are those of all items. A part has about INDEX_BYTES of text; it is
+    built in one task and is a row of the table. Items without terms are in no index, so a part
+    may have no row.
     """
     numbered = materialize(
         items.select("*", F.col(text).alias("item_text")).select(
@@ -229,49 +287,57 @@ def item_indexes(items: DataFrame, text: str = "text") -> tuple[DataFrame, list[
         ),
         "benchmark-items",
     )
-    sizes = numbered.agg(F.count("*"), F.coalesce(F.sum(F.length("item_text")), F.lit(0))).first()
-    parts = -(-int(sizes[1]) // INDEX_BYTES)
+    size = numbered.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
+    parts = -(-int(size) // INDEX_BYTES)
 
     def each_term(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("item_text").to_pylist()
-            found = [terms_of(t or "") for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.string()))], names=["terms"]
-            )
+            terms = [terms_of(t or "") for t in batch.column("item_text").to_pylist()]
+            found = pa.array(terms, pa.list_(pa.string()))
+            columns = [*(batch.column(c) for c in ("item", "part", "item_text")), found]
+            yield pa.RecordBatch.from_arrays(columns, names=["item", "part", "item_text", "terms"])
 
+    part = F.pmod(F.xxhash64("item"), F.lit(max(parts, 1))).alias("part")
     found = materialize(
-        numbered.select("item_text").mapInArrow(each_term, "terms array<string>"), "item-terms"
-    ).where("size(terms) > 0")
+        numbered.select("item", part, "item_text")
+        .mapInArrow(each_term, "item long, part long, item_text string, terms array<string>")
+        .where("size(terms) > 0"),
+        "item-terms",
+    )
     n, mean = found.agg(F.count("*"), F.avg(F.size("terms"))).first()
-    seen = found.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count()
-    seen = materialize(seen, "item-frequencies")
-    indexes = []
-    for part in range(parts):
-        own = [
-            (row["item"], row["item_text"])
-            for row in numbered.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
-            .select("item", "item_text")
-            .collect()
-            if terms_of(row["item_text"] or "")
-        ]
-        if own:
-            wanted = numbered.sparkSession.createDataFrame(
-                [(t,) for t in sorted({t for _, text in own for t in terms_of(text)})], "term string"
-            )
-            counts = {row["term"]: row["count"] for row in seen.join(wanted, "term").collect()}
-            indexes.append(Index(own, counts, n, mean))
-    return numbered, indexes
+    seen = (
+        found.select("part", F.explode(F.array_distinct("terms")).alias("term"))
+        .groupBy("part", "term")
+        .agg(F.count("*").alias("count"))
+        .withColumn("count", F.sum("count").over(Window.partitionBy("term")))
+    )
+
+    def build(key: tuple, own: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        texts = sorted(zip(own["item"].tolist(), own["item_text"].tolist()))
+        frequencies = dict(zip(counts["term"].tolist(), counts["count"].tolist()))
+        index = Index(texts, frequencies, n, mean)
+        return pd.DataFrame({"part": [int(key[0])], "index": [index.to_bytes()]})
+
+    indexes = (
+        found.select("part", "item", "item_text")
+        .groupBy("part")
+        .cogroup(seen.groupBy("part"))
+        .applyInPandas(build, "part long, index binary")
+    )
+    return numbered, materialize(indexes, "item-indexes"), parts
 
 
 def searcher(shared: Broadcast) -> Callable[[pa.Array], pa.Array]:
     """The function that looks for the items of a broadcast index in a batch of texts."""
+    loaded: list[Index] = []
 
     def search(texts: pa.Array) -> pa.Array:
+        if not loaded:
+            loaded.append(Index.from_bytes(shared.value))
         out = []
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         for block in text_blocks(iter([batch]), "text"):
-            out.extend(hits_in(shared.value, block.column("text")))
+            out.extend(hits_in(loaded[0], block.column("text")))
         names = [field.name for field in HITS.elementType.fields]
         kinds = [pa.int64(), *[pa.float64()] * (len(names) - 1)]
         return pa.array(
@@ -282,11 +348,27 @@ def searcher(shared: Broadcast) -> Callable[[pa.Array], pa.Array]:
     return search
 
 
-def leaks(docs: DataFrame, indexes: list[Index], text: str = "text") -> Column:
-    """array<struct<item, score, question, answer>>: the items that a text holds."""
+def passes(
+    docs: DataFrame, indexes: DataFrame, parts: int, search: Callable[[Column], DataFrame],
+    text: str = "text",
+) -> Iterator[DataFrame]:
+    """``search`` of the documents for each part of the index.
+
+    ``search`` gets array<struct<item, score, question, answer>>, the items of the part that a text
+    holds. One part, of bounded size, is read and broadcast at a time: if there are several, what
+    one finds is stored before the next is read.
+    """
     context = docs.sparkSession.sparkContext
-    found = [F.arrow_udf(searcher(context.broadcast(i)), HITS)(F.col(text)) for i in indexes]
-    return F.flatten(F.array(*found)) if found else F.array().cast(HITS)
+    for part in range(parts):
+        row = indexes.where(F.col("part") == part).select("index").first()
+        if row is None:
+            continue
+        shared = context.broadcast(bytes(row["index"]))
+        found = search(F.arrow_udf(searcher(shared), HITS)(F.col(text)))
+        if parts > 1:
+            found = materialize(found, "leaks")
+            shared.destroy()
+        yield found
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -297,8 +379,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     are not searched, repeated documents or items each have their rows. Without items the result
     is empty.
     """
-    numbered, indexes = item_indexes(items)
-    found = docs.select("doc_id", F.explode(leaks(docs, indexes)).alias("hit"))
+    numbered, indexes, parts = item_indexes(items)
+    nothing = docs.limit(0).select("doc_id", F.explode(F.array().cast(HITS)).alias("hit"))
+    each = passes(docs, indexes, parts, lambda hits: docs.select("doc_id", F.explode(hits).alias("hit")))
+    found = reduce(DataFrame.unionByName, each, nothing)
     known = numbered.select("item", F.col("of.item_id").alias("item_id"))
     return found.join(known, F.col("hit.item") == F.col("item")).select(
         "doc_id",
@@ -308,6 +392,18 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no test item."""
-    _, indexes = item_indexes(items)
-    return docs.where(F.size(leaks(docs, indexes)) == 0)
+    """The documents that hold no test item.
+
+    With one part of the index that is a filter. With several, each pass stores the digests of the
+    texts in which it finds an item, and the documents with such a text go.
+    """
+    _, indexes, parts = item_indexes(items)
+    if parts <= 1:
+        return next(passes(docs, indexes, parts, lambda hits: docs.where(F.size(hits) == 0)), docs)
+    digest = F.sha2("text", 256)
+    each = passes(
+        docs, indexes, parts, lambda hits: docs.where(F.size(hits) > 0).select(digest.alias("leak"))
+    )
+    leaky = reduce(DataFrame.unionByName, each, docs.limit(0).select(digest.alias("leak")))
+    leaky = leaky.distinct()
+    return docs.join(leaky, F.sha2(docs["text"], 256) == leaky["leak"], "left_anti")

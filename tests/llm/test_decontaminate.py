@@ -1,6 +1,11 @@
+import os
 import random
+import subprocess
+import sys
+from types import SimpleNamespace
 
 import pytest
+from pyspark import cloudpickle
 
 from reviewlab.llm import decontaminate
 
@@ -73,6 +78,36 @@ def test_parts_of_the_index(spark, items, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 1), (2, 2)]
 
 
+def test_parts_remove_the_same_documents(spark, items, monkeypatch):
+    rows = [(1, ITEMS[0][1]), (2, ITEMS[1][1]), (3, None), (4, "clean text"), (2, ITEMS[1][1])]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, leak string")
+    whole = sorted(r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect())
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 60)
+    assert sorted(r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect()) == whole
+    assert whole == [3, 4]
+
+
+def test_workers_need_no_package(tmp_path):
+    """The search function and its index load where only the libraries are."""
+    text = ITEMS[0][1]
+    seen = {t: 1 for t in decontaminate.terms_of(text)}
+    data = decontaminate.Index([(7, text)], seen, 1, 15.0).to_bytes()
+    search = decontaminate.searcher(SimpleNamespace(value=data))
+    (tmp_path / "search").write_bytes(cloudpickle.dumps(search))
+    script = (
+        "import pickle, sys, pyarrow as pa\n"
+        "search = pickle.load(open('search', 'rb'))\n"
+        f"print([h['item'] for h in search(pa.array([{text!r}]))[0].as_py()])\n"
+        "assert not any(name.startswith('reviewlab') for name in sys.modules)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True
+    )
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.strip() == "[7]"
+
+
 def test_odd_rows(odd_docs, no_docs, items):
     assert decontaminate.without_leaks(odd_docs, items).count() == odd_docs.count()
     assert decontaminate.without_leaks(odd_docs, items).columns == odd_docs.columns
