@@ -7,6 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.operators.group_quantiles import exact_group_quantiles
 from reviewlab.operators.quantiles import exact_quantiles
 
 # Bins of the rating histogram, whisker length in interquartile ranges, rows of a
@@ -131,6 +132,33 @@ def box_summary(values: DataFrame, column: str = "flesch_score") -> DataFrame:
     )
 
 
+def group_boxes(values: DataFrame, group: str, column: str) -> DataFrame:
+    """``box_summary`` of the column for every value of ``group``, all exact, with the group's name.
+
+    Nulls and NaN are left out. ``values`` is read several times, so it should be a stored table.
+    """
+    found = exact_group_quantiles(values, group, column, (0.25, 0.5, 0.75))
+    boxes = found.select(
+        F.col("group").alias("of"),
+        *[F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(("q1", "median", "q3"))],
+    )
+    value = F.col(column).cast("double")
+    given = values.select(F.col(group).alias("group"), value.alias("v"))
+    given = given.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    reach = WHISKER * (F.col("q3") - F.col("q1"))
+    inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
+    return (
+        given.join(boxes, F.col("group").eqNullSafe(F.col("of")))
+        .groupBy(F.col("group").alias(group), "q1", "median", "q3")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.least(F.min(F.when(inside, F.col("v"))), F.col("q1")).alias("whisker_low"),
+            F.greatest(F.max(F.when(inside, F.col("v"))), F.col("q3")).alias("whisker_high"),
+            F.count_if(~inside).alias("outliers"),
+        )
+    )
+
+
 def binned_scatter(
     reviews: DataFrame,
     x: str = "sentiment_score",
