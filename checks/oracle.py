@@ -210,6 +210,23 @@ conflicts AS (
 FLAT_COLUMNS = """review_id, reviewer, movie, rating, review_summary, review_date,
   spoiler_tag, review_detail, helpful"""
 
+def length_box(group: str) -> str:
+    """Box summary of the cleaned length for each value of ``group``."""
+    return f"""WITH {CLEANED},
+      s AS (SELECT {group}, length(cleaned_review)::double AS v FROM cleaned),
+      q AS (SELECT {group}, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+                   quantile_cont(v, 0.75) AS q3 FROM s GROUP BY {group})
+      SELECT {group}, count(*) AS n, round(any_value(q1), 4) AS q1,
+             round(any_value(median), 4) AS median, round(any_value(q3), 4) AS q3,
+             round(least(any_value(q1), min(v) FILTER (WHERE v >= q1 - 1.5 * (q3 - q1))), 4)
+               AS whisker_low,
+             round(greatest(any_value(q3), max(v) FILTER (WHERE v <= q3 + 1.5 * (q3 - q1))), 4)
+               AS whisker_high,
+             count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))
+               AS outliers
+      FROM s JOIN q USING ({group}) GROUP BY {group}"""
+
+
 ORACLE: dict[str, str] = {
     "flatten_reviews": f"WITH {FLAT} SELECT {FLAT_COLUMNS} FROM flat",
     "clean_reviews": f"""WITH {CLEANED}
@@ -271,6 +288,8 @@ ORACLE: dict[str, str] = {
              count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))
                AS outliers
       FROM s, q""",
+    "length_box_per_movie": length_box("movie"),
+    "length_box_per_reviewer": length_box("reviewer"),
     "sentiment_rating_bins": f"""WITH {TOKENS}, {SENTIMENT}
       SELECT floor(sentiment_score::double / 0.05::double)::bigint AS bin_x, rating,
              count(*) AS reviews
@@ -282,6 +301,7 @@ ORACLE: dict[str, str] = {
       FROM split LEFT JOIN kept USING (review_id) GROUP BY split.review_id""",
     "word_counts": f"WITH {TOKENS} SELECT word, count FROM counts",
     "top_words": f"WITH {TOP} SELECT word, count FROM top",
+    "frequent_words": f"WITH {TOP} SELECT word, count FROM top",
     "word_share": f"""WITH {TOKENS},
       real AS (SELECT word, count FROM counts WHERE word NOT IN ('', 'nan')
                ORDER BY count DESC, word LIMIT 20)
@@ -477,3 +497,8 @@ ORACLE |= {
                AS TopicDetails
       FROM placed GROUP BY place % 3""",
 }
+# The same rows through files.
+ORACLE |= {
+    "parquet_word_report": ORACLE["top_words"],
+    "text_topic_report": ORACLE["topic_line_format"],
+}

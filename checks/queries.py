@@ -148,6 +148,21 @@ def flesch_box(spark: SparkSession, sf: str) -> DataFrame:
     return box.select("n", *[rounded(name, 4) for name in measures], "outliers")
 
 
+def length_boxes(spark: SparkSession, sf: str, group: str) -> DataFrame:
+    lengths = scores.with_length(cleaned(spark, sf)).select(group, "review_length")
+    boxes = reports.group_boxes(materialize(lengths, "lengths"), group, "review_length")
+    measures = ("q1", "median", "q3", "whisker_low", "whisker_high")
+    return boxes.select(group, "n", *[rounded(name, 4) for name in measures], "outliers")
+
+
+def length_box_per_movie(spark: SparkSession, sf: str) -> DataFrame:
+    return length_boxes(spark, sf, "movie")
+
+
+def length_box_per_reviewer(spark: SparkSession, sf: str) -> DataFrame:
+    return length_boxes(spark, sf, "reviewer")
+
+
 def sentiment_rating_bins(spark: SparkSession, sf: str) -> DataFrame:
     return reports.binned_scatter(scores.with_sentiment(cleaned(spark, sf)))
 
@@ -172,6 +187,11 @@ def top_words(spark: SparkSession, sf: str) -> DataFrame:
     return words.top_words(cleaned(spark, sf))
 
 
+def frequent_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The top words through mergeable sketches and an exact recount."""
+    return words.frequent_words(stored(spark, sf, "cleaned_review"))
+
+
 def word_share(spark: SparkSession, sf: str) -> DataFrame:
     share = words.word_share(words.top_words(cleaned(spark, sf), without=words.NO_WORDS))
     return share.select("word", "count", rounded("share"))
@@ -647,6 +667,20 @@ def csv_word_report(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_csv_report(spark, path, schemas.WORD_COUNTS)
 
 
+def parquet_word_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The top-words report through a single parquet file."""
+    path = scratch_path(spark, "top-words")
+    writers.write_small_parquet(words.top_words(cleaned(spark, sf)), path)
+    return spark.read.schema(schemas.WORD_COUNTS).parquet(path)
+
+
+def text_topic_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Topic lines through a single text file."""
+    path = scratch_path(spark, "topics")
+    writers.write_text_report(topic_line_format(spark, sf), path)
+    return spark.read.text(path).withColumnRenamed("value", "TopicDetails")
+
+
 def csv_reviewer_report(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "reviewers")
     writers.write_csv_report(avg_rating_per_reviewer(spark, sf), path)
@@ -808,10 +842,13 @@ QUERIES: dict[str, Query] = {
         score_corr_matrix,
         rating_histogram,
         flesch_box,
+        length_box_per_movie,
+        length_box_per_reviewer,
         sentiment_rating_bins,
         tokenize_reviews,
         word_counts,
         top_words,
+        frequent_words,
         word_share,
         vocabulary,
         vocabulary_left_out,
@@ -849,6 +886,8 @@ QUERIES: dict[str, Query] = {
         split_collections,
         split_artists,
         csv_word_report,
+        parquet_word_report,
+        text_topic_report,
         csv_reviewer_report,
         csv_broken_names,
         land_nested,

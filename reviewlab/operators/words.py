@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -14,6 +15,11 @@ from reviewlab.session import materialize
 TOP_WORDS = 20
 NO_WORDS = ("", "nan")
 
+# Words in a frequent-item sketch at first and at most, and sketches after the first merge.
+TRACKED_WORDS = 1 << 14
+MAX_TRACKED_WORDS = 1 << 18
+SKETCH_GROUPS = 256
+
 # Bounds of a word table that may be broadcast.
 MAX_BROADCAST_WORDS = 500_000
 MAX_BROADCAST_CHARS = 16_000_000
@@ -35,12 +41,14 @@ def word_counts(cleaned: DataFrame, drop_empty_tokens: bool = False) -> DataFram
     Stop words are dropped after ``explode``, where the test is compiled code; counting starts
     before the shuffle, so a word that makes up a third of the text travels as one row per task.
     """
+    return _content_words(cleaned, drop_empty_tokens).groupBy("word").count()
+
+
+def _content_words(cleaned: DataFrame, drop_empty_tokens: bool) -> DataFrame:
     exploded = cleaned.select(
         F.explode(text.cleaned_tokens(F.col("cleaned_review"))).alias("word")
     ).where(text.is_content_word(F.col("word")))
-    if drop_empty_tokens:
-        exploded = exploded.where(F.col("word") != "")
-    return exploded.groupBy("word").count()
+    return exploded.where(F.col("word") != "") if drop_empty_tokens else exploded
 
 
 def top_words(
@@ -53,6 +61,70 @@ def top_words(
     return counts.orderBy(F.desc("count"), "word").limit(n)
 
 
+def frequent_words(
+    cleaned: DataFrame, n: int = TOP_WORDS, without: Sequence[str] = (), tracked: int = TRACKED_WORDS
+) -> DataFrame:
+    """The same rows as ``top_words``, without a shuffle of the whole vocabulary.
+
+    Each task keeps a frequent-item sketch of ``tracked`` words. The sketches are merged in two
+    steps; they tell every count up to ``sketch_error``. Words that may be among the first ``n`` are
+    counted exactly in a second pass over ``cleaned``, which should be a stored table. Where the
+    error leaves it open whether a word outside the sketch belongs to them, the sketch is made four
+    times larger; if the largest does not settle it either, all words are counted.
+    """
+    if n <= 0:
+        return top_words(cleaned, 0, without)
+    exploded = _content_words(cleaned, "" in without)
+    if without:
+        exploded = exploded.where(~F.col("word").isin(list(without)))
+    while True:
+        candidates = _frequent_candidates(exploded, n, tracked)
+        if candidates is not None:
+            break
+        if tracked >= MAX_TRACKED_WORDS:
+            return top_words(cleaned, n, without)
+        tracked = min(4 * tracked, MAX_TRACKED_WORDS)
+    counts = exploded.where(F.col("word").isin(candidates)).groupBy("word").count()
+    return counts.orderBy(F.desc("count"), "word").limit(n)
+
+
+def sketch_error(occurrences: int, tracked: int) -> int:
+    """By how much a sketch's count can be off, either way.
+
+    Spark's sketch has a table of the power of two in which ``tracked`` words fill three quarters
+    at most; its error is 3.5 times the occurrences through the size of that table.
+    """
+    table = 1 << max(3, math.ceil(math.log2(tracked / 0.75)))
+    return math.ceil(3.5 * occurrences / table)
+
+
+def _frequent_candidates(exploded: DataFrame, n: int, tracked: int) -> list[str] | None:
+    """Words that may be among the ``n`` most frequent; None if the sketch does not tell.
+
+    A word that the sketch does not return occurs at most twice the error. So if the n-th
+    greatest count is certainly above that, the words that can reach it are all in the list,
+    which holds fewer than ``tracked`` words.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    sketches = exploded.groupBy(group.alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch"),
+        F.count(F.lit(1)).alias("occurrences"),
+    )
+    sketches = materialize(sketches, "word-sketches")
+    if sketches.isEmpty():  # there is nothing to merge, which Spark takes for an error
+        return []
+    merged = sketches.agg(
+        F.expr("approx_top_k_combine(sketch)").alias("sketch"), F.sum("occurrences").alias("n")
+    )
+    row = merged.select(F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("top"), "n").first()
+    error = sketch_error(row["n"], tracked)
+    estimates = sorted((entry["count"] for entry in row["top"]), reverse=True)
+    if len(estimates) < n or estimates[n - 1] - error <= 2 * error:
+        return None
+    least = estimates[n - 1] - 2 * error
+    return [entry["item"] for entry in row["top"] if entry["count"] >= least]
+
+
 def word_share(top: DataFrame) -> DataFrame:
     """Share of each word in a top-words report, leaving out the empty word and ``nan``.
 

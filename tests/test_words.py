@@ -142,7 +142,7 @@ def test_long_words_count_against_the_broadcast(spark, monkeypatch):
 @pytest.mark.parametrize("size", [3, 10, 100, 5000, None])
 def test_vocabulary_equals_a_full_sort(spark, size):
     rng = random.Random(3)
-    texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(60)) for _ in range(40)]
+    texts = [" ".join(f"w{int(rng.paretovariate(0.35))}" for _ in range(60)) for _ in range(40)]
     counts = Counter(w for t in texts for w in t.split(" "))
     expected = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]
     rows = words.vocabulary(table(spark, texts), size).collect()
@@ -159,3 +159,52 @@ def test_what_a_vocabulary_leaves_out(spark):
 def test_term_frequencies_need_no_shuffle(spark):
     plan = words.term_frequencies(table(spark, TEXTS))
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """30,000 words, of which one is a third; many words occur once."""
+    draw = random.Random(11)
+    drawn = ["film0" if draw.random() < 0.33 else f"w{int(draw.paretovariate(0.35))}" for _ in range(30_000)]
+    texts = [" ".join(drawn[i : i + 100]) for i in range(0, len(drawn), 100)]
+    return table(spark, [*texts, "", None, "the the"]).repartition(7)
+
+
+def test_frequent_words_are_the_top_words(skewed):
+    for n, tracked in ((1, 200), (5, 200), (5, 8), (20, 1 << 14)):
+        found = [tuple(r) for r in words.frequent_words(skewed, n, tracked=tracked).collect()]
+        assert found == [tuple(r) for r in words.top_words(skewed, n).collect()], (n, tracked)
+    assert words.frequent_words(skewed, 0).count() == 0
+
+
+def test_frequent_words_settles_by_the_sketch(skewed):
+    exploded = words._content_words(skewed, False)
+    distinct = words.word_counts(skewed).count()
+    candidates = words._frequent_candidates(exploded, 5, 1000)
+    assert distinct > 1500 and 5 <= len(candidates) < 100
+    assert words._frequent_candidates(exploded, 5, 8) is None
+
+
+def test_the_sketch_keeps_its_bound(skewed):
+    """Counts are off by the error at most; words that are not returned occur at most twice that."""
+    exact = {r["word"]: r["count"] for r in words.word_counts(skewed).collect()}
+    total = sum(exact.values())
+    for tracked in (16, 100, 500):
+        error = words.sketch_error(total, tracked)
+        exploded = words._content_words(skewed, False).repartition(9)
+        top = exploded.groupBy(F.spark_partition_id().alias("part")).agg(
+            F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch")
+        )
+        top = top.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"))
+        top = top.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {tracked})"))).collect()
+        estimates = {r["item"]: r["count"] for r in top}
+        assert all(abs(count - exact[word]) <= error for word, count in estimates.items())
+        assert all(count <= 2 * error for word, count in exact.items() if word not in estimates)
+
+
+def test_frequent_words_of_small_tables(spark):
+    for texts in ([], ["", None], ["b a b", "a c"], ["the the"]):
+        df = table(spark, texts)
+        for without in ((), words.NO_WORDS):
+            found = words.frequent_words(df, 3, without).collect()
+            assert found == words.top_words(df, 3, without).collect()
