@@ -349,6 +349,15 @@ ORACLE: dict[str, str] = {
              round(rating::double / stddev_samp(rating::double) OVER (), 6) AS scaled_rating
       FROM cleaned""",
     "hash_split": f"WITH {CLEANED} SELECT review_id, {SPLIT} AS split FROM cleaned",
+    "stratified_split": f"""WITH {CLEANED},
+      placed AS (
+        SELECT review_id, rating_category, count(*) OVER (PARTITION BY rating_category) AS n,
+               row_number() OVER (PARTITION BY rating_category
+                                  ORDER BY substr(md5(review_id), 1, 12)) AS place
+        FROM cleaned)
+      SELECT review_id, rating_category,
+             CASE WHEN place <= 4 * (n - 1) // 5 + 1 THEN 'train' ELSE 'test' END AS split
+      FROM placed""",
     "row_cap": f"""WITH {FLAT},
       odd AS (SELECT CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'same'
                 ELSE cast(doc_id AS varchar) END AS review_id, source AS reviewer,
@@ -485,6 +494,13 @@ ORACLE |= {
     "kmeans_facts": f"""WITH {CLEANED}
       SELECT 5::bigint AS clusters, 5::bigint AS used, count(*) AS reviews,
              0::bigint AS misplaced FROM cleaned""",
+    "kmeans_weighted_points": f"""WITH {CLEANED}
+      SELECT length(cleaned_review)::double AS review_length, rating::double AS rating,
+             count(*)::double AS weight
+      FROM cleaned GROUP BY 1, 2""",
+    "kmeans_weighted_facts": f"""WITH {CLEANED}
+      SELECT 5::bigint AS clusters, 5::bigint AS used, count(*) AS reviews,
+             0::bigint AS misplaced, 0::bigint AS moved FROM cleaned""",
     "lda_facts": """SELECT i::int AS topic, 10::bigint AS terms, 10::bigint AS known_terms,
              10::bigint AS falling FROM range(10) AS r(i)""",
     "topic_line_format": f"""WITH {TOKENS},

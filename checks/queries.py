@@ -327,6 +327,10 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.hash_split(cleaned(spark, sf)).select("review_id", "split")
 
 
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.stratified_split(stored(spark, sf, "review_id", "rating_category"))
+
+
 def row_cap(spark: SparkSession, sf: str) -> DataFrame:
     """The sampling operator itself: 250 rows chosen by the hash of their id.
 
@@ -547,7 +551,10 @@ def hashed_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters, clustered reviews, and reviews that are nearer to another cluster's center."""
-    predictions, model = clustered(spark, sf)
+    return cluster_facts(*clustered(spark, sf))
+
+
+def cluster_facts(predictions: DataFrame, model) -> DataFrame:
     centers = clusters.cluster_centers(predictions, model).collect()
     point = vector_to_array("scaledFeatures")
     distance = [
@@ -566,6 +573,34 @@ def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def weighted_clusters(spark: SparkSession, sf: str):
+    reviews = scores.with_length(cleaned(spark, sf)).select("review_id", "review_length", "rating")
+    predictions, model = clusters.fit_weighted_clusters(materialize(reviews, "lengths"))
+    return materialize(predictions, "predictions"), model
+
+
+def kmeans_weighted_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct lengths and ratings with the number of their reviews."""
+    return clusters.weighted_points(scores.with_length(cleaned(spark, sf)))
+
+
+def kmeans_weighted_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """As kmeans_facts, and the centers that differ from the mean of all their reviews."""
+    predictions, model = weighted_clusters(spark, sf)
+    centers = clusters.cluster_centers(predictions, model)
+    point = vector_to_array("scaledFeatures")
+    means = predictions.groupBy("prediction").agg(
+        F.avg(point[0]).alias("x"), F.avg(point[1]).alias("y")
+    )
+    off = F.greatest(
+        F.abs(F.col("x") - F.col("cluster_center")[0]), F.abs(F.col("y") - F.col("cluster_center")[1])
+    )
+    moved = means.join(centers, F.col("prediction") == F.col("cluster")).agg(
+        F.count_if(off > 1e-6).alias("moved")
+    )
+    return cluster_facts(predictions, model).withColumn("moved", F.lit(moved.first()["moved"]))
+
+
 def lda_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Per topic: terms, terms that are words of the texts, and neighbours in falling order."""
     reviews = stored(spark, sf, "cleaned_review")
@@ -866,6 +901,7 @@ QUERIES: dict[str, Query] = {
         lda_topics,
         lda_topic_lines,
         hash_split,
+        stratified_split,
         row_cap,
         decision_tree_scored_rows,
         chi_square_words,
@@ -900,6 +936,8 @@ QUERIES: dict[str, Query] = {
         stage_chain,
         hashed_counts,
         kmeans_facts,
+        kmeans_weighted_points,
+        kmeans_weighted_facts,
         lda_facts,
         topic_line_format,
     )

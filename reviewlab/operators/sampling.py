@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlab.functions.text import split_bucket
+from reviewlab.operators.group_quantiles import exact_group_quantiles
 
 # Fixed value: share of the training rows, in percent.
 TRAIN_PERCENT = 80
@@ -25,6 +26,33 @@ def hash_split(
     return df.withColumn("split", F.when(is_train, "train").otherwise("test"))
 
 
+def stratified_split(
+    df: DataFrame,
+    stratum: str = "rating_category",
+    key: str = "review_id",
+    train_percent: int = TRAIN_PERCENT,
+) -> DataFrame:
+    """Add ``split`` so that each stratum has its share of training rows to within one row.
+
+    In every stratum the rows up to the wanted quantile of the hash of their key are for training;
+    the quantiles of all strata are found together. Rows with equal keys, and those of the same
+    stratum without a key but with equal other columns, get the same split. Rows without a stratum
+    are one of their own. ``df`` is read several times, so it should be a stored table.
+    """
+    others = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spare = F.xxhash64(F.lit(0), *[F.col(c) for c in others if c != key]).cast("string")
+    name = F.coalesce(F.col(key).cast("string"), spare)
+    # 48 bits, so that a value between two neighbours is not rounded to one of them.
+    place = F.conv(F.substring(F.md5(name), 1, 12), 16, 10).cast("double")
+    hashed = df.select(F.col(stratum).alias("stratum"), place.alias("place"))
+    found = exact_group_quantiles(hashed, "stratum", "place", [train_percent / 100])
+    upto = found.select(F.col("group").alias("_stratum"), F.get("quantiles", F.lit(0)).alias("_upto"))
+    joined = df.join(upto, F.col(stratum).eqNullSafe(F.col("_stratum")))
+    is_train = place <= F.col("_upto")
+    split = F.when(is_train, "train").otherwise("test")
+    return joined.withColumn("split", split).drop("_stratum", "_upto")
+
+
 def cap_rows(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
     """A reproducible sample of ``n`` rows (all if fewer): the first by the hash of their key,
     then the key, then the other plain columns from left to right.

@@ -50,3 +50,27 @@ def test_topics(spark, corpus):
 def test_topics_are_repeatable(spark, corpus):
     runs = [topics.fit_topics(corpus, 1000, k=3, iterations=3)[0].collect() for _ in range(2)]
     assert runs[0] == runs[1]
+
+
+def test_weighted_clusters_rest_for_all_reviews(spark):
+    """One step over all reviews moves no center, though the fit saw distinct points only."""
+    rows = [(str(i), 1000 + 37 * (i * i % 101), float(1 + i % 10)) for i in range(3000)]
+    rows += [("odd", None, 3.0), ("odd", 1500, None)]
+    df = spark.createDataFrame(rows, "review_id string, review_length int, rating float")
+    points = clusters.weighted_points(df)
+    assert points.agg(F.sum("weight")).first()[0] == 3000 and points.count() < 1000
+    predictions, model = clusters.fit_weighted_clusters(df)
+    assert predictions.count() == 3000
+    assert predictions.columns == [*df.columns, "scaledFeatures", "prediction"]
+    for cluster, center in enumerate(model.clusterCenters()):
+        own = [r["scaledFeatures"] for r in predictions.where(F.col("prediction") == cluster).collect()]
+        assert own
+        means = [sum(v[i] for v in own) / len(own) for i in range(2)]
+        assert means == pytest.approx(center.tolist(), abs=1e-6)
+
+
+def test_weighted_clusters_of_a_constant_column(spark):
+    rows = [(str(i), 1000 + i % 7, 5.0) for i in range(70)]
+    df = spark.createDataFrame(rows, "review_id string, review_length int, rating float")
+    predictions, _ = clusters.fit_weighted_clusters(df, k=3)
+    assert predictions.select("prediction").distinct().count() == 3
