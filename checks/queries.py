@@ -598,7 +598,9 @@ def kmeans_weighted_facts(spark: SparkSession, sf: str) -> DataFrame:
     moved = means.join(centers, F.col("prediction") == F.col("cluster")).agg(
         F.count_if(off > 1e-6).alias("moved")
     )
-    return cluster_facts(predictions, model).withColumn("moved", F.lit(moved.first()["moved"]))
+    return cluster_facts(predictions, model).withColumn(
+        "moved", F.lit(moved.first()["moved"]).cast("bigint")
+    )
 
 
 def lda_facts(spark: SparkSession, sf: str) -> DataFrame:
