@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from reviewlab.operators.sampling import cap_rows, hash_split
 from reviewlab.operators.screening import screened_features
+from reviewlab.operators.trees import fit_trees
 
 SEED = 42
 CLASSIFIER, REGRESSOR = "classifier", "regressor"
 
-# Memory for the statistics of tree nodes, of which one pass over the data handles as many as
-# fit. With the default, 256 MB, wide vectors would need a pass for each node.
+# Memory that a task may take for the counts of a level's nodes in a plain table; above it they
+# are sorted.
 TREE_MEMORY_MB = 1024
 
 
@@ -104,9 +105,12 @@ def train_and_score(
     training = rows.where("split = 'train'")
     if max_fit_rows is not None:
         training = cap_rows(training, max_fit_rows)
-    model = spec.estimator("target", seed, tree_memory_mb).fit(
-        training.select("features", "target")
-    )
+    estimator = spec.estimator("target", seed, tree_memory_mb)
+    training = training.select("features", "target")
+    if spec.tree:
+        model = fit_trees(estimator, training, spec.kind == CLASSIFIER)
+    else:
+        model = estimator.fit(training)
     scored = model.transform(rows).withColumn("prediction", F.col("prediction") + offset)
     return scored.drop("target"), model
 
