@@ -61,8 +61,6 @@ LEET = {
 }
 #: Costs (negative logs) of the channel.
 SWAP, WILD, SKIP, EDGE, DROP, REPEAT, UNDOUBLE = 1.0, 3.0, 1.5, 0.75, 2.0, 1.0, 4.0
-#: A longer form is no disguised word; it stays as it is.
-MAX_FORM = 40
 
 EDGES = "\"'`.,;:?!()[]{}<>-_~/\\|*#%&=+^"
 
@@ -164,11 +162,13 @@ def arcs(form: str) -> list[list[tuple[int, str, float]]]:
 def restore(form: str, costs: list) -> str:
     """The likeliest word behind a form; the form itself if that is likelier still."""
     lattice = arcs(form)
-    # Per place: the last three classes -> (cost, letters).
-    best: list[dict[tuple[int, int, int], tuple[float, str]]] = [{} for _ in range(len(form) + 1)]
-    best[0][0, 0, 0] = (0.0, "")
+    # Per place: the last three classes -> (cost, letters as a chain of what was added, which long
+    # forms share). A place that was left is empty again.
+    best: list[dict[tuple[int, int, int], tuple[float, tuple]]] = [{} for _ in range(len(form) + 1)]
+    best[0][0, 0, 0] = (0.0, ())
     for place, arc in enumerate(lattice):
-        for context, (cost, letters) in best[place].items():
+        here, best[place] = best[place], {}
+        for context, (cost, letters) in here.items():
             for end, added, price in arc:
                 total, now = cost + price, context
                 for char in added:
@@ -176,8 +176,11 @@ def restore(form: str, costs: list) -> str:
                     total += costs[now[0]][now[1]][now[2]][code]
                     now = (now[1], now[2], code)
                 known = best[end].get(now)
-                if known is None or (total, letters + added) < known:
-                    best[end][now] = (total, letters + added)
+                chain = (letters, added) if added else letters
+                if known is None or total < known[0] or (
+                    total == known[0] and spelled(chain) < spelled(known[1])
+                ):
+                    best[end][now] = (total, chain)
     ends = [
         (cost + costs[a][b][c][0], letters)
         for (a, b, c), (cost, letters) in best[-1].items()
@@ -185,7 +188,16 @@ def restore(form: str, costs: list) -> str:
     ]
     if not ends:
         return form
-    return min(ends)[1]
+    least = min(cost for cost, _ in ends)
+    return min(spelled(letters) for cost, letters in ends if cost == least)
+
+
+def spelled(chain: tuple) -> str:
+    parts = []
+    while chain:
+        chain, added = chain
+        parts.append(added)
+    return "".join(reversed(parts))
 
 
 class Restorer:
@@ -196,8 +208,6 @@ class Restorer:
         self.kept: dict[str, str] = {}
 
     def word(self, form: str) -> str:
-        if len(form) > MAX_FORM:
-            return form
         if (known := self.kept.get(form)) is None:
             if len(self.kept) >= CACHE_WORDS:
                 self.kept.clear()
@@ -273,7 +283,7 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> Restored:
         for first, end in runs:
             parts = [forms[c] for c in codes[first:end].tolist()]
             form = "".join(parts)
-            if len(form) > MAX_FORM or len(set(form)) < 3:
+            if len(set(form)) < 3:
                 continue
             if form not in joined:
                 joined[form] = len(known)

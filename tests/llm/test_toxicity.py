@@ -140,3 +140,15 @@ def test_restored_texts(spark):
     docs = spark.createDataFrame([(i, " ".join(PLAIN)) for i in range(50)] + [(50, "5tup1d  (dog)"), (51, None)], "doc_id long, text string")
     found = {r["doc_id"]: r["text"] for r in toxicity.restore_texts(docs).where("doc_id >= 50").collect()}
     assert found == {50: "stupid dog", 51: ""}
+
+
+def test_long_forms_are_restored_like_short_ones(costs):
+    """A run of more than 40 single characters, and a form of as many without blanks."""
+    letters = "stupid" * 20
+    texts = pa.array([f"you {' '.join(letters)} dog", "5tup1d" * 10, "s.t.u.p.i.d." * 8])
+    found = toxicity.restored_words(texts, toxicity.Restorer(costs))
+    words = [[found.words[c] for c, t in zip(found.codes, found.text) if t == i] for i in range(3)]
+    assert words[0] == ["you", toxicity.restore(letters, costs.tolist()), "dog"]
+    assert words[1] == [toxicity.restore("5tup1d" * 10, costs.tolist())]
+    assert words[1][0].isalpha() and words[2][0].isalpha()
+    assert toxicity.restore("a1" * 5_000, costs.tolist()).isalpha()
