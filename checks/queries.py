@@ -773,19 +773,35 @@ def land_json_array(spark: SparkSession, sf: str) -> DataFrame:
     return landed_reviews(landed)
 
 
+#: Bytes of a JSON array file.
+ARRAY_BYTES = 128 << 20
+
+
+def write_arrays(lines: DataFrame, folder: str, file_bytes: int) -> None:
+    """JSON array files of about as many bytes, each in a folder of its own, from their elements."""
+    size = lines.agg(F.sum(F.octet_length("value") + 2)).first()[0] or 0
+    files = max(1, -(-size // file_bytes))
+    if not size:
+        lines = lines.unionByName(lines.sparkSession.createDataFrame([(None,)], lines.schema))
+    dealt = lines.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(files)))
+    order = Window.partitionBy("part").orderBy("value")
+    dealt = dealt.withColumn("place", F.row_number().over(order))
+    last = F.col("place") == F.count(F.lit(1)).over(Window.partitionBy("part"))
+    text = F.concat(
+        F.when(F.col("place") == 1, "[\n").otherwise(","),
+        F.coalesce("value", F.lit("")),
+        F.when(last, "\n]").otherwise(""),
+    )
+    arrays = dealt.select(text.alias("value"), "part", "place").sortWithinPartitions("part", "place")
+    arrays.select("value", "part").write.partitionBy("part").text(folder)
+
+
 def land_split_array(spark: SparkSession, sf: str) -> DataFrame:
-    """All reviews in one JSON array in one file, read by as many tasks as its size asks for."""
+    """All reviews in a JSON array in one file, read by as many tasks as its size asks for. More than
+    ARRAY_BYTES are dealt over several such files, as one task writes a file."""
     folder = scratch_path(spark, "one-array")
     rows = raw(spark, sf).select("review_json.*")
-    first = F.col("review_id") == rows.agg(F.min("review_id")).first()[0]
-    line = F.to_json(F.struct(*rows.columns))
-    marked = rows.select(
-        F.when(first, 1).otherwise(2).alias("place"),
-        F.concat(F.when(first, "").otherwise(","), line).alias("value"),
-    )
-    brackets = spark.createDataFrame([(0, "["), (3, "]")], marked.schema)
-    ordered = marked.unionByName(brackets).repartition(1).sortWithinPartitions("place")
-    ordered.select("value").write.text(folder)
+    write_arrays(rows.select(F.to_json(F.struct(*rows.columns)).alias("value")), folder, ARRAY_BYTES)
     landed = landing.land_raw(spark, folder, scratch_path(spark, "landed"), layout=landing.SPLIT)
     return landed_reviews(landed)
 
@@ -818,7 +834,7 @@ def land_select(spark: SparkSession, sf: str) -> DataFrame:
     rows = raw(spark, sf).select("review_json.*")
     names = []
     for tag in (0, 1, 2):
-        part = rows.where(F.col("review_id").cast("bigint") % 3 == tag).coalesce(1)
+        part = rows.where(F.col("review_id").cast("bigint") % 3 == tag)
         part.write.json(f"{folder}/part{tag}")
         files = spark.read.format("binaryFile").load(f"{folder}/part{tag}").select("path")
         names += [f"part{tag}/" + row["path"].rsplit("/", 1)[1] for row in files.collect()]
