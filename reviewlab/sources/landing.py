@@ -16,6 +16,8 @@ from reviewlab.sources.tables import read_raw
 
 FULL, SELECT = "full", "select"
 ARRAY, LINES, SPLIT = "array", "lines", "split"
+#: File names that are looked up in one pass over the listing.
+NAMES_AT_ONCE = 200
 
 
 def parse_file_list(text: str) -> list[str]:
@@ -46,9 +48,11 @@ def source_paths(
     if not wanted:
         raise FileNotFoundError("no files selected")
     inside = folder.rstrip("/").rsplit("/", 1)[-1]
-    missing = [
-        name for name in wanted if paths.where(F.col("path").endswith(f"/{inside}/{name}")).isEmpty()
-    ]
+    missing = []
+    for start in range(0, len(wanted), NAMES_AT_ONCE):
+        some = wanted[start : start + NAMES_AT_ONCE]
+        ends = [F.bool_or(F.col("path").endswith(f"/{inside}/{name}")) for name in some]
+        missing += [name for name, there in zip(some, paths.agg(*ends).first()) if not there]
     if missing:
         raise FileNotFoundError(f"not in {folder}: {', '.join(missing)}")
     return [f"{folder}/{name}" for name in wanted]
