@@ -27,6 +27,8 @@ from reviewlab.session import materialize, scratch_path
 SPLIT_ROWS = 10_000
 #: Entries that a task works on together.
 BLOCK_ENTRIES = 4_000_000
+#: Vectors of so few columns are left to MLlib, as a number for each is no more than the entries.
+NARROW = 64
 MAX_CLASSES = 100
 EPSILON = np.finfo(float).eps
 MULTIPLIERS = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -516,6 +518,9 @@ def fit_trees(estimator: Estimator, training: DataFrame, classifier: bool) -> Mo
     ``training`` (vectors and labels) is read three times and should be a stored table.
     """
     vectors, label = (estimator.getOrDefault(c) for c in ("featuresCol", "labelCol"))
+    first = training.select(vectors).first()
+    if first is None or first[0] is None or first[0].size <= NARROW:
+        return estimator.fit(training)
     setting = {p.name: estimator.getOrDefault(p) for p in estimator.params if estimator.isDefined(p)}
     rows = training.select(
         F.monotonically_increasing_id().alias("row"),
@@ -523,7 +528,7 @@ def fit_trees(estimator: Estimator, training: DataFrame, classifier: bool) -> Mo
         F.col(vectors).alias("features"),
     )
     total, classes = checked_classes(rows, "target", classifier)
-    width, seed = rows.select("features").first()["features"].size, setting["seed"]
+    width, seed = first[0].size, setting["seed"]
     entries = entries_of(rows)
     bins = find_bins(entries, total, width, setting["maxBins"], seed)
     # Plain arrays, which need no package on the workers to be loaded.
