@@ -18,7 +18,8 @@ from reviewlab.functions.stopwords import STOP_WORDS
 KEPT_CHARACTERS = string.ascii_letters + string.digits + " "
 CATEGORY_BOUNDS = ((6.66, 3.0), (3.33, 2.0), (0.0, 1.0))
 FLESCH_BASE, FLESCH_PER_SENTENCE, FLESCH_PER_WORD = 206.835, 1.015, 84.6
-WORD_PATTERN = f"[{string.ascii_lowercase}{string.digits}]+"
+WORD_CHARACTERS = string.ascii_lowercase + string.digits
+WORD_PATTERN = f"[{WORD_CHARACTERS}]+"
 SENTENCE_PATTERN = "[.!?]+"
 SYLLABLE_PATTERN = "[aeiouy]+"
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions import text
 from reviewlab.functions.syllables import Trie, patterns
-from reviewlab.operators.words import document_frequencies, join_by_word, term_frequencies
+from reviewlab.operators.words import document_frequencies, join_by_word
 from reviewlab.session import materialize
 
 
@@ -31,8 +31,11 @@ def word_syllables(words: DataFrame) -> DataFrame:
 
 
 def spoken_words(column: Column) -> Column:
-    """The words of a text, lower-case letters and digits, joined by blanks."""
-    return F.array_join(F.regexp_extract_all(F.lower(column), F.lit(f"({text.WORD_PATTERN})")), " ")
+    """The words of a text, lower-case letters and digits, joined by blanks.
+
+    The class lists its characters for the reason that ``text.strip_punctuation`` gives.
+    """
+    return F.trim(F.regexp_replace(F.lower(column), f"[^{text.WORD_CHARACTERS}]+", " "))
 
 
 def word_table(spoken: DataFrame) -> DataFrame:
@@ -45,21 +48,25 @@ def with_reading_ease(reviews: DataFrame, column: str = "review_detail") -> Data
     """Add ``reading_ease`` from words, sentence ends and syllables; null without a word.
 
     The patterns are applied to the word table only, one row per distinct word, which is joined
-    back with the counted words of each review: frequent words by broadcast, so no task gets
+    back with the words of each review: frequent words by broadcast, so no task gets
     all the rows of one word. ``reviews`` is read several times, so it should be a stored table. The hash
-    of the text is part of the key, so two texts that share an id keep their own scores.
+    of the text is part of the key, so two texts that share an id keep their own scores. Every row is
+    counted by itself and equal ones are dropped as numbers, so no text is sorted or shuffled for that.
     """
     key = ["review_id", "text_hash"]
     spoken = reviews.select(
+        F.monotonically_increasing_id().alias("row"),
         "review_id",
         F.xxhash64(column).alias("text_hash"),
         spoken_words(F.col(column)).alias("cleaned_review"),
     ).where("cleaned_review <> ''")
-    spoken = materialize(spoken.dropDuplicates(key), "spoken-words")
-    terms = term_frequencies(spoken, drop_stop_words=False)
-    counted = join_by_word(terms, word_table(spoken), spoken.count()).groupBy(*key).agg(
-        F.sum("tf").alias("n_words"), F.sum(F.col("tf") * F.col("syllables")).alias("n_syllables")
+    spoken = materialize(spoken, "spoken-words")
+    each = spoken.select("row", F.explode(F.split("cleaned_review", " ")).alias("word"))
+    joined = join_by_word(each, word_table(spoken.select("cleaned_review")), spoken.count(), False)
+    counted = joined.groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_words"), F.sum("syllables").alias("n_syllables")
     )
+    counted = counted.join(spoken.select("row", *key), "row").dropDuplicates(key)
     counted = counted.select(
         F.col("review_id").alias("counted_id"),
         F.col("text_hash").alias("counted_hash"),

@@ -207,20 +207,24 @@ def document_frequencies(cleaned: DataFrame, drop_stop_words: bool = True) -> Da
     return exploded.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
-def join_by_word(terms: DataFrame, table: DataFrame, reviews: int) -> DataFrame:
+def join_by_word(
+    terms: DataFrame, table: DataFrame, reviews: int, store_terms: bool = True
+) -> DataFrame:
     """Join ``terms`` (many rows per word) with a stored ``table`` of one row per word and df.
 
     A table within MAX_BROADCAST_WORDS and MAX_BROADCAST_CHARS is broadcast whole. Beyond that
     the words found in at least one of a thousand reviews are: they make up most rows of
     ``terms`` and would be the heavy keys of a shuffle. ``terms`` is shuffled for the rare
-    words only. Where too many words are that frequent, the bar is raised until they fit.
+    words only. Where too many words are that frequent, the bar is raised until they fit. Both parts
+    read ``terms``, which are stored for that unless it costs less to make them twice.
     """
     if _fits_broadcast(table):
         return terms.join(F.broadcast(table), "word")
     least = max(1, reviews // 1000)
     while not _fits_broadcast(table.where(F.col("df") >= least)):
         least *= 2
-    terms = materialize(terms, "terms")  # both parts read them
+    if store_terms:
+        terms = materialize(terms, "terms")
     is_frequent = F.col("df") >= least
     frequent, rare = table.where(is_frequent), table.where(~is_frequent)
     rare_terms = terms.join(F.broadcast(frequent.select("word")), "word", "left_anti")

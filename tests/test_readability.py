@@ -1,10 +1,12 @@
 """Syllables of known words, and reading ease next to a plain count."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlab.functions import text
 from reviewlab.functions.syllables import Trie, parsed, patterns
-from reviewlab.operators import readability
+from reviewlab.operators import readability, words
+from reviewlab.session import materialize
 
 KNOWN = """
 the 1 a 1 be 1 she 1 table 2 tables 2 troubled 2 make 1 makes 1 walked 1 wanted 2 needed 2
@@ -73,3 +75,33 @@ def test_each_distinct_word_once(spark):
     frame = spark.createDataFrame([("a b a",), ("b c",), (None,)], "cleaned_review string")
     rows = {r["word"]: (r["df"], r["syllables"]) for r in readability.word_table(frame).collect()}
     assert rows == {"a": (1, 1), "b": (2, 1), "c": (1, 1)}
+
+
+def test_reading_ease_stores_and_sorts_no_words(spark, monkeypatch):
+    """Also where the word table is too large to be broadcast, and with rows that come twice."""
+    rows = [(str(i % 40), f"Rare{i % 40} words, the cat sat. The table{i % 3}!") for i in range(60)]
+    rows += [(None, "A cat."), (None, "A cat."), ("7", None), ("8", "...")]
+    frame = spark.createDataFrame(rows, "review_id string, review_detail string")
+    want = sorted(readability.with_reading_ease(frame).collect(), key=str)
+    labels, plans = [], []
+
+    def recorded(df, label):
+        labels.append(label)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(words, "MAX_BROADCAST_WORDS", 3)
+    monkeypatch.setattr(words, "materialize", recorded)
+    monkeypatch.setattr(readability, "materialize", recorded)
+    got = sorted(readability.with_reading_ease(frame).collect(), key=str)
+    assert got == want and len(got) == 64
+    assert sum(row["reading_ease"] is None for row in got) == 2
+    assert "terms" not in labels
+    assert "Exchange" not in plans[labels.index("spoken-words")]
+
+
+def test_spoken_words(spark):
+    texts = [" Don't stop -- 2 Cats! ", "...", "", None, "É9 a_b\nC"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [row[0] for row in frame.select(readability.spoken_words(F.col("t"))).collect()]
+    assert got == ["don t stop 2 cats", "", "", None, "9 a b c"]
