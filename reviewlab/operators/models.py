@@ -28,6 +28,10 @@ from reviewlab.operators.trees import fit_trees
 SEED = 42
 CLASSIFIER, REGRESSOR = "classifier", "regressor"
 
+# Rows of logistic regression are worked on in blocks of so many MB. For each block MLlib adds up a table of all
+# columns by classes, so blocks of its usual 1 MB cost more by that table than by their rows.
+BLOCK_MB = 16.0
+
 # Memory that a task may take for the counts of a level's nodes in a plain table; above it they
 # are sorted.
 TREE_MEMORY_MB = 1024
@@ -55,7 +59,9 @@ class ModelSpec:
 MODELS = {
     "NaiveBayes": ModelSpec(CLASSIFIER, lambda **o: NaiveBayes(smoothing=1.0, **o), seeded=False),
     "LogisticRegression": ModelSpec(
-        CLASSIFIER, lambda **o: LogisticRegression(family="multinomial", **o), seeded=False
+        CLASSIFIER,
+        lambda **o: LogisticRegression(family="multinomial", maxBlockSizeInMB=BLOCK_MB, **o),
+        seeded=False,
     ),
     "DecisionTree": ModelSpec(
         CLASSIFIER, lambda **o: DecisionTreeClassifier(maxDepth=5, **o), tree=True

@@ -192,3 +192,14 @@ def test_scaling_divides_by_the_sample_deviation(spark):
     data = np.array([[1, 2.0], [2, 4.0], [4, 9.0]])
     expected = data / data.std(axis=0, ddof=1)
     assert np.allclose([r["scaledFeatures"].toArray() for r in rows], expected)
+
+
+def test_logistic_regression_takes_large_blocks(spark):
+    """For each block MLlib adds up all columns; the block size changes no result."""
+    estimator = models.MODELS["LogisticRegression"].estimator("target")
+    assert estimator.getMaxBlockSizeInMB() == models.BLOCK_MB > 1
+    rows = [(Vectors.sparse(500, [i % 7, 10 + i % 450], [1.0, 1.0 + i % 3]), float(i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, ["features", "target"])
+    found = estimator.fit(df).coefficientMatrix.toArray()
+    small = estimator.copy({estimator.maxBlockSizeInMB: 0.001}).fit(df).coefficientMatrix.toArray()
+    assert abs(found - small).max() < 1e-6
