@@ -7,7 +7,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from checks.queries import screened_query
-from reviewlab.operators import models, screening
+from reviewlab.operators import models, screening, trees
 from reviewlab.operators.sampling import hash_split
 
 
@@ -85,3 +85,24 @@ def test_model_on_screened_columns(spark, rows, small, name):
     assert model.numFeatures == 2 and predictions.count() == 300
     found = screened_query(name)(spark, small).collect()
     assert sorted(r["split"] for r in found) == ["test", "train"]
+
+
+@pytest.mark.parametrize("name", ["RandomForestRegressor"])
+def test_screened_rows_stay_as_narrow_as_their_entries(spark, name, monkeypatch):
+    """MLlib's learner would keep each row as a number for every kept column, and its tasks read that
+    again at every level; it is given no row of the table."""
+    rng = np.random.default_rng(11)
+    data = []
+    for i in range(240):
+        held = np.unique(np.append(rng.integers(3, 200, 20), i % 3))
+        data.append((str(i), Vectors.sparse(400, held, np.ones(len(held))), float(i % 3 + 1)))
+    rows = spark.createDataFrame(data, ["review_id", "features", "rating_category"])
+    kind = type(models.model_spec(name).estimator("target"))
+    fit, seen = kind.fit, []
+    monkeypatch.setattr(kind, "fit", lambda self, df: (seen.append(df), fit(self, df))[1])
+    predictions, model = models.train_and_score(rows, name, max_columns=120)
+    assert model.numFeatures == 120 > trees.NARROW
+    assert all(r["features"].numNonzeros() == 0 for df in seen for r in df.collect())
+    assert predictions.count() == 240
+    close = F.abs(F.col("prediction") - F.col("rating_category")) < 0.6
+    assert predictions.agg(F.avg(close.cast("int"))).first()[0] > 0.6
