@@ -87,7 +87,7 @@ def test_model_on_screened_columns(spark, rows, small, name):
     assert sorted(r["split"] for r in found) == ["test", "train"]
 
 
-@pytest.mark.parametrize("name", ["RandomForestRegressor"])
+@pytest.mark.parametrize("name", ["DecisionTree", "RandomForestRegressor"])
 def test_screened_rows_stay_as_narrow_as_their_entries(spark, name, monkeypatch):
     """MLlib's learner would keep each row as a number for every kept column, and its tasks read that
     again at every level; it is given no row of the table."""
